@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.functions.categories import CATEGORIES
+from pressloom.sources.local import local_table
 
 NONE = "None"
 
@@ -56,7 +58,7 @@ def with_names(c: Column, column: str) -> Column:
 def label_table(spark: SparkSession) -> DataFrame:
     """All labels as `(column, id, name)`."""
     rows = [(column, i, name) for column, names in LABELS.items() for i, name in enumerate(names)]
-    return spark.createDataFrame(rows, "column string, id int, name string")
+    return local_table(spark, rows, {"column": pa.string(), "id": pa.int32(), "name": pa.string()})
 
 
 def joint_gender(genders: Column) -> Column:
