@@ -43,8 +43,15 @@ TIME_DAY = "%H:%M %d. %m. %Y"
 DAY_TIME_NO_YEAR = "%d. %m. %H:%M"
 JSON_LD = "%Y-%m-%dT%H:%M:%S.%fZ"
 
-_PART = {"%d": r"(\d{1,2})", "%m": r"(\d{1,2})", "%Y": r"(\d{4})", "%H": r"(\d{1,2})", "%M": r"(\d{1,2})",
-         "%S": r"(\d{1,2})", "%f": r"(\d{1,6})"}
+_PART = {
+    "%d": r"\d{1,2}",
+    "%m": r"\d{1,2}",
+    "%Y": r"\d{4}",
+    "%H": r"\d{1,2}",
+    "%M": r"\d{1,2}",
+    "%S": r"\d{1,2}",
+    "%f": r"\d{1,6}",
+}
 _ISO = (
     r"^(\d{4}-\d{2}-\d{2})(?:.(\d{2}(?::\d{2}(?::\d{2}(?:\.\d{3}(?:\d{3})?)?)?)?)"
     r"(Z|[+-]\d{2}:?\d{2}(?::\d{2}(?:\.\d{6})?)?)?)?\z"
@@ -58,30 +65,22 @@ def _wall_clock(value: Column) -> Column:
 def parse(c: Column, pattern: str, year: Column | None = None) -> Column:
     """Parse by a `strptime` pattern; text that does not fit gives null.
 
-    The parts are cut out by regex and put together as ISO text. This fails without exceptions, takes one- and
-    two-digit parts, lets one blank of the pattern stand for any run of blanks, and does not depend on the zone.
+    The parts are put in ISO order by regex and cast. This fails without exceptions, takes one- and two-digit parts,
+    lets one blank of the pattern stand for any run of blanks, and does not depend on the session zone. A `year`
+    column stands in for a pattern without one.
     """
     directives = re.findall("%[a-zA-Z]", pattern)
     shape = re.escape(pattern).replace(r"\ ", f"{text.WS}+")
     for directive in directives:
-        shape = shape.replace(directive, _PART[directive])
+        shape = shape.replace(directive, f"({_PART[directive]})")
     shape = rf"^{shape}\z"
-
-    def part(directive: str, width: int, default: str) -> Column:
-        if directive == "%Y" and year is not None:
-            return F.lpad(year.cast("string"), 4, "0")
-        if directive not in directives:
-            return F.lit(default)
-        return F.lpad(F.regexp_extract(c, shape, directives.index(directive) + 1), width, "0")
-
-    # concat, unlike concat_ws, is null when the given year is
-    dash, colon = F.lit("-"), F.lit(":")
-    day = F.concat(part("%Y", 4, "1900"), dash, part("%m", 2, "01"), dash, part("%d", 2, "01"))
-    time = F.concat(part("%H", 2, "00"), colon, part("%M", 2, "00"), colon, part("%S", 2, "00"))
-    moment = F.concat(day, F.lit(" "), time)
-    if "%f" in directives:
-        fraction = F.regexp_extract(c, shape, directives.index("%f") + 1)
-        moment = F.concat(moment, F.lit("."), F.rpad(fraction, 6, "0"))
+    group = {d: f"${i}" for i, d in enumerate(directives, start=1)}
+    day = f"{group['%m']}-{group['%d']}"
+    clock = f"{group.get('%H', '0')}:{group.get('%M', '0')}:{group.get('%S', '0')}.{group.get('%f', '0')}"
+    if year is None:
+        moment = F.regexp_replace(c, shape, f"{group['%Y']}-{day} {clock}")
+    else:
+        moment = F.concat(year, F.lit("-"), F.regexp_replace(c, shape, f"{day} {clock}"))
     return F.when(c.rlike(shape), _wall_clock(moment))
 
 
@@ -102,23 +101,21 @@ def parse_day_time(c: Column) -> Column:
 def parse_iso(c: Column) -> Column:
     """ISO text to wall-clock time. `Z` and `+0200` are taken as well, which is wider than the strict form."""
     c = text.unify(c)
-    time = F.nullif(F.regexp_extract(c, _ISO, 2), F.lit(""))
-    padded = F.when(F.length(time) == 2, F.concat(time, F.lit(":00"))).otherwise(F.coalesce(time, F.lit("00:00")))
-    return F.when(c.rlike(_ISO), _wall_clock(F.concat_ws(" ", F.regexp_extract(c, _ISO, 1), padded)))
+    # an hour without minutes needs them for the cast
+    moment = F.regexp_replace(F.regexp_replace(c, _ISO, "$1 $2"), r"( \d{2})\z", "$1:00")
+    return F.when(c.rlike(_ISO), _wall_clock(moment))
 
 
 def iso_offset(c: Column) -> Column:
-    """Zone text of an ISO value as `+HH:MM`, null when it has none."""
-    zone = F.nullif(F.regexp_extract(text.unify(c), _ISO, 3), F.lit(""))
-    return F.when(zone == "Z", "+00:00").otherwise(F.regexp_replace(zone, r"^([+-]\d{2})(\d{2})\z", "$1:$2"))
+    """Zone text of an ISO value as `+HH:MM`, empty when it has none."""
+    zone = F.regexp_extract(text.unify(c), _ISO, 3)
+    return F.regexp_replace(F.regexp_replace(zone, r"^Z\z", "+00:00"), r"^([+-]\d{2})(\d{2})\z", "$1:$2")
 
 
 def iso_text(moment: Column, offset: Column | None = None) -> Column:
     """`yyyy-MM-dd HH:mm:ss[.ffffff][+HH:MM]`."""
-    seconds = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
-    micros = F.date_format(moment, ".SSSSSS")
-    shown = F.when(micros == ".000000", seconds).otherwise(F.concat(seconds, micros))
-    return shown if offset is None else F.concat(shown, F.coalesce(offset, F.lit("")))
+    shown = F.regexp_replace(F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.000000\z", "")
+    return shown if offset is None else F.concat(shown, offset)
 
 
 def czech_months(c: Column) -> Column:
@@ -146,49 +143,64 @@ def json_ld_date(c: Column) -> Column:
     return parse_noisy(F.get_json_object(c, "$.datePublished"), JSON_LD)
 
 
-def ladder(
-    date_text: Column,
-    crawl_ts: Column,
-    formats: Sequence[str],
-    year_text: Column | None = None,
-    no_year_format: str | None = None,
-    time_of_crawl_day: bool = False,
+def date_text(
+    raw: Column,
     cut_dash: bool = False,
     drop_weekday: bool = False,
     month_names: bool = False,
     cleaner: Callable[[Column], Column] | None = None,
 ) -> Column:
-    """Publication date by steps: full formats, year-less format with the footer year, time of the crawl day,
-    crawl time. No date element (null text) gives null at once.
-
-    29 February parses in the year-less step, and an impossible time of day falls through to the crawl time.
-    """
-    cleaned = date_text
+    """Steps of the ladder that come before parsing, as far as a site needs them."""
     if cut_dash:
-        cleaned = F.substring_index(cleaned, "-", 1)
+        raw = F.substring_index(raw, "-", 1)
     if drop_weekday:
-        cleaned = without_weekday(cleaned)
+        raw = without_weekday(raw)
     if cleaner is not None:
-        cleaned = cleaner(cleaned)
-    if month_names:
-        cleaned = czech_months(cleaned)
+        raw = cleaner(raw)
+    return czech_months(raw) if month_names else raw
+
+
+def climb(
+    cleaned: Column,
+    quiet: Column,
+    crawl_ts: Column,
+    formats: Sequence[str],
+    year: Column | None = None,
+    no_year_format: str | None = None,
+    time_of_crawl_day: bool = False,
+) -> Column:
+    """Publication date by steps: full formats, year-less format with the footer year, time of the crawl day,
+    crawl time. `quiet` is `cleaned` without update marks. No date element (null text) gives null at once.
 
-    steps = [parse_noisy(cleaned, f) for f in formats]
-    if no_year_format is not None and year_text is not None:
-        steps.append(parse_noisy(cleaned, no_year_format, footer_year(year_text)))
+    29 February parses in the year-less step, and an impossible time of day falls through to the crawl time.
+    """
+    steps = [parse(quiet, f) for f in formats]
+    if no_year_format is not None and year is not None:
+        steps.append(parse(quiet, no_year_format, year))
     if time_of_crawl_day:
         steps.append(on_day_of(crawl_ts, cleaned))
-    return F.when(date_text.isNotNull(), F.coalesce(*steps, crawl_ts))
+    return F.when(cleaned.isNotNull(), F.coalesce(*steps, crawl_ts))
+
+
+def ladder(
+    raw: Column,
+    crawl_ts: Column,
+    formats: Sequence[str],
+    year_text: Column | None = None,
+    no_year_format: str | None = None,
+    time_of_crawl_day: bool = False,
+    **cleaning,
+) -> Column:
+    """`date_text` and `climb` in one expression."""
+    cleaned = date_text(raw, **cleaning)
+    year = None if year_text is None else footer_year(year_text)
+    return climb(cleaned, without_noise(cleaned), crawl_ts, formats, year, no_year_format, time_of_crawl_day)
 
 
 def on_day_of(moment: Column, c: Column) -> Column:
     """`moment` with hour and minute replaced by the first `H:MM` of the text; seconds stay."""
-    hour = F.regexp_extract(c, TIME_OF_DAY, 1).try_cast("int")
-    minute = F.regexp_extract(c, TIME_OF_DAY, 2).try_cast("int")
-    valid = hour.between(0, 23) & minute.between(0, 59)
-    clock = F.concat_ws(":", F.lpad(hour.cast("string"), 2, "0"), F.lpad(minute.cast("string"), 2, "0"))
-    tail = F.date_format(moment, ":ss.SSSSSS")
-    return F.when(valid, _wall_clock(F.concat(F.date_format(moment, "yyyy-MM-dd "), clock, tail)))
+    clock = F.regexp_extract(c, TIME_OF_DAY, 0)
+    return _wall_clock(F.concat(F.date_format(moment, "yyyy-MM-dd "), clock, F.date_format(moment, ":ss.SSSSSS")))
 
 
 def local_date(c: Column) -> Column:

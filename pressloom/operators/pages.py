@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -150,43 +151,51 @@ def _field(field: str, sites: dict[str, Site], names: set[str]) -> list[Column]:
     return candidates
 
 
-def _date_ladder(sites: dict[str, Site], crawl_ts: Column) -> Column | None:
+def _dates(df: DataFrame, sites: dict[str, Site]) -> DataFrame:
+    """Add `_ladder`: cleaning, parsing and printing are one projection each, so that no regex is copied."""
+    rules = {name: s.date for name, s in sites.items() if s.date is not None}
+    special, ladders, scripted = [], defaultdict(list), []
+    for name, r in rules.items():
+        cleaning = {"cut_dash": r.cut_dash, "drop_weekday": r.drop_weekday, "month_names": r.month_names}
+        if any(cleaning.values()) or r.cleaner:
+            cleaner = clean_date(r.cleaner) if r.cleaner else None
+            special.append(([name], dates.date_text(F.col("raw.date_text"), cleaner=cleaner, **cleaning)))
+        ladders[r.formats, r.no_year_format if r.year_css else None, r.time_of_crawl_day].append(name)
+        if r.json_ld_css:
+            scripted.append(name)
+    text_of_date = F.col("raw.date_text")
+    if special:
+        text_of_date = _choose(special, 0).otherwise(text_of_date)
+    df = df.withColumns({"_cleaned": text_of_date, "_year": dates.footer_year(F.col("raw.year_text"))})
+    df = df.withColumn("_quiet", dates.without_noise(F.col("_cleaned")))
     branches = []
-    for extractor, site in sites.items():
-        rule = site.date
-        if rule is None:
-            continue
-        steps = dates.ladder(
-            F.col("raw.date_text"),
-            crawl_ts,
-            rule.formats,
-            year_text=F.col("raw.year_text") if rule.year_css else None,
-            no_year_format=rule.no_year_format,
-            time_of_crawl_day=rule.time_of_crawl_day,
-            cut_dash=rule.cut_dash,
-            drop_weekday=rule.drop_weekday,
-            month_names=rule.month_names,
-            cleaner=clean_date(rule.cleaner) if rule.cleaner else None,
+    for (formats, no_year, time_of_crawl_day), names in ladders.items():
+        steps = dates.climb(
+            F.col("_cleaned"), F.col("_quiet"), F.col("crawl_ts"), formats, F.col("_year"), no_year, time_of_crawl_day
         )
-        if rule.json_ld_css:
-            steps = F.coalesce(dates.json_ld_date(F.col("raw.json_ld")), steps)
-        branches.append(([extractor], dates.iso_text(steps)))
-    return _choose(branches, len(sites)) if branches else None
+        branches.append((names, steps))
+    moment = _choose(branches, len(sites))
+    if scripted:
+        published = F.when(F.col("extractor").isin(*scripted), dates.json_ld_date(F.col("raw.json_ld")))
+        moment = F.coalesce(published, moment)
+    return df.withColumn("_ladder", dates.iso_text(moment)).drop("_cleaned", "_year", "_quiet")
 
 
-def article_fields(sites: dict[str, Site], crawl_ts: Column) -> dict[str, Column]:
-    """The eight article fields from the struct `raw`: first non-null of custom, article and head."""
+def article_fields(df: DataFrame, sites: dict[str, Site]) -> DataFrame:
+    """Add the eight article fields from the struct `raw`: first non-null of custom, article and head."""
     names = set(raw_columns(sites))
+    with_ladder = any(s.date is not None for s in sites.values())
+    if with_ladder:
+        df = _dates(df, sites)
     fields: dict[str, Column] = {}
     for field in FIELDS:
         candidates = _field(field, sites, names)
-        if field == "publication_date":
-            ladder = _date_ladder(sites, crawl_ts)
-            candidates = ([ladder] if ladder is not None else []) + candidates
+        if field == "publication_date" and with_ladder:
+            candidates = [F.col("_ladder"), *candidates]
         if field == "comments_num" and "custom_comments_form" in names:
             # an empty comment form means no comments; a found counter without digits stays null
             form = F.when(F.col("raw.custom_comments_num").isNull(), F.col("raw.custom_comments_form"))
             candidates.append(form)
         kind = "array<string>" if field in ("author", "keywords") else "string"
         fields[field] = F.coalesce(*candidates) if candidates else F.lit(None).cast(kind)
-    return fields
+    return df.withColumns(fields).drop("_ladder", "raw")

@@ -10,27 +10,29 @@ from pressloom.sources.config import Route
 MAX_ROUTES = 10_000
 
 
-def _active(since: Column, until: Column, crawl_ts: Column) -> Column:
-    """Half-open validity, so adjacent routes share a bound without overlap; open sides are null."""
-    return (since.isNull() | (crawl_ts >= since)) & (until.isNull() | (crawl_ts < until))
-
-
 def route_column(url: Column, crawl_ts: Column, routes: list[Route]) -> Column:
-    """Extractor of the first matching route, as one CASE: no join, and each URL pattern is tested once per row."""
+    """Extractor of the first matching route, as one CASE: no join, and each URL pattern is tested once per row.
+
+    Validity is half-open, so adjacent routes share a bound without overlap.
+    """
     per_pattern: dict[str, list[Route]] = {}
     for route in routes:
         per_pattern.setdefault(route.regex, []).append(route)
     choices = []
     for pattern, group in per_pattern.items():
-        named = [
-            F.when(_active(_time(r.since), _time(r.until), crawl_ts), F.lit(r.extractor)) for r in group
-        ]
-        choices.append(F.when(url.rlike(_searchable(pattern)), F.coalesce(*named)))
+        named = [_while_active(r, crawl_ts) for r in group]
+        choices.append(F.when(url.rlike(_searchable(pattern)), F.coalesce(*named) if len(named) > 1 else named[0]))
     return F.coalesce(*choices) if choices else F.lit(None).cast("string")
 
 
-def _time(value: str | None) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+def _while_active(route: Route, crawl_ts: Column) -> Column:
+    name, active = F.lit(route.extractor), None
+    if route.since is not None:
+        active = crawl_ts >= F.lit(route.since).cast("timestamp_ntz")
+    if route.until is not None:
+        before = crawl_ts < F.lit(route.until).cast("timestamp_ntz")
+        active = before if active is None else active & before
+    return name if active is None else F.when(active, name)
 
 
 def _searchable(pattern: str) -> str:
@@ -51,5 +53,7 @@ def route_join(pages: DataFrame, routes: DataFrame, site_pattern: str) -> DataFr
         raise ValueError(f"a route table has at most {MAX_ROUTES} rows")
     keyed = pages.withColumn("site", F.regexp_extract("url", site_pattern, 1)).alias("p")
     table = F.broadcast(routes).alias("r")
-    on = (F.col("p.site") == F.col("r.site")) & _active(F.col("r.since"), F.col("r.until"), F.col("p.crawl_ts"))
+    since, until, crawled = F.col("r.since"), F.col("r.until"), F.col("p.crawl_ts")
+    active = (since.isNull() | (crawled >= since)) & (until.isNull() | (crawled < until))
+    on = (F.col("p.site") == F.col("r.site")) & active
     return keyed.join(table, on).select("p.*", "r.extractor")

@@ -65,7 +65,7 @@ def extract(
     encoding = "encoding" if "encoding" in pages.columns else None
     routed = route(pages, routes).where(page_filter(site_rules, F.col("url"), status))
     parsed = parse_pages(routed, site_rules, source, encoding).where("raw.kept").drop(source)
-    article = parsed.withColumns(article_fields(site_rules, F.col("crawl_ts")))
+    article = article_fields(parsed, site_rules)
     if required:
         article = article.where(filters.has_required())
     return article.select(
