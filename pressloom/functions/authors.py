@@ -108,8 +108,17 @@ def author_name(c: Column, whole_words: bool = False) -> Column:
 
 def author_names(c: Column, whole_words: bool = False) -> Column:
     """Cleaned names of a list; a null or empty list gives null."""
-    names = F.transform(c, lambda x: capitalized_name(x, whole_words))
-    return F.when(F.size(c) > 0, text.decode_entities_all(names))
+    return text.decode_entities_all(_capitalized_names(c, whole_words))
+
+
+def _capitalized_names(c: Column, whole_words: bool) -> Column:
+    return F.when(F.size(c) > 0, F.transform(c, lambda x: capitalized_name(x, whole_words)))
+
+
+def author_column(df: DataFrame, name: str, whole_words: bool = False) -> DataFrame:
+    """`author_names` on a column, in steps so that the list is handled once."""
+    df = df.withColumn(name, _capitalized_names(F.col(name), whole_words))
+    return df.withColumn(name, text.decode_entities_all(F.col(name)))
 
 
 def is_human_name(c: Column) -> Column:
@@ -125,5 +134,6 @@ def is_human_name(c: Column) -> Column:
 
 def human_authors(c: Column) -> Column:
     """Raw names whose cleaned form is a plausible human name; null when none is left."""
-    kept = F.filter(c, lambda x: is_human_name(bare_name(x)))
+    pairs = F.transform(c, lambda x: F.struct(x.alias("raw"), bare_name(x).alias("bare")))
+    kept = F.transform(F.filter(pairs, lambda p: is_human_name(p["bare"])), lambda p: p["raw"])
     return F.when(F.size(kept) > 0, kept)

@@ -15,9 +15,8 @@ from pyspark.sql import types as T
 
 # Unicode whitespace plus the four ASCII separators. The class reads the same in Java and RE2.
 WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
-# Runs that have to become one space: a lone plain space is left alone, it needs no rewrite.
-_WS_NOT_SPACE = r"[\t-\r\x1c-\x1f\x85\p{Z}&&[^ ]]"
-_RUN = f"{_WS_NOT_SPACE}{WS}*| {WS}+"
+# The same characters one by one, for Spark's native `trim`.
+WS_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 # Site names that close a page title.
 SITE_SUFFIXES = (
@@ -63,8 +62,8 @@ NEEDS_DECODING = rf"&[A-Za-z]|&#[0-9xX]|[^\x00-\x7f](?<![{_stable_class()}])"
 
 
 def strip(c: Column) -> Column:
-    """Remove leading and trailing Unicode whitespace (Spark's `trim` knows the plain space only)."""
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+\z", "")
+    """Remove leading and trailing Unicode whitespace (`trim` alone knows the plain space only)."""
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def unify(c: Column) -> Column:
@@ -81,7 +80,7 @@ def unify_all(c: Column) -> Column:
 
 def squash(c: Column) -> Column:
     """Strip and turn every whitespace run into one space."""
-    return F.trim(F.regexp_replace(c, _RUN, " "))
+    return F.trim(F.regexp_replace(c, f"{WS}+", " "))
 
 
 def _decode(text: str) -> str:
@@ -101,16 +100,19 @@ def _decode_list(lists: pa.Array) -> pa.Array:
     )
 
 
+def _needs_decoding(c: Column) -> Column:
+    """The native tests spare plain ASCII text the regex."""
+    return (c.contains("&") | (F.octet_length(c) > F.length(c))) & c.rlike(NEEDS_DECODING)
+
+
 def decode_entities(c: Column) -> Column:
     """HTML entities, then NFKC. Spark has neither, but only rows that need them travel to Python."""
-    odd = c.rlike(NEEDS_DECODING)
-    return F.when(odd, _decode_text(F.when(odd, c))).otherwise(c)
+    return F.coalesce(_decode_text(F.when(_needs_decoding(c), c)), c)
 
 
 def decode_entities_all(c: Column) -> Column:
     """`decode_entities` for each member of a list."""
-    odd = F.exists(c, lambda x: F.coalesce(x.rlike(NEEDS_DECODING), F.lit(False)))
-    return F.when(odd, _decode_list(F.when(odd, c))).otherwise(c)
+    return F.coalesce(_decode_list(F.when(F.exists(c, _needs_decoding), c)), c)
 
 
 def normalize(c: Column) -> Column:
@@ -125,7 +127,8 @@ def normalize_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _drop_final_dot(c: Column) -> Column:
-    return F.regexp_replace(strip(c), r"(?<=[^.])\.\z", "")
+    single = c.endswith(".") & ~c.endswith("..") & (c != ".")
+    return F.when(single, F.left(c, F.length(c) - 1)).otherwise(c)
 
 
 def _upper_first(c: Column) -> Column:
@@ -134,13 +137,21 @@ def _upper_first(c: Column) -> Column:
 
 def tidy_sentence(c: Column) -> Column:
     """Strip, drop one closing dot (an ellipsis stays), upper-case the first letter of longer texts."""
-    return _upper_first(_drop_final_dot(c))
+    return _upper_first(_drop_final_dot(strip(c)))
 
 
 def tidy_columns(df: DataFrame, *names: str) -> DataFrame:
-    """`tidy_sentence` on several columns in two projections, so that the regexes run once."""
-    trimmed = df.withColumns({n: _drop_final_dot(F.col(n)) for n in names})
-    return trimmed.withColumns({n: _upper_first(F.col(n)) for n in names})
+    """`tidy_sentence` on several columns, one projection per step, so that no text is handled twice."""
+    for step in (strip, _drop_final_dot, _upper_first):
+        df = df.withColumns({n: step(F.col(n)) for n in names})
+    return df
+
+
+def tidy_all(c: Column) -> Column:
+    """`tidy_sentence` for each member of a list, one pass per step."""
+    for step in (strip, _drop_final_dot, _upper_first):
+        c = F.transform(c, step)
+    return c
 
 
 def headline(c: Column) -> Column:
@@ -159,8 +170,18 @@ def category(c: Column) -> Column:
 
 def keywords(c: Column) -> Column:
     """Each keyword: lower-case, normalise, tidy. Null stays null."""
-    lowered = F.transform(c, lambda x: squash(F.lower(x)))
-    return F.transform(decode_entities_all(lowered), tidy_sentence)
+    return tidy_all(decode_entities_all(_lowered(c)))
+
+
+def _lowered(c: Column) -> Column:
+    return F.transform(c, lambda x: squash(F.lower(x)))
+
+
+def keyword_column(df: DataFrame, name: str) -> DataFrame:
+    """`keywords` on a column, in steps so that the list is handled once; null becomes the empty list."""
+    df = df.withColumn(name, _lowered(F.col(name)))
+    df = df.withColumn(name, decode_entities_all(F.col(name)))
+    return df.withColumn(name, or_default(tidy_all(F.col(name)), F.array().cast("array<string>")))
 
 
 def page_headline(c: Column) -> Column:

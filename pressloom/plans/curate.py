@@ -53,8 +53,7 @@ def clean_category(df: DataFrame, extra_synonyms: DataFrame | None = None, fold_
 def clean_texts(df: DataFrame) -> DataFrame:
     """Headline, brief, content and keywords."""
     df = text.tidy_columns(df, "headline", "brief")
-    df = text.normalize_columns(df, "headline", "brief", "content")
-    return df.withColumn("keywords", F.coalesce(text.keywords(F.col("keywords")), F.array().cast("array<string>")))
+    return text.keyword_column(text.normalize_columns(df, "headline", "brief", "content"), "keywords")
 
 
 def enrich(df: DataFrame) -> DataFrame:
@@ -93,7 +92,7 @@ def curate(
     """
     df = articles.withColumn("server", urls.server(F.col("url"))).withColumnRenamed("author", "authors")
     df = clean_category(df, extra_synonyms, fold_keys)
-    df = df.withColumn("authors", names.author_names(F.col("authors")))
+    df = names.author_column(df, "authors")
     df = lookups.authors_with_gender(df, lookups.author_dimension(author_gender), small=small_dimension)
     df = encode(enrich(clean_texts(df)), strict)
     if not split:
