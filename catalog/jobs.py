@@ -147,7 +147,7 @@ def curate_splits(spark, d):
 @query("curate_large_author_list", f"WITH {CURATED_CTES} SELECT * EXCLUDE (sets) FROM curated")
 def curate_large_author_list(spark, d):
     """The same with an author list treated as too large to broadcast."""
-    return shown(curate(raw_articles(spark, d), author_list(spark, d), split=False, small_dimension=False))
+    return shown(curate(raw_articles(spark, d), author_list(spark, d), split=False, shuffle_authors=True))
 
 
 @query(

@@ -118,7 +118,7 @@ GENDER_SQL = f"""WITH lists AS ({LISTS_SQL}), dim AS ({DIMENSION_SQL}),
             coalesce(joint, 0)::INTEGER AS joint FROM lists LEFT JOIN grouped USING (p_partkey)"""
 
 
-def _genders(spark, d, small):
+def _genders(spark, d, shuffle):
     part = table(spark, d, "part")
     gender = F.when(F.col("p_size") % 2 == 0, "male").otherwise("female")
     rows = part.select(F.col("p_name").alias("author"), gender.alias("gender"))
@@ -130,7 +130,7 @@ def _genders(spark, d, small):
         .when(kind == 2, F.array(F.upper("p_name"), "p_name", "p_type"))
     )
     df = part.select("p_partkey", names.alias("authors"))
-    found = lookups.authors_with_gender(df, lookups.author_dimension(rows.unionByName(types)), small=small)
+    found = lookups.authors_with_gender(df, lookups.author_dimension(rows.unionByName(types)), shuffle=shuffle)
     return found.select(
         "p_partkey",
         F.array_join("authors", "|").alias("authors"),
@@ -141,12 +141,12 @@ def _genders(spark, d, small):
 
 @query("author_gender", GENDER_SQL)
 def author_gender(spark, d):
-    return _genders(spark, d, None)
+    return _genders(spark, d, False)
 
 
 @query("author_gender_large_dimension", GENDER_SQL)
 def author_gender_large_dimension(spark, d):
-    return _genders(spark, d, False)
+    return _genders(spark, d, True)
 
 
 SERVER_NAMES = (None, "idnes", "ihned", "novinky", "denik")

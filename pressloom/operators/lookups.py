@@ -92,19 +92,22 @@ def author_dimension(authors: DataFrame) -> DataFrame:
 
 
 def authors_with_gender(
-    df: DataFrame, dimension: DataFrame, column: str = "authors", small: bool | None = None
+    df: DataFrame, dimension: DataFrame, column: str = "authors", shuffle: bool = False
 ) -> DataFrame:
     """Keep the authors known to the dimension (any case) and add `authors_gender` (exact case, else 0).
 
     Null lists become empty. A dimension within the broadcast bound is probed in place, without a shuffle: only the
-    author lists travel to Python. A larger one is joined with the distinct lists, which are few next to the rows.
+    author lists travel to Python. A larger one (or with `shuffle`) is joined with the distinct lists, which are few
+    next to the rows.
     """
-    small = is_small(dimension) if small is None else small
-    return _probe_authors(df, dimension, column) if small else _join_authors(df, dimension, column)
+    if not shuffle:
+        rows = dimension.select("author", "gender").limit(BROADCAST_ROWS + 1).collect()
+        if len(rows) <= BROADCAST_ROWS:
+            return _probe_authors(df, [(r["author"], r["gender"]) for r in rows if r["author"] is not None], column)
+    return _join_authors(df, dimension, column)
 
 
-def _probe_authors(df: DataFrame, dimension: DataFrame, column: str) -> DataFrame:
-    pairs = [(r["author"], r["gender"]) for r in dimension.toLocalIterator()]
+def _probe_authors(df: DataFrame, pairs: list[tuple[str, int]], column: str) -> DataFrame:
     genders = df.sparkSession.sparkContext.broadcast(dict(pairs))
     folded = df.sparkSession.sparkContext.broadcast({name.lower() for name, _ in pairs})
     shape = pa.struct([("names", pa.list_(pa.string())), ("genders", pa.list_(pa.int32()))])

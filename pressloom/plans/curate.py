@@ -9,6 +9,7 @@ from pressloom.functions import authors as names
 from pressloom.functions import dates, labels, text, urls
 from pressloom.functions.categories import category_table, synonym_table
 from pressloom.operators import lookups, splits
+from pressloom.sources.layout import spread
 
 COLUMNS = (
     "url",
@@ -84,16 +85,17 @@ def curate(
     strict: bool = False,
     extra_synonyms: DataFrame | None = None,
     fold_keys: bool = False,
-    small_dimension: bool | None = None,
+    shuffle_authors: bool = False,
 ) -> DataFrame:
     """The curated dataset, one row per article and split (or per article without `split`).
 
-    With an author list that fits the broadcast bound the whole job runs without a shuffle.
+    With an author list that fits the broadcast bound the whole job runs without a shuffle, except that a small
+    input is spread over the cores.
     """
-    df = articles.withColumn("server", urls.server(F.col("url"))).withColumnRenamed("author", "authors")
+    df = spread(articles).withColumn("server", urls.server(F.col("url"))).withColumnRenamed("author", "authors")
     df = clean_category(df, extra_synonyms, fold_keys)
     df = names.author_column(df, "authors")
-    df = lookups.authors_with_gender(df, lookups.author_dimension(author_gender), small=small_dimension)
+    df = lookups.authors_with_gender(df, lookups.author_dimension(author_gender), shuffle=shuffle_authors)
     df = encode(enrich(clean_texts(df)), strict)
     if not split:
         return df.select(*COLUMNS)

@@ -14,6 +14,7 @@ from pressloom.operators.routing import route
 from pressloom.plans.sites import Site, sites as registered_sites
 from pressloom.schemas import CAPTURE
 from pressloom.sources.config import DEFAULT_ROUTES, Route
+from pressloom.sources.layout import spread
 
 
 def page_filter(sites: dict[str, Site], url: Column, http_status: Column) -> Column:
@@ -51,7 +52,8 @@ def extract(
     """Article rows of a page table.
 
     Needs `url`, `crawl_ts` and `html` (text) or `body` (bytes); `http_status` and the capture columns are optional.
-    The job is map-only: routing and native filters run below the one Python step, cleaning runs above it.
+    Routing and native filters run below the one Python step, cleaning runs above it. There is no shuffle, except
+    that a small input is spread over the cores.
     """
     site_rules = registered_sites() if sites is None else sites
     used = {r.extractor for r in routes}
@@ -64,7 +66,7 @@ def extract(
     status = F.col("http_status") if "http_status" in pages.columns else F.lit(None).cast("int")
     encoding = "encoding" if "encoding" in pages.columns else None
     routed = route(pages, routes).where(page_filter(site_rules, F.col("url"), status))
-    parsed = parse_pages(routed, site_rules, source, encoding).where("raw.kept").drop(source)
+    parsed = parse_pages(spread(routed), site_rules, source, encoding).where("raw.kept").drop(source)
     article = article_fields(parsed, site_rules)
     if required:
         article = article.where(filters.has_required())

@@ -16,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
     "spark.sql.parquet.compression.codec": "zstd",
+    # plans are built from many small expressions, the call sites of which nobody looks up
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

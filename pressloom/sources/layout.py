@@ -1,0 +1,21 @@
+"""Task layout of inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Below this much input per core a file layout can leave cores idle; above it, scans have tasks for all of them.
+SMALL_INPUT_PER_CORE = 16 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a small batch input over the cores, so that one file with one row group is not one task.
+
+    The decision uses the planner's size estimate. Larger inputs and streams keep their scan splits and are not
+    shuffled.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if estimate <= cores * SMALL_INPUT_PER_CORE else df
