@@ -6,11 +6,11 @@ strings; all cleaning happens in Spark on the columns that come back.
 
 from __future__ import annotations
 
+import html
 import re
 import sys
 from collections.abc import Iterator
 from functools import lru_cache
-from html.parser import HTMLParser
 
 # Elements without content, and elements whose text is not part of the page text.
 VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
@@ -34,95 +34,114 @@ def unify(text: str) -> str:
     return text.replace("\xa0", " ").strip()
 
 
+# A tag with its attributes (a quote counts only after "="), a CDATA section, a comment or another declaration.
+_TOKEN = re.compile(
+    r"""<(?:(/?)([a-z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*')?+)*+)>
+    |!\[CDATA\[(.*?)\]\]>|!--.*?(?:-->|\Z)|/?[!?/][^>]*>|/[^a-z>][^>]*>)""",
+    re.S | re.I | re.X,
+)
+_ATTRIBUTE = re.compile(r"""([^\s/=][^\s/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'][^\s]*)?))?""")
+_RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in ("script", "style")}
+
+
 class Element:
-    __slots__ = ("name", "attrs", "classes", "parent", "children", "nth", "index", "last", "text_from", "text_to")
+    __slots__ = ("name", "markup", "parent", "children", "nth", "index", "last", "text_from", "text_to", "_attrs")
 
-    def __init__(self, name: str, attrs: dict[str, str], parent: Element | None, index: int, text_from: int):
-        self.name, self.attrs, self.parent, self.index, self.text_from = name, attrs, parent, index, text_from
-        self.classes = attrs["class"].split() if "class" in attrs else ()
+    def __init__(self, name: str, markup: str, parent: Element | None, index: int, text_from: int):
+        self.name, self.markup, self.parent, self.index, self.text_from = name, markup, parent, index, text_from
         self.children: list[Element] = []
-        self.nth = 1
-        self.last = self.text_to = -1
+        self.nth, self.last, self.text_to = 1, index, text_from
+        self._attrs: dict[str, str] | None = None
+
+    @property
+    def attrs(self) -> dict[str, str]:
+        """Attributes, read when first asked for; the last of equal names wins."""
+        if self._attrs is None:
+            self._attrs = {
+                name.lower(): html.unescape(double or single or bare)
+                for name, double, single, bare in (_ATTRIBUTE.findall(self.markup) if self.markup else ())
+            }
+        return self._attrs
+
+    @property
+    def classes(self) -> list[str]:
+        return self.attrs["class"].split() if "class" in self.attrs else []
 
 
-class Page(HTMLParser):
-    """Elements in document order; the text of an element is a slice of one shared list."""
+class Page:
+    """Elements in document order; the text of an element is a slice of one shared list.
+
+    Unclosed elements stay open to the end of their parent, stray end tags are ignored, void elements are empty.
+    """
 
     def __init__(self, markup: str):
-        super().__init__(convert_charrefs=True)
         self.texts: list[tuple[str, str]] = []
-        self._pending: list[str] = []
-        self._hidden: list[str] = []
-        self._preformatted = 0
         self.by_name: dict[str, list[Element]] = {}
-        self.root = Element("", {}, None, 0, 0)
+        self.root = Element("", "", None, 0, 0)
         self.elements = [self.root]
         self._open = [self.root]
-        self.feed(markup)
-        self.close()
-        self._flush()
+        self._hidden: list[str] = []
+        self._preformatted = 0
+        self._read(markup)
         while self._open:
             self._finish(self._open.pop())
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self._flush()
+    def _read(self, markup: str) -> None:
+        # nothing after the last ">" can be a tag; not looking there keeps broken pages linear
+        at, search, limit = 0, _TOKEN.search, markup.rfind(">") + 1
+        while (token := search(markup, at, limit)) is not None:
+            if token.start() > at:
+                text = markup[at : token.start()]
+                self._add(html.unescape(text) if "&" in text else text)
+            at = token.end()
+            closing, name, rest, section = token.groups()
+            if section is not None:
+                self._add(section)
+            if name is None:
+                continue
+            name = name.lower()
+            if closing:
+                self._close(name)
+                continue
+            self._start(name, rest)
+            if rest.endswith("/"):
+                self._close(name)
+            elif name in _RAW_END:
+                end = _RAW_END[name].search(markup, at)
+                stop = len(markup) if end is None else end.start()
+                self._add(markup[at:stop])
+                at = stop
+        self._add(html.unescape(markup[at:]))
+
+    def _start(self, name: str, rest: str) -> None:
         parent = self._open[-1]
-        element = Element(tag, {k: v or "" for k, v in attrs}, parent, len(self.elements), len(self.texts))
+        element = Element(name, rest, parent, len(self.elements), len(self.texts))
         parent.children.append(element)
         element.nth = len(parent.children)
         self.elements.append(element)
-        self.by_name.setdefault(tag, []).append(element)
-        if tag in VOID:
-            element.last, element.text_to = element.index, len(self.texts)
-            return
-        self._open.append(element)
-        if tag in HIDDEN:
-            self._hidden.append(tag)
-        self._preformatted += tag in PREFORMATTED
-
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag: str) -> None:
-        """Close up to the nearest open element of that name; a stray end tag is ignored."""
-        self._flush()
+        self.by_name.setdefault(name, []).append(element)
+        if name not in VOID:
+            self._open.append(element)
+            if name in HIDDEN:
+                self._hidden.append(name)
+            self._preformatted += name in PREFORMATTED
+
+    def _close(self, name: str) -> None:
         for depth in range(len(self._open) - 1, 0, -1):
-            if self._open[depth].name == tag:
+            if self._open[depth].name == name:
                 while len(self._open) > depth:
                     self._finish(self._open.pop())
                 return
 
-    def handle_data(self, data: str) -> None:
-        self._pending.append(data)
-
-    def handle_comment(self, data: str) -> None:
-        self._flush()
-
-    handle_decl = handle_pi = handle_comment
-
-    def unknown_decl(self, data: str) -> None:
-        self._flush()
-        if data.startswith("CDATA["):
-            self._pending.append(data[6:])
-            self._flush()
-
-    def updatepos(self, i: int, j: int) -> int:
-        """Line numbers are not needed."""
-        return j
-
     def _finish(self, element: Element) -> None:
         element.last, element.text_to = len(self.elements) - 1, len(self.texts)
         if element.name in HIDDEN:
             self._hidden.pop()
         self._preformatted -= element.name in PREFORMATTED
 
-    def _flush(self) -> None:
-        if not self._pending:
+    def _add(self, data: str) -> None:
+        if not data:
             return
-        data = "".join(self._pending)
-        self._pending.clear()
         if not self._preformatted and not data.strip(" \n\t\f\r"):
             data = "\n" if "\n" in data else " "
         self.texts.append((self._hidden[-1] if self._hidden else "", data))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 # Below this much input per core a file layout can leave cores idle; above it, scans have tasks for all of them.
-SMALL_INPUT_PER_CORE = 16 * 1024 * 1024
+SMALL_INPUT_PER_CORE = 32 * 1024 * 1024
 
 
 def spread(df: DataFrame) -> DataFrame:
