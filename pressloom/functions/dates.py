@@ -62,6 +62,11 @@ def _wall_clock(value: Column) -> Column:
     return value.try_cast("timestamp_ntz")
 
 
+def _plain(moment: Column) -> Column:
+    """`yyyy-MM-dd HH:mm:ss`, followed by a fraction if there is one."""
+    return moment.cast("timestamp_ntz").cast("string")
+
+
 def parse(c: Column, pattern: str, year: Column | None = None) -> Column:
     """Parse by a `strptime` pattern; text that does not fit gives null.
 
@@ -113,8 +118,9 @@ def iso_offset(c: Column) -> Column:
 
 
 def iso_text(moment: Column, offset: Column | None = None) -> Column:
-    """`yyyy-MM-dd HH:mm:ss[.ffffff][+HH:MM]`."""
-    shown = F.regexp_replace(F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.000000\z", "")
+    """`yyyy-MM-dd HH:mm:ss[.ffffff][+HH:MM]`. A cast, since `date_format` would move hours that a zone skips."""
+    plain = _plain(moment)
+    shown = F.when(F.length(plain) > 19, F.rpad(plain, 26, "0")).otherwise(plain)
     return shown if offset is None else F.concat(shown, offset)
 
 
@@ -199,8 +205,9 @@ def ladder(
 
 def on_day_of(moment: Column, c: Column) -> Column:
     """`moment` with hour and minute replaced by the first `H:MM` of the text; seconds stay."""
-    clock = F.regexp_extract(c, TIME_OF_DAY, 0)
-    return _wall_clock(F.concat(F.date_format(moment, "yyyy-MM-dd "), clock, F.date_format(moment, ":ss.SSSSSS")))
+    plain = _plain(moment)
+    day, seconds = F.left(plain, F.lit(11)), F.substr(plain, F.lit(17))
+    return _wall_clock(F.concat(day, F.regexp_extract(c, TIME_OF_DAY, 0), seconds))
 
 
 def local_date(c: Column) -> Column:

@@ -84,7 +84,7 @@ def _capture(columns: list[str]) -> Column:
 
     def value(name: str) -> Column:
         if name == "timestamp" and "timestamp" not in columns:
-            return F.date_format("crawl_ts", "yyyy-MM-dd HH:mm:ss")
+            return F.left(F.col("crawl_ts").cast("string"), F.lit(19))
         return F.col(name) if name in columns else F.lit(None)
 
     return F.struct(*[value(f.name).cast(f.dataType).alias(f.name) for f in CAPTURE.fields])
