@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pressloom.sources.readers import read_dataset
 from pressloom.sources.writers import write_dataset
 
 
 def merge(spark: SparkSession, roots: list[str], target: str | None = None) -> DataFrame:
-    """Datasets joined split by split; the split is a partition folder, so this is one read of all roots."""
-    from pressloom.operators.splits import union
+    """Datasets joined split by split; the split is a partition folder, so this is one read of all roots.
 
-    merged = union(*[spark.read.parquet(root) for root in roots])
-    if target is not None:
-        write_dataset(merged, target)
-        return spark.read.parquet(target)
-    return merged
+    With a `target` the result is saved there, and read back.
+    """
+    merged = read_dataset(spark, *roots)
+    if target is None:
+        return merged
+    write_dataset(merged, target)
+    return read_dataset(spark, target)

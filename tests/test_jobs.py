@@ -1,0 +1,420 @@
+"""Lookups, routing, jobs, files and streams on small fixtures, and the shape of their plans."""
+
+from __future__ import annotations
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pressloom.functions.categories import CATEGORIES, synonym_pairs
+from pressloom.operators import duplicates, filters, lookups, pages, routing, splits
+from pressloom.plans.collect import collect
+from pressloom.plans.curate import clean_category, curate
+from pressloom.plans.extract import extract
+from pressloom.plans.merge import merge
+from pressloom.plans.sites import SITES, Site, Take, register_site, sites
+from pressloom.schemas import CAPTURE, RAW_ARTICLE
+from pressloom.sources import index, layout, readers, writers
+from pressloom.sources.config import DEFAULT_ROUTES, Route
+from pressloom.streaming import intake
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+# --- lookups ------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "raw, label",
+    [
+        ("SPORT", "Sport"),
+        ("zprávy z domova", "Home"),
+        ("Vesmír", "Science"),
+        ("pro ženystyl", "Lifestyle"),
+        ("pro ženy", None),
+        # synonyms of categories that are not in the class list
+        ("lidé", None),
+        ("rádce", None),
+        # regional names are written with a capital in the vocabulary, lower-cased probes miss them
+        ("Hradecko", None),
+        ("praha", "Home"),
+        ("Životní styl.", "Lifestyle"),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_category_chain(spark, raw, label):
+    row = clean_category(spark.createDataFrame([(raw,)], "category string")).first()
+    assert (row["category"], row["category_unclean"]) == (label, raw)
+
+
+def test_category_chain_with_folded_extra_synonyms(spark):
+    extra = spark.createDataFrame([("Hradecko", "domácí"), ("praha", "sport")], "synonym string, category string")
+    df = spark.createDataFrame([("hradecko",), ("Praha",), ("hokej",)], "category string")
+    rows = clean_category(df, extra, fold_keys=True).collect()
+    assert sorted(r["category"] for r in rows) == ["Home", "Sport", "Sport"]
+
+
+def test_vocabulary_is_consistent():
+    keys = [s for s, _ in synonym_pairs()]
+    assert len(keys) == len(set(keys))
+    assert all(k == k.lower() for k in keys)
+    assert len(CATEGORIES) == 25 and CATEGORIES[0] == ("Zahraniční", "World") and CATEGORIES[-1] == ("Kolo", "Bike")
+
+
+AUTHORS = [("Jan Novák", "male"), ("Eva Malá", "female"), ("Kdo Ví", " male ")]
+LISTS = [["Jan Novák", "JAN NOVÁK", "x"], ["Eva Malá", "Jan Novák"], [], None, ["x"], ["Jan Novák", "Jan Novák"]]
+FOUND = [
+    (["Jan Novák", "JAN NOVÁK"], [1, 0]),
+    (["Eva Malá", "Jan Novák"], [2, 1]),
+    ([], []),
+    ([], []),
+    ([], []),
+    (["Jan Novák", "Jan Novák"], [1, 1]),
+]
+
+
+@pytest.mark.parametrize("shuffle", [False, True])
+def test_author_gender(spark, shuffle):
+    dimension = lookups.author_dimension(spark.createDataFrame(AUTHORS, "author string, gender string"))
+    # a hot list holds most of the rows
+    rows = [(i, LISTS[i] if i < 6 else LISTS[0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "i int, authors array<string>")
+    got = lookups.authors_with_gender(df, dimension, shuffle=shuffle).orderBy("i").collect()
+    assert [(r["authors"], r["authors_gender"]) for r in got] == [FOUND[i] if i < 6 else FOUND[0] for i in range(60)]
+
+
+def test_author_list_beyond_the_bound_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 2)
+    dimension = lookups.author_dimension(spark.createDataFrame(AUTHORS, "author string, gender string"))
+    df = spark.createDataFrame(list(enumerate(LISTS)), "i int, authors array<string>")
+    found = lookups.authors_with_gender(df, dimension)
+    assert "probe" not in plan(found)
+    assert [(r["authors"], r["authors_gender"]) for r in found.orderBy("i").collect()] == FOUND
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_translate_never_multiplies_rows(spark, small):
+    table = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z"), (None, "n")], "k string, v string")
+    df = spark.createDataFrame([(i, ["a", "B", None][i % 3]) for i in range(90)], "i int, c string")
+    got = lookups.translate(df, "c", table, "k", "v", lower=True, small=small)
+    assert sorted((r["c"] or "") for r in got.collect()) == [""] * 30 + ["y"] * 30 + ["z"] * 30
+    kept = lookups.keep_known(df, "c", table, "k", lower=True, small=small)
+    assert sorted((r["c"] or "") for r in kept.collect()) == [""] * 30 + ["B"] * 30 + ["a"] * 30
+
+
+# --- duplicates, splits -------------------------------------------------------------------------------------------
+
+
+def test_earliest_equals_brute_force_with_a_hot_key(spark):
+    rng = random.Random(3)
+    rows = [("hot" if i % 3 == 0 else f"k{rng.randrange(40)}", rng.randrange(50), i) for i in range(3000)]
+    want = {}
+    for key, ts, i in rows:
+        want[key] = min(want.get(key, (ts, i)), (ts, i))
+    df = spark.createDataFrame(rows, "k string, ts int, i int")
+    first = duplicates.earliest(df, ["k"], ["ts", "i"])
+    assert {r["k"]: (r["ts"], r["i"]) for r in first.collect()} == want
+    # combined before the shuffle, and no window that sorts a whole key in one task
+    text = plan(first)
+    assert "partial_min_by" in text and "Window" not in text
+
+
+def test_fan_out(spark):
+    df = spark.createDataFrame([(1, ["train", "test"]), (2, []), (3, None), (4, ["train"])], "i int, sets array<string>")
+    rows = splits.fan_out(df, F.col("sets"))
+    assert sorted((r["i"], r["split"]) for r in rows.collect()) == [(1, "test"), (1, "train"), (4, "train")]
+    assert {r["split"]: r["n_rows"] for r in splits.split_sizes(rows).collect()} == {"train": 2, "test": 1}
+
+
+def test_unknown_split_raises_or_is_dropped(spark):
+    df = spark.createDataFrame([(1, ["train", "human"])], "i int, sets array<string>")
+    with pytest.raises(Exception, match="unknown split name: human"):
+        splits.fan_out(df, F.col("sets")).collect()
+    assert splits.fan_out(df, F.col("sets"), strict=False).count() == 1
+
+
+# --- routing and extraction ---------------------------------------------------------------------------------------
+
+
+def page(spark, html, url="https://www.aktualne.cz/clanek/1", ts="2021-01-01 00:00:00", status=None):
+    df = spark.createDataFrame([(url, html, status)], "url string, html string, http_status int")
+    return df.withColumn("crawl_ts", F.lit(ts).cast("timestamp_ntz"))
+
+
+@pytest.mark.parametrize(
+    "url, ts, extractor",
+    [
+        ("http://idnes.cz/", "2011-08-08 23:59:59", "idnes_cz_v1"),
+        ("http://idnes.cz/", "2011-08-09 00:00:00", "idnes_cz_v2"),
+        ("http://www.aktualne.cz/", "2019-09-09 23:59:59", "aktualne_cz_v2"),
+        ("http://www.aktualne.cz/", "2019-09-10 00:00:00", "aktualne_cz_v3"),
+        ("http://a.com/?u=irozhlas.cz", "2019-09-10 00:00:00", "irozhlas_cz"),
+        ("http://a.com/", "2019-09-10 00:00:00", None),
+    ],
+)
+def test_routes(spark, url, ts, extractor):
+    routed = routing.route(page(spark, "", url, ts), DEFAULT_ROUTES).collect()
+    assert [r["extractor"] for r in routed] == ([extractor] if extractor else [])
+
+
+ARTICLE = (
+    "<html><head><meta property='og:title' content='Titulek - Aktuálně.cz'><meta name='keywords' content='a, b'></head>"
+    "<body><div class='author'><a class='author__name'>Jan Novák</a></div>"
+    "<div class='article__content'><p>Text&nbsp;článku</p></div></body></html>"
+)
+
+
+def test_extract_one_page(spark):
+    row = extract(page(spark, ARTICLE)).first()
+    assert (row["headline"], row["content"], row["author"]) == ("Titulek", "Text článku", ["Jan Novák"])
+    assert (row["keywords"], row["brief"], row["category"], row["comments_num"]) == (["a", "b"], None, None, None)
+    assert row["file_name"] == "https:__www.aktualne.cz_clanek_1"
+    assert row["domain_record"]["timestamp"] == "2021-01-01 00:00:00"
+    assert row["domain_record"].asDict().keys() == {f.name for f in CAPTURE.fields}
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"status": 404},
+        {"url": "https://www.aktualne.cz/wiki/1"},
+        {"html": ARTICLE.replace("Jan Novák", "foto: x")},
+        {"html": ARTICLE.replace("<p>Text&nbsp;článku</p>", "<div>mimo</div>")},
+        {"html": ARTICLE.replace("Titulek - ", " - ")},
+        {"html": ""},
+    ],
+)
+def test_pages_that_give_nothing(spark, change):
+    assert extract(page(spark, **{"html": ARTICLE, **change})).count() == 0
+
+
+def test_status_200_and_missing_status_are_kept(spark):
+    assert extract(page(spark, ARTICLE, status=200)).count() == 1
+
+
+def test_bytes_are_decoded_with_the_charset_of_the_site(spark):
+    body = (
+        "<title>Žluťoučký kůň - iDNES.cz</title>".join(["<head>", "</head>"])
+        + "<div id='main'><div class='authors'><ul><li><a>Jan</a></li></ul></div>"
+        "<div class='text'><div class='bbtext'><p>Šťáva</p></div></div></div>"
+    ).encode("windows-1250")
+    df = spark.createDataFrame([("http://idnes.cz/1", body, "utf-8")], "url string, body binary, encoding string")
+    row = extract(df.withColumn("crawl_ts", F.lit("2010-01-01 00:00:00").cast("timestamp_ntz"))).first()
+    assert (row["headline"], row["content"]) == ("Žluťoučký kůň", "Šťáva")
+
+
+def test_registered_site_with_hooks(spark):
+    register_site(
+        "my_site",
+        Site(
+            head={"headline": Take(("title",))},
+            root="body",
+            article={"content": Take(("div",), "body", body={"tags": ("p",)}), "author": Take(("i",))},
+            tree_filter=lambda tree: tree.first(tree.root, "b") is None,
+            page_filter=lambda: F.col("url").contains("ok"),
+            hook=lambda tree: {"brief": "EXKLUZIVNĚ. " + tree.text(tree.by_name["p"][0]), "publication_date": "2020-01-05"},
+            host_labels=("www", "sport"),
+        ),
+    )
+    routes = [Route(r".*my\.org.*", "my_site")]
+    html = "<head><title>T</title></head><body><i>Jan</i><div><p>x</p></div></body>"
+    row = extract(page(spark, html, "http://www.my.org/ok"), routes).first()
+    assert (row["brief"], row["publication_date"], row["author"]) == ("x", "2020-01-05 00:00:00", ["Jan"])
+    for bad in (
+        page(spark, html, "http://www.my.org/no"),
+        page(spark, html, "http://blog.my.org/ok"),
+        page(spark, html + "<b>", "http://www.my.org/ok"),
+    ):
+        assert extract(bad, routes).count() == 0
+
+
+def test_route_without_a_rule(spark):
+    with pytest.raises(ValueError, match="nowhere"):
+        extract(page(spark, ""), [Route(".*", "nowhere")])
+
+
+def test_each_page_is_parsed_once_above_the_native_filters(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "SMALL_INPUT_PER_CORE", 0)
+    page(spark, ARTICLE).write.parquet(str(tmp_path / "p"))
+    text = plan(extract(spark.read.parquet(str(tmp_path / "p"))))
+    assert text.count("ArrowEvalPython") == 1
+    assert "Exchange" not in text and "Join" not in text
+    assert text.index("ArrowEvalPython") < text.index("RLIKE(url")
+
+
+def test_all_sites_are_routed():
+    assert {r.extractor for r in DEFAULT_ROUTES} == set(SITES) <= set(sites())
+    assert set(pages.CLEAN) >= {t.clean for s in SITES.values() for st in (s.head, s.article, s.custom) for t in st.values()} - {None}
+
+
+# --- curation -----------------------------------------------------------------------------------------------------
+
+
+def raw(spark, **values):
+    row = {
+        "url": "https://www.idnes.cz/x", "author": ["Mgr. Jan Novák (red)"], "headline": " titulek. ", "brief": None,
+        "publication_date": "2020-01-05T23:30:00+01:00", "keywords": ["PRAHA."], "category": "hokej",
+        "content": "a\n\nb&nbsp;", "comments_num": 3, "domain_record": None, "additional_info": (["train", "test"],),
+    }
+    row.update(values)
+    return spark.createDataFrame([tuple(row[f.name] for f in RAW_ARTICLE.fields)], RAW_ARTICLE)
+
+
+@pytest.fixture
+def dimension(spark):
+    return spark.createDataFrame(AUTHORS, "author string, gender string")
+
+
+def test_curate_one_article(spark, dimension):
+    rows = curate(raw(spark), dimension).orderBy("split").collect()
+    assert [r["split"] for r in rows] == ["test", "train"]
+    row = rows[0].asDict()
+    assert row["headline"] == "Titulek" and row["brief"] is None and row["content"] == "a b "
+    assert (row["category"], row["category_unclean"], row["server"]) == (3, "hokej", 1)
+    assert (row["authors"], row["authors_gender"], row["authors_cum_gender"]) == (["Jan Novák"], [1], 1)
+    assert (str(row["date"]), row["day_of_week"], row["keywords"]) == ("2020-01-05", 7, ["Praha"])
+
+
+def test_curate_nulls(spark, dimension):
+    empty = {n: None for n in ("author", "publication_date", "keywords", "category", "headline", "content", "comments_num")}
+    row = curate(raw(spark, **empty), dimension, split=False).first()
+    assert (row["authors"], row["authors_gender"], row["authors_cum_gender"], row["keywords"]) == ([], [], 0, [])
+    assert (row["date"], row["day_of_week"], row["category"]) == (None, 0, 0)
+
+
+def test_strict_curation_rejects_a_server_without_a_class(spark, dimension):
+    article = raw(spark, url="https://archiv.ihned.cz/1")
+    assert curate(article, dimension, split=False).first()["server"] == 0
+    with pytest.raises(Exception, match="unknown class name: ihned"):
+        curate(article, dimension, split=False, strict=True).collect()
+
+
+def test_label_names_are_metadata(spark, dimension):
+    schema = curate(raw(spark), dimension).schema
+    assert schema["server"].metadata["class_names"][1] == "idnes"
+    assert len(schema["category"].metadata["class_names"]) == 26
+
+
+def test_curation_does_not_shuffle(spark, dimension, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "SMALL_INPUT_PER_CORE", 0)
+    raw(spark).write.parquet(str(tmp_path / "a"))
+    text = plan(curate(spark.read.parquet(str(tmp_path / "a")), dimension))
+    assert "Exchange hashpartitioning" not in text and "RoundRobin" not in text and "SortMergeJoin" not in text
+    assert text.count("BroadcastHashJoin") == 2
+
+
+# --- files --------------------------------------------------------------------------------------------------------
+
+
+def test_dataset_round_trip_prunes_and_merges(spark, dimension, tmp_path):
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    dataset = curate(raw(spark), dimension)
+    writers.write_dataset(dataset, first)
+    writers.write_dataset(dataset.where("split = 'test'"), second)
+    assert {r["split"]: r["n"] for r in merge(spark, [first, second]).groupBy("split").agg(F.count("*").alias("n")).collect()} == {
+        "train": 1,
+        "test": 2,
+    }
+    merge(spark, [first, second], str(tmp_path / "c"))
+    one_split = readers.read_dataset(spark, str(tmp_path / "c"), split="test")
+    assert one_split.count() == 2
+    assert "PartitionFilters: [isnotnull(split" in plan(one_split)
+    assert readers.read_dataset(spark, str(tmp_path / "?")).count() == 6
+
+
+def test_jsonl_cap_and_round_trip(spark, tmp_path):
+    rows = raw(spark).unionByName(raw(spark)).unionByName(raw(spark)).coalesce(1)
+    path = str(tmp_path / "j")
+    writers.write_jsonl(rows, path, records_per_file=2)
+    assert len([f for f in os.listdir(path) if f.endswith(".json")]) == 2
+    assert readers.read_articles(spark, path).exceptAll(rows).count() == 0
+    assert readers.read_articles(spark, path).count() == 3
+
+
+def test_bad_lines_fail_or_are_quarantined(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"url": "a", "author": ["b"]}\n{"url": "c", \n')
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        readers.read_articles(spark, str(tmp_path)).collect()
+    rows = readers.read_articles(spark, str(tmp_path), quarantine=True).select("url", readers.QUARANTINE).collect()
+    assert [r["url"] for r in rows if r[readers.QUARANTINE] is None] == ["a"]
+
+
+def test_article_tree_and_small_lists(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "b" / "1.jsonl").write_text('{"url": "a"}\n')
+    (tmp_path / "2.jsonl").write_text('{"url": "b"}\n')
+    (tmp_path / "3.json").write_text('{"url": "c"}\n')
+    assert sorted(r["url"] for r in readers.read_article_tree(spark, str(tmp_path)).collect()) == ["a", "b"]
+    (tmp_path / "authors.txt").write_text("Jan Novák,male\nEva Malá,female\nKdo Ví,x\n")
+    found = lookups.author_dimension(readers.read_author_gender(spark, str(tmp_path / "authors.txt")))
+    assert {r["author"]: r["gender"] for r in found.collect()} == {"Jan Novák": 1, "Eva Malá": 2, "Kdo Ví": 2}
+    (tmp_path / "stop.txt").write_text("Sudoku\nPočasí\n")
+    df = spark.createDataFrame([("Sudoku",), ("Zpráva",), (None,)], "headline string")
+    kept = filters.without_headlines(df, readers.read_stop_list(spark, str(tmp_path / "stop.txt")))
+    assert sorted(str(r["headline"]) for r in kept.collect()) == ["None", "Zpráva"]
+
+
+def test_html_folder(spark, tmp_path):
+    (tmp_path / "a.html").write_text(ARTICLE)
+    (tmp_path / "b.txt").write_text(ARTICLE)
+    files = readers.read_html_folder(spark, str(tmp_path), date="2021-01-01 00:00:00", url="https://www.aktualne.cz/x")
+    row = extract(files).first()
+    assert (row["headline"], row["domain_record"]["filename"]) == ("Titulek", "a.html")
+    assert files.count() == 1
+
+
+def test_label_json(spark, dimension):
+    rows = curate(raw(spark), dimension, split=False)
+    line = rows.select(writers.label_json(rows).alias("j")).first()["j"]
+    assert '"server":"idnes"' in line and '"authors_gender":["Man"]' in line and '"date":"2020-01-05"' in line
+    assert '"day_of_week":"Sunday"' in line and '"brief":null' in line
+
+
+INDEX = [
+    '{"digest": "A", "url": "http://m.idnes.cz/1", "timestamp": "2020-01-02 00:00:00", "filename": "f", "offset": 9}',
+    '{"domain_record": {"digest": "A", "url": "http://idnes.cz/1", "timestamp": "2020-01-01 00:00:00", "offset": 3000000000}}',
+    '{"digest": "B", "url": "http://xidnes.cz/1", "timestamp": "2020-01-01 00:00:00"}',
+    '{"digest": "C", "url": "http://idnes.cz/2", "timestamp": "2019-01-01 00:00:00"}',
+]
+
+
+def test_collect(spark, tmp_path):
+    (tmp_path / "i.jsonl").write_text("\n".join(INDEX))
+    captures = index.read_index(spark, str(tmp_path))
+    assert captures.count() == 4
+    kept = collect(captures, ["idnes.cz"], since="2019-06-01").collect()
+    assert [(r["digest"], r["offset"]) for r in kept] == [("A", 3000000000)]
+    assert collect(captures, ["idnes.cz"], to="2019-01-01 00:00:00").first()["digest"] == "C"
+    assert index.query_index(captures, ["idnes.cz"], limit=1).count() == 1
+
+
+# --- streams ------------------------------------------------------------------------------------------------------
+
+
+def test_stream_keeps_its_state_over_a_restart(spark, tmp_path):
+    source = tmp_path / "queue.idnes"
+    source.mkdir()
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def drain():
+        lines = intake.read_index_stream(spark, str(tmp_path / "queue.*"))
+        intake.write_stream(intake.drop_duplicates(lines, ["digest"]), out, checkpoint).awaitTermination()
+        return sorted(r["digest"] for r in spark.read.parquet(out).collect())
+
+    (source / "1.json").write_text("\n".join(INDEX[:2]))
+    assert drain() == ["A"]
+    (source / "2.json").write_text(INDEX[0] + "\n" + INDEX[2])
+    assert drain() == ["A", "B"]
+
+
+def test_stream_extract(spark, tmp_path):
+    pages_ = page(spark, ARTICLE)
+    pages_.write.parquet(str(tmp_path / "in"))
+    stream = intake.extract_stream(intake.read_stream(spark, str(tmp_path / "in"), pages_.schema))
+    intake.write_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).first()["headline"] == "Titulek"
