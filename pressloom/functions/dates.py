@@ -212,7 +212,7 @@ def on_day_of(moment: Column, c: Column) -> Column:
 
 def local_date(c: Column) -> Column:
     """ISO text to its local calendar date."""
-    return F.substring(c, 1, 10).try_cast("date")
+    return F.regexp_extract(c, r"^\d{4}-\d{2}-\d{2}", 0).try_cast("date")
 
 
 def day_of_week(c: Column) -> Column:

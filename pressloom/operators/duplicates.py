@@ -8,16 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def earliest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row of each key by `order`.
+# Groups per key in the first step: a hot key with one large row per input task is spread over as many tasks.
+SALT = 16
 
-    `min_by` combines on the map side, so a key that holds a large part of the rows leaves each task as one row;
-    a window would bring that whole key into one task. `order` should end in columns that make it total.
+
+def earliest(df: DataFrame, keys: Sequence[str], order: Sequence[str], salt: int = SALT) -> DataFrame:
+    """First row of each key by `order`, which should end in columns that make it total.
+
+    `min_by` combines on the map side, so a key that holds a large part of the rows leaves each input task as one
+    row; a window would bring that whole key into one task. The first shuffle is salted by input task, which keeps
+    the combining and splits what is left of a hot key. With `salt=1` there is one shuffle only, for slim rows.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    first = F.min_by(row, F.struct(*[F.col(f"`{c}`") for c in order]))
-    picked = df.groupBy(*[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)]).agg(first.alias("_row"))
-    return picked.select("_row.*")
+    rank = F.struct(*[F.col(f"`{c}`") for c in order])
+    names = [f"_key{i}" for i in range(len(keys))]
+    ranked = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], row.alias("_row"), rank.alias("_rank"))
+    if salt > 1:
+        ranked = ranked.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt)))
+        ranked = ranked.groupBy(*names, "_salt").agg(F.min_by("_row", "_rank").alias("_row"), F.min("_rank").alias("_rank"))
+    return ranked.groupBy(*names).agg(F.min_by("_row", "_rank").alias("_row")).select("_row.*")
 
 
 def any_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return table.limit(rows + 1).count() <= rows
 
 
-def _lookup(df: DataFrame, table: DataFrame, key: Column, small: bool) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, key: Column, small: bool) -> DataFrame:
     """Left join on `_key`. Beyond the broadcast bound both sides shuffle, salted against hot keys; null keys
     match nothing and are spread by the salt as well."""
     probe = df.withColumn("_key", key)
@@ -54,7 +54,7 @@ def translate(
     if not unique:
         keyed = keyed.groupBy("_key").agg(F.max("_to").alias("_to"))
     probe = F.lower(column) if lower else F.col(column)
-    joined = _lookup(df, keyed, probe, small)
+    joined = lookup(df, keyed, probe, small)
     return joined.withColumn(column, F.coalesce("_to", column)).drop("_to")
 
 
@@ -72,7 +72,7 @@ def keep_known(
     fold = F.lower if lower else (lambda c: c)
     keyed = table.select(fold(F.col(name)).alias("_key")).where("_key is not null")
     keyed = keyed if unique else keyed.distinct()
-    joined = _lookup(df, keyed.withColumn("_hit", F.lit(True)), fold(F.col(column)), small)
+    joined = lookup(df, keyed.withColumn("_hit", F.lit(True)), fold(F.col(column)), small)
     return joined.withColumn(column, F.when(F.col("_hit"), F.col(column))).drop("_hit")
 
 
@@ -137,7 +137,7 @@ def _join_authors(df: DataFrame, dimension: DataFrame, column: str) -> DataFrame
     )
     entry = F.struct("_pos", "_name", F.coalesce("_gender", F.lit(0)).alias("_gender"))
     table = matched.groupBy("_key").agg(F.sort_array(F.collect_list(entry)).alias("_found"))
-    joined = _lookup(df, table, F.when(F.size(column) > 0, F.col(column)), small=False)
+    joined = lookup(df, table, F.when(F.size(column) > 0, F.col(column)), small=False)
     empty_names, empty_codes = F.array().cast("array<string>"), F.array().cast("array<int>")
     return joined.withColumns(
         {

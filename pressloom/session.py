@@ -8,12 +8,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Pages can be large, so Arrow batches are bounded by bytes and by a low row count.
+# Pages can be large, so Arrow batches are bounded by bytes.
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
     "spark.sql.parquet.compression.codec": "zstd",
     # plans are built from many small expressions, the call sites of which nobody looks up

@@ -152,5 +152,5 @@ def test_json_ld(one):
 
 
 def test_weekday(one):
-    days = ["2020-01-06", "2020-01-12", None]
-    assert one(lambda c: dates.day_of_week(dates.local_date(c)), days) == [1, 7, 0]
+    days = ["2020-01-06", "2020-01-12T23:00:00+02:00", None, "2020", "2020-02-30"]
+    assert one(lambda c: dates.day_of_week(dates.local_date(c)), days) == [1, 7, 0, 0, 0]

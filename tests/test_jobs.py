@@ -117,11 +117,12 @@ def test_earliest_equals_brute_force_with_a_hot_key(spark):
     for key, ts, i in rows:
         want[key] = min(want.get(key, (ts, i)), (ts, i))
     df = spark.createDataFrame(rows, "k string, ts int, i int")
-    first = duplicates.earliest(df, ["k"], ["ts", "i"])
-    assert {r["k"]: (r["ts"], r["i"]) for r in first.collect()} == want
-    # combined before the shuffle, and no window that sorts a whole key in one task
-    text = plan(first)
-    assert "partial_min_by" in text and "Window" not in text
+    for salt in (1, 16):
+        first = duplicates.earliest(df.repartition(7), ["k"], ["ts", "i"], salt=salt)
+        assert {r["k"]: (r["ts"], r["i"]) for r in first.collect()} == want
+        # combined before the shuffle, and no window that sorts a whole key in one task
+        text = plan(first)
+        assert "partial_min_by" in text and "Window" not in text
 
 
 def test_fan_out(spark):
@@ -359,6 +360,16 @@ def test_article_tree_and_small_lists(spark, tmp_path):
     assert sorted(str(r["headline"]) for r in kept.collect()) == ["None", "Zpráva"]
 
 
+def test_long_stop_list(spark, monkeypatch):
+    rows = [(i, "hot" if i % 3 else f"h{i}") for i in range(300)] + [(300, None)]
+    df = spark.createDataFrame(rows, "i int, headline string")
+    stop = spark.createDataFrame([("hot",), ("h3",), (None,), ("hot",)], "headline string")
+    want = sorted(i for i, h in rows if h not in ("hot", "h3"))
+    for bound in (1, 10):
+        monkeypatch.setattr(filters, "is_small", lambda t, bound=bound: lookups.is_small(t, bound))
+        assert sorted(r["i"] for r in filters.without_headlines(df, stop).collect()) == want
+
+
 def test_html_folder(spark, tmp_path):
     (tmp_path / "a.html").write_text(ARTICLE)
     (tmp_path / "b.txt").write_text(ARTICLE)
@@ -375,6 +386,24 @@ def test_label_json(spark, dimension):
     assert '"day_of_week":"Sunday"' in line and '"brief":null' in line
 
 
+def test_from_page_to_dataset(spark, dimension, tmp_path):
+    """Extraction output is read back by curation; its comment counts are digits in quotes."""
+    html = (
+        "<head><meta property='og:title' content='titulek.'></head><body><div id='obsah'><p class='clanek-autor'>Jan Novák"
+        "</p><div id='disqusCounter'><span>7 názorů</span></div><div class='clanek-text'><p>Text</p></div></div></body>"
+    )
+    articles = extract(page(spark, html, ts="2014-01-01 00:00:00"))
+    writers.write_jsonl(articles, str(tmp_path / "a"))
+    rows = readers.read_articles(spark, str(tmp_path / "a"))
+    assert rows.schema["comments_num"].dataType.typeName() == "integer"
+    row = curate(rows, dimension, split=False).first()
+    assert (row["comments_num"], row["server"], row["authors"], row["headline"]) == (7, 3, ["Jan Novák"], "Titulek")
+    sets = F.struct(F.array(F.lit("train")).alias("sets"))
+    dataset = curate(rows.withColumn("additional_info", sets), dimension)
+    writers.write_dataset(dataset, str(tmp_path / "d"), rebalance=True)
+    assert readers.read_dataset(spark, str(tmp_path / "d"), split="train").count() == 1
+
+
 INDEX = [
     '{"digest": "A", "url": "http://m.idnes.cz/1", "timestamp": "2020-01-02 00:00:00", "filename": "f", "offset": 9}',
     '{"domain_record": {"digest": "A", "url": "http://idnes.cz/1", "timestamp": "2020-01-01 00:00:00", "offset": 3000000000}}',
