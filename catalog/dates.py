@@ -127,8 +127,8 @@ def date_ladder(spark, d):
     footer = F.when(kind != 7, F.concat(F.lit("© 1999 – 2013 "), kind.cast("string")))
     crawl = (F.col("ts") + F.expr("INTERVAL '3 00:00:07' DAY TO SECOND")).cast("timestamp_ntz")
     formats = (dates.DAY_TIME_SPACED, dates.DAY_SPACED)
-    value = dates.ladder(raw, crawl, formats, footer, dates.DAY_TIME_NO_YEAR, time_of_crawl_day=True)
-    return df.select("event_id", dates.iso_text(value).alias("published"))
+    df = dates.ladder_column(df, "moment", raw, crawl, formats, footer, dates.DAY_TIME_NO_YEAR, time_of_crawl_day=True)
+    return df.select("event_id", dates.iso_text(F.col("moment")).alias("published"))
 
 
 @query(

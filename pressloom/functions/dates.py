@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions import text
@@ -203,6 +203,27 @@ def ladder(
     return climb(cleaned, without_noise(cleaned), crawl_ts, formats, year, no_year_format, time_of_crawl_day)
 
 
+def ladder_column(
+    df: DataFrame,
+    name: str,
+    raw: Column,
+    crawl_ts: Column,
+    formats: Sequence[str],
+    year_text: Column | None = None,
+    no_year_format: str | None = None,
+    time_of_crawl_day: bool = False,
+    **cleaning,
+) -> DataFrame:
+    """The ladder as a new column, in steps so that no text is cleaned twice."""
+    year = F.lit(None).cast("string") if year_text is None else footer_year(year_text)
+    df = df.withColumns({"_cleaned": date_text(raw, **cleaning), "_year": year, "_crawled": crawl_ts})
+    df = df.withColumn("_quiet", without_noise(F.col("_cleaned")))
+    steps = climb(
+        F.col("_cleaned"), F.col("_quiet"), F.col("_crawled"), formats, F.col("_year"), no_year_format, time_of_crawl_day
+    )
+    return df.withColumn(name, steps).drop("_cleaned", "_year", "_crawled", "_quiet")
+
+
 def on_day_of(moment: Column, c: Column) -> Column:
     """`moment` with hour and minute replaced by the first `H:MM` of the text; seconds stay."""
     plain = _plain(moment)

@@ -200,7 +200,13 @@ def compile_selector(css: str) -> tuple:
 
 
 def _passes(element: Element, tests: tuple) -> bool:
+    markup = element.markup
+    if tests and not markup:
+        return False
     for name, op, value in tests:
+        # most elements fail here, before their attributes are read; entities and folded values need the full test
+        if value not in markup and "&" not in markup and " " not in value and name != "type":
+            return False
         if op == ".":
             if value not in element.classes:
                 return False
