@@ -92,8 +92,8 @@ def dataset_brief(spark, d):
         SELECT doc_id, string_agg(y, chr(10) ORDER BY pos) AS keywords FROM u GROUP BY doc_id""",
 )
 def dataset_keywords(spark, d):
-    words = text.or_default(text.keywords(F.split("text", ",")), F.array().cast("array<string>"))
-    return table(spark, d, "documents").select("doc_id", F.array_join(words, "\n").alias("keywords"))
+    lists = table(spark, d, "documents").select("doc_id", F.split("text", ",").alias("keywords"))
+    return text.keyword_column(lists, "keywords").withColumn("keywords", F.array_join("keywords", "\n"))
 
 
 @query(

@@ -93,9 +93,10 @@ def curate(
     input is spread over the cores.
     """
     df = spread(articles).withColumn("server", urls.server(F.col("url"))).withColumnRenamed("author", "authors")
-    df = clean_category(df, extra_synonyms, fold_keys)
+    # authors come first: a large author list reads the input twice, and only the part of the plan below
     df = names.author_column(df, "authors")
     df = lookups.authors_with_gender(df, lookups.author_dimension(author_gender), shuffle=shuffle_authors)
+    df = clean_category(df, extra_synonyms, fold_keys)
     df = encode(enrich(clean_texts(df)), strict)
     if not split:
         return df.select(*COLUMNS)

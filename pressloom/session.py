@@ -31,6 +31,9 @@ def build_session(app_name: str = "pressloom", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below `spark.checkpoint.dir`, which every executor can reach.
 
@@ -40,6 +43,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="pressloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _local_roots.get(app) or _local_roots.setdefault(app, tempfile.mkdtemp(prefix="pressloom-"))
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
