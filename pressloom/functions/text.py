@@ -87,13 +87,11 @@ def _decode(text: str) -> str:
     return unicodedata.normalize("NFKC", html.unescape(text))
 
 
-@F.arrow_udf(T.StringType())
-def _decode_text(texts: pa.Array) -> pa.Array:
+def _decode_texts(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else _decode(t) for t in texts.to_pylist()], pa.string())
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def _decode_list(lists: pa.Array) -> pa.Array:
+def _decode_lists(lists: pa.Array) -> pa.Array:
     return pa.array(
         [None if m is None else [None if t is None else _decode(t) for t in m] for m in lists.to_pylist()],
         pa.list_(pa.string()),
@@ -107,12 +105,14 @@ def _needs_decoding(c: Column) -> Column:
 
 def decode_entities(c: Column) -> Column:
     """HTML entities, then NFKC. Spark has neither, but only rows that need them travel to Python."""
-    return F.coalesce(_decode_text(F.when(_needs_decoding(c), c)), c)
+    decode = F.arrow_udf(_decode_texts, T.StringType())
+    return F.coalesce(decode(F.when(_needs_decoding(c), c)), c)
 
 
 def decode_entities_all(c: Column) -> Column:
     """`decode_entities` for each member of a list."""
-    return F.coalesce(_decode_list(F.when(F.exists(c, _needs_decoding), c)), c)
+    decode = F.arrow_udf(_decode_lists, T.ArrayType(T.StringType()))
+    return F.coalesce(decode(F.when(F.exists(c, _needs_decoding), c)), c)
 
 
 def normalize(c: Column) -> Column:

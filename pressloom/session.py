@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,7 +29,24 @@ def build_session(app_name: str = "pressloom", master: str | None = None, **conf
     settings = {**RECOMMENDED_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="pressloom-"), "pressloom")
+    shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(f"{archive}.zip")
+    _shipped.add(app)
 
 
 _local_roots: dict[str, str] = {}
