@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 # Up to this many rows a lookup table is sent to every executor.
 BROADCAST_ROWS = 500_000
-# Copies of a lookup row in the shuffled form, so that one hot key is spread over as many tasks.
-SALT = 64
+# In the shuffled form a key with at least this many rows is hot. At most HOT_KEYS of them, the most frequent ones,
+# are spread over SALT tasks each; the bounds keep the copies of their lookup rows few.
+HOT_ROWS = 1_000_000
+HOT_KEYS = 1_000
+SALT = 4096
 
 
 def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -18,14 +21,21 @@ def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 
 def lookup(df: DataFrame, table: DataFrame, key: Column, small: bool) -> DataFrame:
-    """Left join on `_key`. Beyond the broadcast bound both sides shuffle, salted against hot keys; null keys
-    match nothing and are spread by the salt as well."""
+    """Left join with a table of unique `_key`s. Beyond the broadcast bound it is a shuffle join, in which the rows
+    of hot keys and of null keys (which match nothing) are salted. Only hot lookup rows are copied."""
     probe = df.withColumn("_key", key)
     if small:
         return probe.join(F.broadcast(table), "_key", "left").drop("_key")
-    salted = probe.withColumn("_salt", F.pmod(F.xxhash64(*_plain(df)), F.lit(SALT)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    return salted.join(copies, ["_key", "_salt"], "left").drop("_key", "_salt")
+    frequent = probe.where("_key IS NOT NULL").groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") >= HOT_ROWS)
+    hot = F.broadcast(frequent.orderBy(F.desc("_n")).limit(HOT_KEYS).select("_key", F.lit(True).alias("_hot")))
+    # the input task is part of the salt, so equal rows are spread as well; it is the same when a task is run again
+    spread = F.pmod(F.xxhash64(*_plain(df), F.spark_partition_id()), F.lit(SALT)).cast("int")
+    salted = probe.join(hot, "_key", "left").withColumn(
+        "_salt", F.when(F.col("_hot") | F.col("_key").isNull(), spread).otherwise(0)
+    )
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
+    copies = table.join(hot, "_key", "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return salted.drop("_hot").join(copies, ["_key", "_salt"], "left").drop("_key", "_salt")
 
 
 def _plain(df: DataFrame) -> list[Column]:
@@ -126,17 +136,15 @@ def _probe_authors(df: DataFrame, pairs: list[tuple[str, int]], column: str) ->
 
 
 def _join_authors(df: DataFrame, dimension: DataFrame, column: str) -> DataFrame:
-    lists = df.select(F.col(column).alias("_key")).where(F.size(column) > 0).distinct()
-    names = lists.select("_key", F.posexplode("_key").alias("_pos", "_name"))
-    exact = dimension.select(F.col("author").alias("_name"), F.col("gender").alias("_gender"))
-    known = dimension.select(F.lower("author").alias("_folded")).distinct().withColumn("_hit", F.lit(True))
-    matched = (
-        names.withColumn("_folded", F.lower("_name"))
-        .transform(lambda d: _salted_join(d, known, "_folded", "inner"))
-        .transform(lambda d: _salted_join(d, exact, "_name", "left"))
-    )
+    lists = df.select(F.col(column).alias("_list")).where(F.size(column) > 0).distinct()
+    names = lists.select("_list", F.posexplode("_list").alias("_pos", "_name"))
+    exact = dimension.select(F.col("author").alias("_key"), F.col("gender").alias("_gender"))
+    known = dimension.select(F.lower("author").alias("_key")).distinct().withColumn("_hit", F.lit(True))
+    matched = lookup(names, known, F.lower("_name"), small=False).where("_hit")
+    matched = lookup(matched, exact, F.col("_name"), small=False)
     entry = F.struct("_pos", "_name", F.coalesce("_gender", F.lit(0)).alias("_gender"))
-    table = matched.groupBy("_key").agg(F.sort_array(F.collect_list(entry)).alias("_found"))
+    found = matched.groupBy("_list").agg(F.sort_array(F.collect_list(entry)).alias("_found"))
+    table = found.withColumnRenamed("_list", "_key")
     joined = lookup(df, table, F.when(F.size(column) > 0, F.col(column)), small=False)
     empty_names, empty_codes = F.array().cast("array<string>"), F.array().cast("array<int>")
     return joined.withColumns(
@@ -145,10 +153,3 @@ def _join_authors(df: DataFrame, dimension: DataFrame, column: str) -> DataFrame
             "authors_gender": F.coalesce(F.col("_found._gender"), empty_codes),
         }
     ).drop("_found")
-
-
-def _salted_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
-    """Shuffle join with each right row copied once per salt, so a frequent name is spread over the copies."""
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64("_key", "_pos"), F.lit(SALT)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")

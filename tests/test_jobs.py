@@ -88,6 +88,24 @@ def test_author_gender(spark, shuffle):
     assert [(r["authors"], r["authors_gender"]) for r in got] == [FOUND[i] if i < 6 else FOUND[0] for i in range(60)]
 
 
+def test_hot_keys_are_salted(spark, monkeypatch):
+    """One key holds a third of the rows, null another third; every row comes back once, in salted partitions."""
+    monkeypatch.setattr(lookups, "HOT_ROWS", 50)
+    monkeypatch.setattr(lookups, "SALT", 8)
+    rows = [(i, ["hot", None, f"k{i}"][i % 3]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "i int, c string").repartition(5)
+    table = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"v{i}") for i in range(0, 3000, 2)], "k string, v string")
+    keyed = table.select(F.col("k").alias("_key"), F.col("v").alias("_to"))
+    got = lookups.lookup(df, keyed, F.col("c"), small=False).collect()
+    assert sorted(r["i"] for r in got) == list(range(3000))
+    want = {i: {"hot": "H", None: None}.get(c, f"v{i}" if i % 2 == 0 else None) for i, c in rows}
+    assert {r["i"]: r["_to"] for r in got} == want
+    dimension = lookups.author_dimension(spark.createDataFrame(AUTHORS, "author string, gender string"))
+    lists = spark.createDataFrame([(i, LISTS[i % 6]) for i in range(600)], "i int, authors array<string>")
+    found = lookups.authors_with_gender(lists, dimension, shuffle=True).orderBy("i").collect()
+    assert [(r["authors"], r["authors_gender"]) for r in found] == [FOUND[i % 6] for i in range(600)]
+
+
 def test_author_list_beyond_the_bound_is_shuffled(spark, monkeypatch):
     monkeypatch.setattr(lookups, "BROADCAST_ROWS", 2)
     dimension = lookups.author_dimension(spark.createDataFrame(AUTHORS, "author string, gender string"))
