@@ -59,7 +59,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.n
             own = np.unique(shingle[first : first + size - width + 1])
         elif size:
             # the whole short sequence is the only member; its length keeps it apart from full shingles
-            own = mix(np.array([(word[first : first + size] * COEFFICIENTS[1 : size + 1]).sum() + COEFFICIENTS[100 + size]], np.uint64))
+            own = mix((word[first : first + size] * COEFFICIENTS[1 : size + 1]).sum(keepdims=True) + COEFFICIENTS[100 + size])
         else:
             own = shingle[:0]
         sets.append(own)
@@ -212,9 +212,9 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     ready(documents.sparkSession)
     docs = only(documents, doc_id=F.col(f"`{doc_id}`").cast("bigint"), text=text)
     rows = stored(signatures(docs, p), "signatures")
-    member = rows.where("node IS NOT NULL").select("node", F.explode("keys").alias("key")).groupBy("key", "node").agg(F.lit(1).alias("one"))
+    member = rows.where("node IS NOT NULL").select(F.explode("keys").alias("key"), "node").distinct()
     shared = member.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = stored(member.select("key", "node").join(shared, "key"), "buckets")
+    buckets = stored(member.join(shared, "key"), "buckets")
     # one row for each node that needs its text
     wanted = buckets.select("node").distinct()
     first = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
