@@ -52,3 +52,19 @@ def op3_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pressloom.llm.near_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pressloom.llm.decontam import documents_hit, phrase_matches, positional_index
+
+    index = positional_index(table(spark, sf_dir, "documents"))
+    hits = documents_hit(index, phrase_matches(index, table(spark, sf_dir, "benchmark")))
+    return hits.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
