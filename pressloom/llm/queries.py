@@ -68,3 +68,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op6_repeated_strings")
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pressloom.llm.suffix_dedup import remove_repeats
+
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s.last - s.first)
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
