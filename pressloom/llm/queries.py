@@ -77,3 +77,12 @@ def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s.last - s.first)
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pressloom.llm.langid import identify, train
+
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True)).alias("held_out")
+    return identify(documents.select("doc_id", held_out, "text"), train(documents))
