@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressloom.llm import mixture
+from pressloom.llm.mixing import mix
 from pressloom.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +88,60 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True)).alias("held_out")
     return identify(documents.select("doc_id", held_out, "text"), train(documents))
+
+
+@query("op2_mixture", mixture.mix_sql("documents", mixture.SHARE, "doc_id, domain, lang, source, n_tokens, epoch"))
+def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    mixed = mix(documents, mixture.WEIGHTS, mixture.domain(), share=mixture.SHARE, max_epochs=mixture.MAX_EPOCHS, seed=mixture.SEED)
+    return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length(text) + length(text) - length(replace(text, '\', '')) + len(regexp_extract_all(text, '<\||</s>|<s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS text_chars
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(8 + length(role) + 8 + text_chars + 7)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+
+@query("op4_chat_format", CHAT_SQL)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pressloom.llm.chat import format_chat, read_loss, read_turns
+
+    text = "</s>[INST] ok [/INST]"
+    planted = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    out = format_chat(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(planted))
+    turns = F.array_join(F.transform(read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    back = out.select("conv_id", "n_turns", turns.alias("turns"), read_loss(F.col("formatted"), F.col("loss")).alias("learned"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+    return back.select(
+        "conv_id",
+        "n_turns",
+        F.sha2("turns", 256).alias("turns_sha256"),
+        F.length("learned").cast("bigint").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+FIXED_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query("op8_url_rules")
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's path holds the id of the document it shows, whose label is the URL's."""
+    from pressloom.llm.url_rules import judge, mine
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").select("doc_id", ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    shown = F.expr("try_cast(regexp_extract(url, '://[^/]*/[a-z]+/([0-9]+)', 1) AS bigint)")
+    labelled = pages.withColumn("doc_id", shown).join(labels, "doc_id").select("url", "bad")
+    return judge(pages, FIXED_RULES, mine(labelled)).select("page_id", "host", "path", "rule", "verdict")
