@@ -1,13 +1,73 @@
-"""The corpus pipeline: language ID, near copies, decontamination, mixing, token output."""
+"""The corpus pipeline: language ID, near copies, decontamination, mixing to target weights, token output.
+
+Each stage works on all rows that its predecessor kept. All but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pressloom.llm import mixture
+from pressloom.llm.decontam import phrase_matches, positional_index
+from pressloom.llm.langid import UNKNOWN, identify, train
+from pressloom.llm.mixing import mix
+from pressloom.llm.near_dedup import without_duplicates
+from pressloom.llm.queries import TOKENIZER, table
+from pressloom.llm.tables import stored
+from pressloom.llm.token_output import read_slots, write_training_order
+from pressloom.session import shared_dir
+
+#: a text whose best language has less of the pooled probability is rejected, as is one without a letter
+LEAST_SCORE = 0.35
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network knows."""
+    labelled = identify(docs, train(docs), keep_text=True)
+    return labelled.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return without_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of ten words of a benchmark text occurs."""
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    matches = phrase_matches(positional_index(keyed, doc_id="__key"), table(spark, sf_dir, "benchmark"))
+    hit = stored(matches.select(F.col("doc_id").alias("__key")).distinct(), "contaminated")
+    return keyed.join(hit, "__key", "left_anti").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the target weights; one that is taken in two epochs is there twice."""
+    out = mix(docs, mixture.WEIGHTS, mixture.domain(), max_epochs=mixture.MAX_EPOCHS, seed=mixture.SEED)
+    return out.select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token sequence in training order, as read back from the shards."""
+    path = shared_dir(spark, "training-order")
+    write_training_order(docs, path, TOKENIZER, key=20240607)
+    return read_slots(spark, path).withColumn("tokens_sha256", F.sha2("tokens", 256)).drop("tokens")
+
+
+STAGES = [
+    ("language ID", language),
+    ("MinHash near-dedup", near_copies),
+    ("benchmark decontamination", decontaminate),
+    ("mixing to target weights", mixed),
+    ("token-ID output", tokens),
+]
+
+#: neither a trained network nor a tokenizer can be written in SQL; the stages are tested against brute force
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from pressloom.llm.tables import only, ready
 from pressloom.llm.textbytes import ranges, slices
@@ -217,8 +218,8 @@ def train(documents: DataFrame, per_language: int = 512, max_languages: int = 64
     return fit([bytes(r["text"]) for r in rows], [r["lang"] for r in rows])
 
 
-def identify(documents: DataFrame, network: Network, text: str = "text") -> DataFrame:
-    """The rows of `documents` without their text, with `lang_pred` and `score`, the pooled probability.
+def identify(documents: DataFrame, network: Network, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The rows of `documents` with `lang_pred` and `score`, the pooled probability; the text comes along only on request.
 
     A null text or one without a letter is `und` with score 0; with a network of no language all are. Only the text is
     looked at. Columns named like the new ones are replaced, others stay; repeated rows have equal results.
@@ -240,8 +241,10 @@ def identify(documents: DataFrame, network: Network, text: str = "text") -> Data
                     known = has_letter(data, bounds)
                     best[known] = probability[known].argmax(axis=1)
                     score[known] = np.minimum(probability[known].max(axis=1), 1.0)
-                columns = [*part.columns[:-1], pa.array(names[best], pa.string()), pa.array(score)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], "lang_pred", "score"])
+                last = part.num_columns - (not keep_text)
+                columns = [*part.columns[:last], pa.array(names[best], pa.string()), pa.array(score)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:last], "lang_pred", "score"])
 
-    schema = documents.select(*kept).schema.add("lang_pred", "string").add("score", "double")
-    return documents.select(*kept, F.col(f"`{text}`").alias("__text")).mapInArrow(label, schema)
+    rows = documents.select(*kept, F.col(f"`{text}`"))
+    schema = (rows if keep_text else rows.drop(text)).schema
+    return rows.mapInArrow(label, StructType([*schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))

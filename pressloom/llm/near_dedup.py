@@ -91,11 +91,11 @@ def band_keys(values: np.ndarray, bounds: np.ndarray, p: MinMax) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, p: MinMax) -> DataFrame:
-    """(doc_id, n_shingles, node, keys) of each row; node and keys are null for an empty set."""
+    """(doc_id, text_hash, n_shingles, node, keys) of each row; node and keys are null for an empty set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, stop, data, bounds in slices(batch.column(1)):
+            for first, stop, data, bounds in slices(batch.column(2)):
                 values, at = shingle_sets(data, bounds, p.width)
                 sizes = np.diff(at)
                 full = np.flatnonzero(sizes)
@@ -108,13 +108,15 @@ def signatures(documents: DataFrame, p: MinMax) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(first, stop - first),
+                        "text_hash": batch.column(1).slice(first, stop - first),
                         "n_shingles": sizes,
                         "node": pa.array(node, pa.binary()),
                         "keys": pa.array(keys, pa.list_(pa.int64())),
                     }
                 )
 
-    return documents.mapInArrow(rows, "doc_id bigint, n_shingles bigint, node binary, keys array<bigint>")
+    hashed = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return hashed.mapInArrow(rows, "doc_id bigint, text_hash bigint, n_shingles bigint, node binary, keys array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, p: MinMax, hot: int = 2048) -> DataFrame:
@@ -202,7 +204,7 @@ def links(buckets: DataFrame, texts: DataFrame, p: MinMax) -> DataFrame | None:
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", p: MinMax = MinMax()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of `documents`.
+    """(doc_id, text_hash, n_shingles, component_id, kept) of each row of `documents`; the hash is Spark's xxhash64.
 
     `component_id` is the smallest doc_id that confirmed links reach, the row's own included; `kept` marks it. A text
     without words (null, empty, white space) has an empty set, is linked with nothing and is kept. A text of fewer words
@@ -228,7 +230,29 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     group = lowest.join(group, "label").select("node", "component_id")
     out = rows.drop("keys").join(group, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def without_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", p: MinMax = MinMax()) -> DataFrame:
+    """The rows of `documents`, of each near-duplicate group only the one with the smallest id; of repeated rows one stays.
+
+    Texts without words are in no group and stay. A null id counts as larger than any other; of a group of null ids alone,
+    every text stays once. Only rows that repeat in id and text are shuffled with their text.
+    """
+    found = near_duplicates(documents, doc_id, text, p)
+    # rows of one id with several texts in one group: the text with the smallest hash stays
+    found = stored(found, "near-duplicates")
+    first = found.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("text_hash").alias("chosen"))
+    judged = found.join(first, "doc_id", "left")
+    gone = judged.where("NOT kept OR (n_shingles > 0 AND text_hash <> chosen)").select(F.col("doc_id").alias("id"), "text_hash").distinct()
+    gone = stored(gone, "removed")
+    again = stored(found.groupBy(F.col("doc_id").alias("id"), "text_hash").count().where("count > 1").select("id", "text_hash"), "repeated")
+    rows = documents.withColumns({"__id": F.col(f"`{doc_id}`").cast("bigint"), "__hash": F.xxhash64(F.col(f"`{text}`"))})
+    same = lambda other: rows["__id"].eqNullSafe(other["id"]) & (rows["__hash"] == other["text_hash"])
+    rows = rows.join(gone, same(gone), "left_anti")
+    single = rows.join(again, same(again), "left_anti")
+    repeated = rows.join(again, same(again), "left_semi").dropDuplicates(["__id", "__hash"])
+    return single.union(repeated).drop("__id", "__hash")
 
 
 def _texts(docs: DataFrame, ids: DataFrame, p: MinMax) -> DataFrame:
