@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,23 +14,36 @@ from pyspark.sql import functions as F
 SALT = 16
 
 
+def _parts(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with all keys, and rows that lack one: nothing is known to be a copy of those."""
+    known = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+    return df.where(known), df.where(~known)
+
+
 def earliest(df: DataFrame, keys: Sequence[str], order: Sequence[str], salt: int = SALT) -> DataFrame:
-    """First row of each key by `order`, which should end in columns that make it total.
+    """First row of each key by `order`, nulls last, which should end in columns that make it total.
 
-    `min_by` combines on the map side, so a key that holds a large part of the rows leaves each input task as one
-    row; a window would bring that whole key into one task. The first shuffle is salted by input task, which keeps
-    the combining and splits what is left of a hot key. With `salt=1` there is one shuffle only, for slim rows.
+    Rows with a null key all stay. `min_by` combines on the map side, so a key that holds a large part of the rows
+    leaves each input task as one row; a window would bring that whole key into one task. The first shuffle is salted
+    by input task, which keeps the combining and splits what is left of a hot key. With `salt=1` there is one shuffle
+    only, for slim rows. Key columns are not carried twice.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    rank = F.struct(*[F.col(f"`{c}`") for c in order])
+    keyed, rest = _parts(df, keys)
+    carried = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(f"`{c}`") for c in carried], F.lit(0).alias("_"))
+    rank = F.struct(*[x.alias(f"_{i}") for c in order for i, x in enumerate((F.col(f"`{c}`").isNull(), F.col(f"`{c}`")))])
     names = [f"_key{i}" for i in range(len(keys))]
-    ranked = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], row.alias("_row"), rank.alias("_rank"))
+    ranked = keyed.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], row.alias("_row"), rank.alias("_rank"))
     if salt > 1:
         ranked = ranked.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt)))
         ranked = ranked.groupBy(*names, "_salt").agg(F.min_by("_row", "_rank").alias("_row"), F.min("_rank").alias("_rank"))
-    return ranked.groupBy(*names).agg(F.min_by("_row", "_rank").alias("_row")).select("_row.*")
+    first = ranked.groupBy(*names).agg(F.min_by("_row", "_rank").alias("_row"))
+    place = dict(zip(keys, names))
+    columns = [F.col(place[c]).alias(c) if c in place else F.col("_row").getField(c).alias(c) for c in df.columns]
+    return first.select(*columns).union(rest)
 
 
 def any_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row of each key, whichever comes first."""
-    return df.dropDuplicates(list(keys))
+    """One row of each key, whichever comes first; rows with a null key all stay."""
+    keyed, rest = _parts(df, keys)
+    return keyed.dropDuplicates(list(keys)).union(rest)

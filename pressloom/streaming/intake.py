@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -26,14 +29,22 @@ def read_stream(
     return reader.load(path)
 
 
-def drop_duplicates(
-    stream: DataFrame, keys: Sequence[str], delay: str = "30 days", event_time: str = "crawl_ts"
-) -> DataFrame:
-    """One row per key. State is bounded by the watermark, not by a number of ids: a key is remembered for at least
-    `delay` of event time and rows older than the watermark are dropped. The checkpoint carries state over restarts."""
-    # a watermark needs a zoned timestamp
-    timed = stream.withColumn("_event_time", stream[event_time].cast("timestamp"))
-    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+def drop_duplicates(stream: DataFrame, keys: Sequence[str], remember: str | None = None) -> DataFrame:
+    """One row per key, the first to arrive (the batch form keeps the earliest crawl). Rows with a null key all pass.
+
+    Captures of an archive come in no order of crawl time, so no row is ever late. All keys are remembered; use the
+    RocksDB state store, which keeps them on disk. With `remember` (as "90 days") a key is forgotten when it has not
+    arrived for that long, and a later copy passes again; that bounds the state, and still loses nothing. The
+    checkpoint carries state over restarts.
+    """
+    known = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+    keyed = stream.where(known)
+    if remember is None:
+        unique = keyed.dropDuplicates(list(keys))
+    else:
+        arrived = keyed.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", remember)
+        unique = arrived.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")
+    return unique.union(stream.where(~known))
 
 
 def extract_stream(pages: DataFrame, **options) -> DataFrame:
