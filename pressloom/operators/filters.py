@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions import urls
-from pressloom.operators.lookups import is_small, lookup
 
 REQUIRED = ("content", "headline", "author")
 
@@ -37,11 +36,6 @@ def has_required(content: str = "content", headline: str = "headline", author: s
 
 
 def without_headlines(df: DataFrame, stop_list: DataFrame, column: str = "headline") -> DataFrame:
-    """Drop rows whose headline is on the stop list. A list beyond the broadcast bound is joined with salt, as one
-    headline may be very frequent."""
-    lines = stop_list.select(F.col(stop_list.columns[0]).alias("_key")).where("_key IS NOT NULL").distinct()
-    small = is_small(lines)
-    if small:
-        return df.join(F.broadcast(lines), F.col(column) == F.col("_key"), "left_anti")
-    marked = lookup(df, lines.withColumn("_listed", F.lit(True)), F.col(column), small=False)
-    return marked.where("_listed IS NULL").drop("_listed")
+    """Drop rows whose headline is on the stop list; a very frequent headline is split by the adaptive skew join."""
+    lines = stop_list.select(F.col(stop_list.columns[0]).alias("_key"))
+    return df.join(lines, F.col(column) == F.col("_key"), "left_anti")

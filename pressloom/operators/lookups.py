@@ -1,88 +1,38 @@
-"""Dictionary lookups as joins. A side is broadcast only after its row count was checked."""
+"""Dictionary lookups as joins. The planner broadcasts a table that it knows to be small and shuffles a larger one; the
+adaptive skew join splits hot keys, which all lookups here allow, as they keep the left side whole."""
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many rows a lookup table is sent to every executor.
-BROADCAST_ROWS = 500_000
-# In the shuffled form a key with at least this many rows is hot. At most HOT_KEYS of them, the most frequent ones,
-# are spread over SALT tasks each; the bounds keep the copies of their lookup rows few.
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-SALT = 4096
-
-
-def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most `rows` rows; reads no more than that."""
-    return table.limit(rows + 1).count() <= rows
-
-
-def lookup(df: DataFrame, table: DataFrame, key: Column, small: bool) -> DataFrame:
-    """Left join with a table of unique `_key`s. Beyond the broadcast bound it is a shuffle join, in which the rows
-    of hot keys and of null keys (which match nothing) are salted. Only hot lookup rows are copied."""
-    probe = df.withColumn("_key", key)
-    if small:
-        return probe.join(F.broadcast(table), "_key", "left").drop("_key")
-    frequent = probe.where("_key IS NOT NULL").groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") >= HOT_ROWS)
-    hot = F.broadcast(frequent.orderBy(F.desc("_n")).limit(HOT_KEYS).select("_key", F.lit(True).alias("_hot")))
-    # the input task is part of the salt, so equal rows are spread as well; it is the same when a task is run again
-    spread = F.pmod(F.xxhash64(*_plain(df), F.spark_partition_id()), F.lit(SALT)).cast("int")
-    salted = probe.join(hot, "_key", "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col("_key").isNull(), spread).otherwise(0)
-    )
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
-    copies = table.join(hot, "_key", "left").withColumn("_salt", F.explode(every)).drop("_hot")
-    return salted.drop("_hot").join(copies, ["_key", "_salt"], "left").drop("_key", "_salt")
-
 
-def _plain(df: DataFrame) -> list[Column]:
-    """Columns that can be hashed and are cheap to hash."""
-    atomic = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct", "variant")]
-    return [F.col(f"`{n}`") for n in atomic] or [F.lit(0)]
+def lookup(df: DataFrame, table: DataFrame, key: Column) -> DataFrame:
+    """Left join with a table of unique `_key`s; a null key matches nothing."""
+    return df.withColumn("_key", key).join(table, "_key", "left").drop("_key")
 
 
 def translate(
-    df: DataFrame,
-    column: str,
-    table: DataFrame,
-    source: str,
-    target: str,
-    lower: bool = False,
-    small: bool | None = None,
-    unique: bool = False,
+    df: DataFrame, column: str, table: DataFrame, source: str, target: str, lower: bool = False, unique: bool = False
 ) -> DataFrame:
     """Replace `column` by the table's `target` where it equals `source`; without a match it stays.
 
     With `lower` the probe is lower-cased, the keys are not. Unless the keys are known to be `unique` they are made
     so, as rows must never multiply.
     """
-    small = is_small(table) if small is None else small
     keyed = table.select(F.col(source).alias("_key"), F.col(target).alias("_to"))
     if not unique:
         keyed = keyed.groupBy("_key").agg(F.max("_to").alias("_to"))
-    probe = F.lower(column) if lower else F.col(column)
-    joined = lookup(df, keyed, probe, small)
+    joined = lookup(df, keyed, F.lower(column) if lower else F.col(column))
     return joined.withColumn(column, F.coalesce("_to", column)).drop("_to")
 
 
-def keep_known(
-    df: DataFrame,
-    column: str,
-    table: DataFrame,
-    name: str,
-    lower: bool = False,
-    small: bool | None = None,
-    unique: bool = False,
-) -> DataFrame:
+def keep_known(df: DataFrame, column: str, table: DataFrame, name: str, lower: bool = False, unique: bool = False) -> DataFrame:
     """Null out values of a scalar column that are not in the table; kept values retain their case."""
-    small = is_small(table) if small is None else small
     fold = F.lower if lower else (lambda c: c)
     keyed = table.select(fold(F.col(name)).alias("_key")).where("_key is not null")
     keyed = keyed if unique else keyed.distinct()
-    joined = lookup(df, keyed.withColumn("_hit", F.lit(True)), fold(F.col(column)), small)
+    joined = lookup(df, keyed.withColumn("_hit", F.lit(True)), fold(F.col(column)))
     return joined.withColumn(column, F.when(F.col("_hit"), F.col(column))).drop("_hit")
 
 
@@ -101,51 +51,25 @@ def author_dimension(authors: DataFrame) -> DataFrame:
     return authors.groupBy("author").agg(F.max(_gender_code(F.col("gender"))).alias("gender"))
 
 
-def authors_with_gender(
-    df: DataFrame, dimension: DataFrame, column: str = "authors", shuffle: bool = False
-) -> DataFrame:
+def authors_with_gender(df: DataFrame, dimension: DataFrame, column: str = "authors") -> DataFrame:
     """Keep the authors known to the dimension (any case) and add `authors_gender` (exact case, else 0).
 
-    Null lists become empty. A dimension within the broadcast bound is probed in place, without a shuffle: only the
-    author lists travel to Python. A larger one (or with `shuffle`) is joined with the distinct lists, which are few
-    next to the rows.
+    Null lists become empty. The distinct author lists, few next to the rows and combined before their shuffle, are
+    looked up in the dimension (folded name to its spellings); one join gives each row the result for its list.
     """
-    if not shuffle:
-        rows = dimension.select("author", "gender").limit(BROADCAST_ROWS + 1).collect()
-        if len(rows) <= BROADCAST_ROWS:
-            return _probe_authors(df, [(r["author"], r["gender"]) for r in rows if r["author"] is not None], column)
-    return _join_authors(df, dimension, column)
-
-
-def _probe_authors(df: DataFrame, pairs: list[tuple[str, int]], column: str) -> DataFrame:
-    genders = df.sparkSession.sparkContext.broadcast(dict(pairs))
-    folded = df.sparkSession.sparkContext.broadcast({name.lower() for name, _ in pairs})
-    shape = pa.struct([("names", pa.list_(pa.string())), ("genders", pa.list_(pa.int32()))])
-
-    @F.arrow_udf("names array<string>, genders array<int>")
-    def probe(lists: pa.Array) -> pa.Array:
-        known, codes = folded.value, genders.value
-        out = []
-        for names in lists.to_pylist():
-            kept = [n for n in names or () if n is not None and n.lower() in known]
-            out.append({"names": kept, "genders": [codes.get(n, 0) for n in kept]})
-        return pa.array(out, shape)
-
-    found = df.withColumn("_found", probe(F.col(column)))
-    return found.withColumns({column: F.col("_found.names"), "authors_gender": F.col("_found.genders")}).drop("_found")
-
-
-def _join_authors(df: DataFrame, dimension: DataFrame, column: str) -> DataFrame:
     lists = df.select(F.col(column).alias("_list")).where(F.size(column) > 0).distinct()
     names = lists.select("_list", F.posexplode("_list").alias("_pos", "_name"))
-    exact = dimension.select(F.col("author").alias("_key"), F.col("gender").alias("_gender"))
-    known = dimension.select(F.lower("author").alias("_key")).distinct().withColumn("_hit", F.lit(True))
-    matched = lookup(names, known, F.lower("_name"), small=False).where("_hit")
-    matched = lookup(matched, exact, F.col("_name"), small=False)
-    entry = F.struct("_pos", "_name", F.coalesce("_gender", F.lit(0)).alias("_gender"))
+    spelling = F.struct("author", "gender")
+    known = (
+        dimension.where("author IS NOT NULL")
+        .groupBy(F.lower("author").alias("_key"))
+        .agg(F.map_from_entries(F.collect_list(spelling)).alias("_spellings"))
+    )
+    matched = names.withColumn("_key", F.lower("_name")).join(known, "_key")
+    gender = F.coalesce(F.try_element_at("_spellings", F.col("_name")), F.lit(0))
+    entry = F.struct("_pos", "_name", gender.alias("_gender"))
     found = matched.groupBy("_list").agg(F.sort_array(F.collect_list(entry)).alias("_found"))
-    table = found.withColumnRenamed("_list", "_key")
-    joined = lookup(df, table, F.when(F.size(column) > 0, F.col(column)), small=False)
+    joined = lookup(df, found.withColumnRenamed("_list", "_key"), F.when(F.size(column) > 0, F.col(column)))
     empty_names, empty_codes = F.array().cast("array<string>"), F.array().cast("array<int>")
     return joined.withColumns(
         {

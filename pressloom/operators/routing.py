@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.sources.config import Route
 
-MAX_ROUTES = 10_000
-
-
 def route_column(url: Column, crawl_ts: Column, routes: list[Route]) -> Column:
-    """Extractor of the first matching route, as one CASE: no join, and each URL pattern is tested once per row.
+    """Extractor of the first matching route, as one CASE without a join. Neighbouring routes of one URL pattern share
+    its test.
 
     Validity is half-open, so adjacent routes share a bound without overlap.
     """
-    per_pattern: dict[str, list[Route]] = {}
-    for route in routes:
-        per_pattern.setdefault(route.regex, []).append(route)
     choices = []
-    for pattern, group in per_pattern.items():
+    for pattern, group in groupby(routes, key=lambda r: r.regex):
         named = [_while_active(r, crawl_ts) for r in group]
         choices.append(F.when(url.rlike(_searchable(pattern)), F.coalesce(*named) if len(named) > 1 else named[0]))
     return F.coalesce(*choices) if choices else F.lit(None).cast("string")
@@ -47,13 +44,15 @@ def route(pages: DataFrame, routes: list[Route]) -> DataFrame:
 
 
 def route_join(pages: DataFrame, routes: DataFrame, site_pattern: str) -> DataFrame:
-    """The same by a route table `(site, extractor, since, until)`: a broadcast equi-join on the site key taken from
-    the URL, with the time range as residual condition. The table is checked to be small."""
-    if routes.limit(MAX_ROUTES + 1).count() > MAX_ROUTES:
-        raise ValueError(f"a route table has at most {MAX_ROUTES} rows")
-    keyed = pages.withColumn("site", F.regexp_extract("url", site_pattern, 1)).alias("p")
-    table = F.broadcast(routes).alias("r")
-    since, until, crawled = F.col("r.since"), F.col("r.until"), F.col("p.crawl_ts")
-    active = (since.isNull() | (crawled >= since)) & (until.isNull() | (crawled < until))
-    on = (F.col("p.site") == F.col("r.site")) & active
-    return keyed.join(table, on).select("p.*", "r.extractor")
+    """The same by a route table `(position, site, extractor, since, until)`: one row per site with its routes in order
+    of `position` is joined on the site key taken from the URL, and the first route in force is the page's."""
+    entry = F.struct("position", "extractor", "since", "until")
+    table = routes.groupBy("site").agg(F.array_sort(F.collect_list(entry)).alias("_routes"))
+    keyed = pages.withColumn("site", F.regexp_extract("url", site_pattern, 1))
+    crawled = F.col("crawl_ts")
+    active = F.filter(
+        "_routes",
+        lambda r: (r["since"].isNull() | (crawled >= r["since"])) & (r["until"].isNull() | (crawled < r["until"])),
+    )
+    named = keyed.join(table, "site").withColumn("extractor", F.get(active, F.lit(0))["extractor"]).drop("_routes")
+    return named.where(F.col("extractor").isNotNull()).select(*pages.columns, "site", "extractor")

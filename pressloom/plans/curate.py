@@ -9,7 +9,6 @@ from pressloom.functions import authors as names
 from pressloom.functions import dates, labels, text, urls
 from pressloom.functions.categories import category_table, synonym_table
 from pressloom.operators import lookups, splits
-from pressloom.sources.layout import spread
 
 COLUMNS = (
     "url",
@@ -32,17 +31,14 @@ COLUMNS = (
 def clean_category(df: DataFrame, extra_synonyms: DataFrame | None = None, fold_keys: bool = False) -> DataFrame:
     """`category` to its English class name, null when unknown; the raw value stays in `category_unclean`.
 
-    Both vocabularies are fixed and short, so each is one broadcast join.
+    The own vocabularies are fixed and short, which the planner knows, so each is one broadcast join.
     """
     spark = df.sparkSession
     fixed = extra_synonyms is None
     synonyms = synonym_table(spark, extra_synonyms, fold_keys)
     known = category_table(spark)
     df = df.withColumn("category_unclean", F.col("category"))
-    df = lookups.translate(
-        df, "category", synonyms, "synonym", "category", lower=True,
-        small=True if fixed else None, unique=fixed and not fold_keys,
-    )
+    df = lookups.translate(df, "category", synonyms, "synonym", "category", lower=True, unique=fixed)
     df = df.withColumn("category", text.category(F.col("category")))
     # set filter by lower-cased name, then exact translation: one probe serves both
     table = known.select(F.lower("cz").alias("_folded"), F.col("cz").alias("_cz"), F.col("en").alias("_en"))
@@ -85,17 +81,18 @@ def curate(
     strict: bool = False,
     extra_synonyms: DataFrame | None = None,
     fold_keys: bool = False,
-    shuffle_authors: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """The curated dataset, one row per article and split (or per article without `split`).
 
-    With an author list that fits the broadcast bound the whole job runs without a shuffle, except that a small
-    input is spread over the cores.
+    The author join reads the input twice, the first time for the authors alone. `partitions` deals out an input of
+    few scan tasks, as one file.
     """
-    df = spread(articles).withColumn("server", urls.server(F.col("url"))).withColumnRenamed("author", "authors")
-    # authors come first: a large author list reads the input twice, and only the part of the plan below
+    df = articles if partitions is None else articles.repartition(partitions)
+    df = df.withColumn("server", urls.server(F.col("url"))).withColumnRenamed("author", "authors")
+    # authors come first, so that the second reading is of this much of the plan
     df = names.author_column(df, "authors")
-    df = lookups.authors_with_gender(df, lookups.author_dimension(author_gender), shuffle=shuffle_authors)
+    df = lookups.authors_with_gender(df, lookups.author_dimension(author_gender))
     df = clean_category(df, extra_synonyms, fold_keys)
     df = encode(enrich(clean_texts(df)), strict)
     if not split:

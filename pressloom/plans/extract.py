@@ -14,7 +14,6 @@ from pressloom.operators.routing import route
 from pressloom.plans.sites import Site, sites as registered_sites
 from pressloom.schemas import CAPTURE
 from pressloom.sources.config import DEFAULT_ROUTES, Route
-from pressloom.sources.layout import spread
 
 
 def page_filter(sites: dict[str, Site], url: Column, http_status: Column) -> Column:
@@ -48,25 +47,17 @@ def extract(
     routes: list[Route] = DEFAULT_ROUTES,
     sites: dict[str, Site] | None = None,
     required: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Article rows of a page table.
 
     Needs `url`, `crawl_ts` and `html` (text) or `body` (bytes); `http_status` and the capture columns are optional.
-    Routing and native filters run below the one Python step, cleaning runs above it. There is no shuffle, except
-    that a small input is spread over the cores.
+    Routing and native filters run below the one Python step, cleaning runs above it. There is no shuffle, unless
+    `partitions` asks for one to deal out the pages of few scan tasks, as one file. A page that cannot be read gives no
+    row; `unreadable` counts them.
     """
-    site_rules = registered_sites() if sites is None else sites
-    used = {r.extractor for r in routes}
-    site_rules = {name: s for name, s in site_rules.items() if name in used}
-    missing = used - set(site_rules)
-    if missing:
-        raise ValueError(f"routes without a site rule: {sorted(missing)}")
-
-    source = "body" if "body" in pages.columns else "html"
-    status = F.col("http_status") if "http_status" in pages.columns else F.lit(None).cast("int")
-    encoding = "encoding" if "encoding" in pages.columns else None
-    routed = route(pages, routes).where(page_filter(site_rules, F.col("url"), status))
-    parsed = parse_pages(spread(routed), site_rules, source, encoding).where("raw.kept").drop(source)
+    site_rules = _rules(routes, sites)
+    parsed = _parsed(pages, routes, site_rules, partitions).where("raw.kept").drop(_source(pages))
     article = article_fields(parsed, site_rules)
     if required:
         article = article.where(filters.has_required())
@@ -79,6 +70,34 @@ def extract(
     )
 
 
+def unreadable(pages: DataFrame, routes: list[Route] = DEFAULT_ROUTES, sites: dict[str, Site] | None = None) -> DataFrame:
+    """Number of pages per extractor whose parse failed; `extract` drops them."""
+    failed = _parsed(pages, routes, _rules(routes, sites), None).where("raw.failed")
+    return failed.groupBy("extractor").agg(F.count("*").alias("n_pages"))
+
+
+def _rules(routes: list[Route], sites: dict[str, Site] | None) -> dict[str, Site]:
+    known = registered_sites() if sites is None else sites
+    used = {r.extractor for r in routes}
+    missing = used - set(known)
+    if missing:
+        raise ValueError(f"routes without a site rule: {sorted(missing)}")
+    return {name: s for name, s in known.items() if name in used}
+
+
+def _source(pages: DataFrame) -> str:
+    return "body" if "body" in pages.columns else "html"
+
+
+def _parsed(pages: DataFrame, routes: list[Route], rules: dict[str, Site], partitions: int | None) -> DataFrame:
+    """Routed pages with their raw fields."""
+    status = F.col("http_status") if "http_status" in pages.columns else F.lit(None).cast("int")
+    encoding = "encoding" if "encoding" in pages.columns else None
+    routed = route(pages, routes).where(page_filter(rules, F.col("url"), status))
+    routed = routed if partitions is None else routed.repartition(partitions)
+    return parse_pages(routed, rules, _source(pages), encoding)
+
+
 def _capture(columns: list[str]) -> Column:
     """The source record as a struct; columns the page table lacks are null."""
 
