@@ -145,8 +145,11 @@ def footer_year(c: Column) -> Column:
 
 
 def json_ld_date(c: Column) -> Column:
-    """`datePublished` of a JSON-LD script; broken JSON gives null."""
-    return parse_noisy(F.get_json_object(c, "$.datePublished"), JSON_LD)
+    """`datePublished` of a JSON-LD script; broken JSON, or text behind it, gives null."""
+    # the parser stops behind a value; inside a list and inside an object nothing but one value can stand
+    alone = [F.try_parse_json(F.concat(F.lit(a), c, F.lit(b))).isNotNull() for a, b in (("[", "]"), ('{"x":', "}"))]
+    whole = F.when(alone[0] & alone[1], c)
+    return parse_noisy(F.get_json_object(whole, "$.datePublished"), JSON_LD)
 
 
 def date_text(

@@ -132,11 +132,11 @@ def _drop_final_dot(c: Column) -> Column:
 
 
 def _upper_first(c: Column) -> Column:
-    return F.when(F.length(c) > 1, F.concat(F.upper(F.left(c, F.lit(1))), F.substr(c, F.lit(2)))).otherwise(c)
+    return F.when(c.rlike(r"(?s)^\p{Ll}."), F.concat(F.upper(F.left(c, F.lit(1))), F.substr(c, F.lit(2)))).otherwise(c)
 
 
 def tidy_sentence(c: Column) -> Column:
-    """Strip, drop one closing dot (an ellipsis stays), upper-case the first letter of longer texts."""
+    """Strip, drop one closing dot (an ellipsis stays), upper-case a small first letter of longer texts."""
     return _upper_first(_drop_final_dot(strip(c)))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import html
 import re
-import sys
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -80,6 +80,7 @@ class Page:
         self.root = Element("", "", None, 0, 0)
         self.elements = [self.root]
         self._open = [self.root]
+        self._open_names: Counter[str] = Counter()
         self._hidden: list[str] = []
         self._preformatted = 0
         self._read(markup)
@@ -122,19 +123,23 @@ class Page:
         self.by_name.setdefault(name, []).append(element)
         if name not in VOID:
             self._open.append(element)
+            self._open_names[name] += 1
             if name in HIDDEN:
                 self._hidden.append(name)
             self._preformatted += name in PREFORMATTED
 
     def _close(self, name: str) -> None:
-        for depth in range(len(self._open) - 1, 0, -1):
-            if self._open[depth].name == name:
-                while len(self._open) > depth:
-                    self._finish(self._open.pop())
+        if not self._open_names[name]:
+            return  # a stray end tag
+        while True:
+            element = self._open.pop()
+            self._finish(element)
+            if element.name == name:
                 return
 
     def _finish(self, element: Element) -> None:
         element.last, element.text_to = len(self.elements) - 1, len(self.texts)
+        self._open_names[element.name] -= 1
         if element.name in HIDDEN:
             self._hidden.pop()
         self._preformatted -= element.name in PREFORMATTED
@@ -155,8 +160,9 @@ class Page:
         steps = compile_selector(css)
         tag = steps[-1][1]
         pool = self.by_name.get(tag, ()) if tag else self.elements[scope.index + 1 : scope.last + 1]
+        seen: dict[tuple[int, int], bool] = {}
         for element in pool:
-            if scope.index < element.index <= scope.last and _matches(element, steps, len(steps) - 1):
+            if scope.index < element.index <= scope.last and _matches(element, steps, len(steps) - 1, seen):
                 yield element
 
     def first(self, scope: Element, css: str) -> Element | None:
@@ -221,20 +227,29 @@ def _passes(element: Element, tests: tuple) -> bool:
     return True
 
 
-def _matches(element: Element, steps: tuple, at: int) -> bool:
+def _matches(element: Element, steps: tuple, at: int, seen: dict[tuple[int, int], bool]) -> bool:
     join, tag, tests, nth = steps[at]
     if (tag and element.name != tag) or (nth and element.nth != nth) or not _passes(element, tests):
         return False
     if at == 0:
         return True
     above = element.parent
-    while above is not None and above.parent is not None:
-        if _matches(above, steps, at - 1):
-            return True
-        if join == ">":
-            return False
-        above = above.parent
-    return False
+    if above is None or above.parent is None:
+        return False
+    return _matches(above, steps, at - 1, seen) if join == ">" else _inside(above, steps, at - 1, seen)
+
+
+def _inside(element: Element, steps: tuple, at: int, seen: dict[tuple[int, int], bool]) -> bool:
+    """Whether the element or one above it matches; `seen` has the answers so far, so each is found once."""
+    path = []
+    while element.parent is not None and (element.index, at) not in seen:
+        path.append(element)
+        element = element.parent
+    found = element.parent is not None and seen[element.index, at]
+    for e in reversed(path):
+        found = found or _matches(e, steps, at, seen)
+        seen[e.index, at] = found
+    return found
 
 
 def keeps(element: Element, rule: dict) -> bool:
@@ -258,18 +273,18 @@ def body_text(page: Page, element: Element, rule: dict) -> str:
 
     Text that stands directly in a list item or cell is lost, unless the rule sets `keep_bare_text`.
     """
-    lines = []
-    for child in element.children:
-        if keeps(child, rule):
-            if child.name not in EXPANDED:
-                lines.append(unify(page.text(child)))
-            elif rule.get("keep_bare_text") and not any(keeps(c, rule) for c in child.children):
-                lines.append(unify(page.text(child)))
-            else:
-                lines.append(unify(body_text(page, child, rule)))
+    lines: list[str] = []
+    # children still to be looked at, the next one last: containers nest without bound, so no recursion
+    waiting = element.children[::-1]
+    while waiting:
+        child = waiting.pop()
+        if not keeps(child, rule):
+            continue
+        opened = child.name in EXPANDED
+        if opened and rule.get("keep_bare_text"):
+            opened = any(keeps(c, rule) for c in child.children)
+        if opened:
+            waiting.extend(reversed(child.children))
+        else:
+            lines.append(unify(page.text(child)))
     return unify("\n".join(lines))
-
-
-def allow_deep_pages() -> None:
-    """Unclosed list items nest without bound."""
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 100_000))

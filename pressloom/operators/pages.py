@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions import authors, dates, text
-from pressloom.operators.html import Page, allow_deep_pages, body_text, unify
+from pressloom.operators.html import Page, body_text, unify
 from pressloom.plans.sites import Site, Take, clean_date
 
 FIELDS = ("content", "headline", "author", "brief", "publication_date", "keywords", "category", "comments_num")
 STAGES = ("custom", "article", "head")
-_SPECIAL = ("kept", "date_text", "year_text", "json_ld")
+_SPECIAL = ("kept", "failed", "date_text", "year_text", "json_ld")
 
 # Column chains by name, and the default chain of each field.
 CLEAN: dict[str, Callable[[Column], Column]] = {
@@ -103,19 +103,22 @@ def parse_pages(df: DataFrame, sites: dict[str, Site], page: str, encoding: str
     """Add the struct `raw`. Each page crosses to Python once; bytes are decoded there, as Spark's own `decode`
     lacks the sites' charset. The UDF is marked non-deterministic so that no filter makes it run twice."""
     names = raw_columns(sites)
-    shape = pa.struct([(n, pa.bool_() if n == "kept" else pa.string()) for n in names])
-    ddl = ", ".join(f"{n} {'boolean' if n == 'kept' else 'string'}" for n in names)
+    flags = ("kept", "failed")
+    shape = pa.struct([(n, pa.bool_() if n in flags else pa.string()) for n in names])
+    ddl = ", ".join(f"{n} {'boolean' if n in flags else 'string'}" for n in names)
 
     @F.arrow_udf(ddl)
     def parse(pages: pa.Array, extractors: pa.Array, encodings: pa.Array) -> pa.Array:
-        allow_deep_pages()
         rows = []
         for markup, name, charset in zip(pages.to_pylist(), extractors.to_pylist(), encodings.to_pylist()):
             site = sites.get(name)
             if site is None or markup is None:
-                rows.append({"kept": False})
-            else:
-                rows.append(_raw_fields(_markup(markup, site.charset or charset or "utf-8"), site))
+                rows.append({"kept": False, "failed": False})
+                continue
+            try:
+                rows.append(_raw_fields(_markup(markup, site.charset or charset or "utf-8"), site) | {"failed": False})
+            except Exception:  # one bad page must not end the job; it is marked and counted
+                rows.append({"kept": False, "failed": True})
         return pa.array(rows, shape)
 
     charset = F.col(encoding) if encoding else F.lit(None).cast("string")
