@@ -36,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def cores(spark: SparkSession) -> int:
+    """Partitions to deal out a test table of one file."""
+    return spark.sparkContext.defaultParallelism
+
+
 def pick(index: Column, *values: str | None) -> Column:
     """Value at `index % n`, to derive varied rows from a table."""
     return F.get(F.array(*[F.lit(v) for v in values]), F.pmod(index, F.lit(len(values))).cast("int"))
@@ -78,4 +83,4 @@ def sql_drop_dot(x: str) -> str:
 
 def sql_upper_first(x: str) -> str:
     first = f"replace(upper(left({x}, 1)), 'ẞ', 'SS')"
-    return f"CASE WHEN length({x}) > 1 THEN {first} || substr({x}, 2) ELSE {x} END"
+    return f"CASE WHEN length({x}) > 1 AND regexp_matches({x}, '^\\p{{Ll}}') THEN {first} || substr({x}, 2) ELSE {x} END"

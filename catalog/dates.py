@@ -69,7 +69,9 @@ def date_iso(spark, d):
     return df.select("event_id", moment.alias("published"), dates.local_date(raw).cast("string").alias("local_day"))
 
 
-MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in CZECH_MONTHS) + "]"
+# Expected values, written out.
+MONTHS_SQL = """['ledna', 'února', 'března', 'dubna', 'května', 'června', 'července', 'srpna', 'září', 'října', 'listopadu',
+    'prosince']"""
 
 
 @query(
@@ -146,17 +148,19 @@ def date_weekday(spark, d):
 
 @query(
     "json_ld_date",
-    """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '.120000'
+    """SELECT event_id, CASE WHEN event_id % 6 IN (0, 5) THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '.120000'
               END AS published, json_extract_string(props, '$.k') AS k FROM events""",
 )
 def json_ld_date(spark, d):
-    """Broken JSON, a missing key or another format give null."""
-    kind = F.col("event_id") % 4
+    """Broken JSON, text behind it, a missing key or another format give null."""
+    kind = F.col("event_id") % 6
     stamp = _shown("ts", "yyyy-MM-dd'T'HH:mm:ss")
     script = (
         F.when(kind == 0, F.concat(F.lit('{"@type":"NewsArticle","datePublished":"'), stamp, F.lit('.12Z"}')))
         .when(kind == 1, F.concat(F.lit('{"datePublished":"'), stamp))
         .when(kind == 2, F.col("props"))
+        .when(kind == 3, F.concat(F.lit('{"datePublished":"'), stamp, F.lit('.12Z"} x')))
+        .when(kind == 5, F.concat(F.lit('  {"a":[{"b":1}],"datePublished":"'), stamp, F.lit('.12Z"}\n')))
         .otherwise(F.concat(F.lit('{"datePublished":"'), stamp, F.lit('"}')))
     )
     return table(spark, d, "events").select(

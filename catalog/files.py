@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from catalog.base import query, table
 from catalog.jobs import CURATED_CTES, author_list, raw_articles, shown
 from catalog.pages import EXAMPLE_ROUTES, EXAMPLE_SITE, PAGE_CTES
-from catalog.urls import CAPTURES_SQL, ROUTED, captures
+from catalog.urls import CAPTURES_SQL, EXPECTED_ROUTES, ROUTED, captures
 from pressloom.operators import filters, routing
 from pressloom.operators.lookups import author_dimension
 from pressloom.plans.curate import curate
 from pressloom.plans.extract import extract
 from pressloom.session import shared_dir
 from pressloom.sources import index, readers, writers
-from pressloom.sources.config import DEFAULT_ROUTES, read_routes, route_list
+from pressloom.sources.config import Route, read_routes, route_list
 from pressloom.streaming import intake
 
 RAW_SQL = """SELECT doc_id, 'D' || doc_id AS digest, doc_id AS "offset", text AS content, length(text) AS n FROM documents"""
@@ -43,13 +43,14 @@ def read_articles(spark, d):
 
 @query(
     "read_articles_quarantine",
-    """SELECT count(*) AS n_rows, count(*) FILTER (doc_id % 10 = 0) AS n_bad,
-              count(DISTINCT source) FILTER (doc_id % 10 <> 0) AS n_sources FROM documents""",
+    """SELECT count(*) AS n_rows, count(*) FILTER (doc_id % 10 = 0 OR doc_id % 7 = 3) AS n_bad,
+              count(DISTINCT source) FILTER (doc_id % 10 <> 0 AND doc_id % 7 <> 3) AS n_sources FROM documents""",
 )
 def read_articles_quarantine(spark, d):
-    """Broken lines are kept aside instead of failing the job."""
+    """Broken lines, and lines with a comment count that is no number, are kept aside instead of failing the job."""
     path = shared_dir(spark, "broken")
-    row = F.to_json(F.struct(F.col("text").alias("content"), F.col("source").alias("url")))
+    count = F.when(F.col("doc_id") % 7 == 3, "many").when(F.col("doc_id") % 7 == 4, "12").alias("comments_num")
+    row = F.to_json(F.struct(F.col("text").alias("content"), F.col("source").alias("url"), count))
     line = F.when(F.col("doc_id") % 10 == 0, F.substring_index(row, "}", 1)).otherwise(row)
     table(spark, d, "documents").select(line.alias("value")).write.text(path)
     rows = readers.read_articles(spark, path, quarantine=True).select("url", readers.QUARANTINE)
@@ -115,9 +116,9 @@ def read_routes_query(spark, d):
     """Routes from a configuration file, applied to captures."""
     path = shared_dir(spark, "routes")
     groups: dict[str, list] = {}
-    for r in DEFAULT_ROUTES:
-        bounds = {k: v.replace(" ", "T") + "+00:00" for k, v in (("since", r.since), ("to", r.until)) if v}
-        groups.setdefault(r.regex, []).append({"name": r.extractor, **bounds})
+    for site, extractor, since, until in EXPECTED_ROUTES:
+        bounds = {k: v.replace(" ", "T") + "+00:00" for k, v in (("since", since), ("to", until)) if v}
+        groups.setdefault(rf".*{site}\.cz.*", []).append({"name": extractor, **bounds})
     config = {"extractors_path": "x", "routes": [{"regexes": [k], "extractors": v} for k, v in groups.items()]}
     spark.range(1).select(F.lit(json.dumps(config, indent=1)).alias("value")).coalesce(1).write.text(path)
     routes = route_list(read_routes(spark, path))
@@ -143,6 +144,17 @@ def read_pages_bytes(spark, d):
     return articles.select(F.col("domain_record.offset").alias("page_id"), "headline")
 
 
+@query("read_html_folder", _PAGE_KEYS)
+def read_html_folder(spark, d):
+    """A folder of HTML files, one page each; the file's path is the URL."""
+    root = shared_dir(spark, "html")
+    table(spark, d, "pages").select("page_id", "html").repartition(8).write.partitionBy("page_id").text(root)
+    files = readers.read_html_folder(spark, os.path.join(root, "page_id=*"), date="2024-01-01 00:00:00", pattern="*.txt")
+    articles = extract(files, [Route(r".*page_id=.*", "example")], {"example": EXAMPLE_SITE})
+    page_id = F.regexp_extract("url", r"page_id=(\d+)", 1).cast("bigint")
+    return articles.select(page_id.alias("page_id"), "headline")
+
+
 @query("write_dataset", f"WITH {CURATED_CTES} SELECT * EXCLUDE (sets), unnest(sets) AS split FROM curated")
 def write_dataset(spark, d):
     path = shared_dir(spark, "dataset")
@@ -204,10 +216,31 @@ def stream_duplicates(spark, d):
     events = table(spark, d, "events").select("user_id", "event_type", F.col("ts").alias("crawl_ts"))
     events.repartition(4, "user_id").write.parquet(source)
     stream = intake.read_stream(spark, source, events.schema, files_per_trigger=2)
-    out = _drained(spark, intake.drop_duplicates(stream, ["user_id", "event_type"], "3650 days"), "unique")
+    out = _drained(spark, intake.drop_duplicates(stream, ["user_id", "event_type"]), "unique")
     return spark.read.parquet(out).select("user_id", "event_type")
 
 
+@query(
+    "stream_duplicates_unordered",
+    """SELECT DISTINCT user_id, CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_type END AS event_type,
+         CASE WHEN event_id % 50 = 0 THEN event_id END AS event_id FROM events""",
+)
+def stream_duplicates_unordered(spark, d):
+    """Captures of many years in no order: the first of each key passes, however old it is, and so do all without a key."""
+    source = shared_dir(spark, "unordered")
+    key = F.col("event_id")
+    days = F.make_dt_interval(days=((F.col("user_id") * 97 + key) % 5000).cast("int"))
+    events = table(spark, d, "events").select(
+        "user_id", F.when(key % 50 != 0, F.col("event_type")).alias("event_type"), "event_id", (F.col("ts") - days).alias("crawl_ts")
+    )
+    # later years come first in some files, earlier ones in others
+    events.repartitionByRange(6, F.pmod(key * 7919, F.lit(6))).sortWithinPartitions(F.desc("crawl_ts")).write.parquet(source)
+    stream = intake.read_stream(spark, source, events.schema, files_per_trigger=1)
+    out = _drained(spark, intake.drop_duplicates(stream, ["user_id", "event_type"]), "unordered-unique")
+    lacking = F.when(F.col("event_type").isNull(), F.col("event_id")).alias("event_id")
+    return spark.read.parquet(out).select("user_id", "event_type", lacking)
+
+
 @query("stream_extract", _PAGE_KEYS)
 def stream_extract(spark, d):
     """Streaming extraction into Parquet files."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import (
+    cores,
     pick,
     query,
     sql_drop_dot,
@@ -136,18 +137,20 @@ def shown(df):
 @query("curate_articles", f"WITH {CURATED_CTES} SELECT * EXCLUDE (sets) FROM curated")
 def curate_articles(spark, d):
     """The whole curation job without the split fan-out."""
-    return shown(curate(raw_articles(spark, d), author_list(spark, d), split=False))
+    return shown(curate(raw_articles(spark, d), author_list(spark, d), split=False, partitions=cores(spark)))
 
 
 @query("curate_splits", f"WITH {CURATED_CTES} SELECT * EXCLUDE (sets), unnest(sets) AS split FROM curated")
 def curate_splits(spark, d):
-    return shown(curate(raw_articles(spark, d), author_list(spark, d)))
+    return shown(curate(raw_articles(spark, d), author_list(spark, d), partitions=cores(spark)))
 
 
 @query("curate_large_author_list", f"WITH {CURATED_CTES} SELECT * EXCLUDE (sets) FROM curated")
 def curate_large_author_list(spark, d):
-    """The same with an author list treated as too large to broadcast."""
-    return shown(curate(raw_articles(spark, d), author_list(spark, d), split=False, shuffle_authors=True))
+    """The same with all customers' and parts' names in the author list."""
+    more = table(spark, d, "customer").select("c_name").union(table(spark, d, "part").select("p_name"))
+    authors = author_list(spark, d).union(more.withColumn("gender", F.lit("male")))
+    return shown(curate(raw_articles(spark, d), authors, split=False, partitions=cores(spark)))
 
 
 @query(

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from string import Formatter
 from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catalog.base import query, sql_entities, sql_strip, sql_unify, table
+from catalog.base import cores, query, sql_entities, sql_strip, sql_unify, table
 from pressloom.functions import labels, text, urls
 from pressloom.functions.dates import CZECH_MONTHS, CZECH_WEEKDAYS
 from pressloom.operators.html import PLAIN_BODY
 from pressloom.plans.extract import extract
-from pressloom.plans.sites import SITES, Site, Take
+from pressloom.plans.sites import SITES, Site, Take, register_site
 from pressloom.sources.config import DEFAULT_ROUTES, Route
 
 # A rule for the hosts of the `pages` table.
@@ -58,7 +59,7 @@ def example_articles(spark, d):
     pages = table(spark, d, "pages").select(
         "url", "html", F.col("page_id").alias("offset"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("crawl_ts")
     )
-    return extract(pages, EXAMPLE_ROUTES, {"example": EXAMPLE_SITE})
+    return extract(pages, EXAMPLE_ROUTES, {"example": EXAMPLE_SITE}, partitions=cores(spark))
 
 
 @query(
@@ -451,34 +452,38 @@ SAMPLES: dict[str, Sample] = {
     ),
 }
 
-_MONTH_SQL = "[" + ", ".join(f"'{m}'" for m in CZECH_MONTHS) + "][month(m)]"
+# Expected values, written out.
+_MONTH_SQL = """(['ledna', 'února', 'března', 'dubna', 'května', 'června', 'července', 'srpna', 'září', 'října', 'listopadu',
+    'prosince'])[month(m)]"""
 
 
-def site_pages(spark, d, name: str):
-    """Pages of one site with whole documents as article text."""
+def _site_page(name: str) -> Column:
+    """The page of one site for a document."""
     sample = SAMPLES[name]
-    key = F.col("doc_id")
-    hours = F.make_dt_interval(hours=(key * 7 % 90000).cast("int"))
+    key, parts = F.col("doc_id"), {k: F.col(f"_{k}") for k in _parts()}
     minutes = F.make_dt_interval(mins=(key % 1000).cast("int"))
-    docs = table(spark, d, "documents").select(
-        "doc_id",
-        "lang",
-        "source",
-        "text",
-        (F.lit("2010-01-01 08:05:00").cast("timestamp_ntz") + hours).alias("moment"),
-        (F.lit(sample.crawl).cast("timestamp_ntz") + minutes).alias("crawl_ts"),
-    )
-    parts = _parts()
     markup = F.lit(None).cast("string")
     for i, variant in enumerate(sample.variants):
         markup = F.when(key % len(sample.variants) == i, _template(variant, parts)).otherwise(markup)
-    link = F.concat(F.lit(f"https://{sample.host}/{sample.path}/"), key.cast("string"))
-    status = F.lit(404) if name == "seznamzpravy_cz" else F.lit(None).cast("int")
-    return docs.select(
-        link.alias("url"), "crawl_ts", status.alias("http_status"), markup.alias("html"), key.alias("offset")
+    return F.struct(
+        F.concat(F.lit(f"https://{sample.host}/{sample.path}/"), key.cast("string")).alias("url"),
+        (F.lit(sample.crawl).cast("timestamp_ntz") + minutes).alias("crawl_ts"),
+        (F.lit(404) if name == "seznamzpravy_cz" else F.lit(None).cast("int")).alias("http_status"),
+        markup.alias("html"),
+        key.alias("offset"),
     )
 
 
+def site_pages(spark, d, *names: str):
+    """Pages of some sites with whole documents as article text, from one scan of the documents."""
+    hours = F.make_dt_interval(hours=(F.col("doc_id") * 7 % 90000).cast("int"))
+    moment = (F.lit("2010-01-01 08:05:00").cast("timestamp_ntz") + hours).alias("moment")
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "text", moment)
+    # the parts are columns of their own, so that no page repeats them
+    docs = docs.withColumns({f"_{k}": c for k, c in _parts().items()})
+    return docs.select(F.explode(F.array(*map(_site_page, names))).alias("p")).select("p.*")
+
+
 def site_oracle(name: str, key: str = "doc_id") -> str:
     sample = SAMPLES[name]
     lines = f"array_to_string([{sql_strip('l')} for l in string_split(text, chr(10))], chr(10))"
@@ -509,10 +514,12 @@ def _shown() -> list[Column]:
 
 def _register_site_query(name: str) -> None:
     def run(spark, d):
-        return extract(site_pages(spark, d, name)).select(*_shown())
+        return extract(site_pages(spark, d, *built), partitions=cores(spark)).select(*_shown())
 
+    # pages that a rule rejects stand among pages that it keeps
+    built = ("aktualne_wiki", "aktualne_cz_v3") if name == "aktualne_wiki" else (name,)
     run.__doc__ = f"Extraction of {name} pages."
-    query(f"extract_{name}", site_oracle(name))(run)
+    query(f"extract_{name}", site_oracle(built[-1]))(run)
 
 
 for _name in SAMPLES:
@@ -525,8 +532,56 @@ for _name in SAMPLES:
 )
 def extract_all_sites(spark, d):
     """Pages of all sites in one job, routed by URL and crawl time."""
-    pages = None
-    for name in SITES:
-        one = site_pages(spark, d, name)
-        pages = one if pages is None else pages.unionByName(one)
-    return extract(pages, DEFAULT_ROUTES).select(F.col("extractor").alias("site"), *_shown())
+    articles = extract(site_pages(spark, d, *SITES), DEFAULT_ROUTES, partitions=cores(spark))
+    return articles.select(F.col("extractor").alias("site"), *_shown())
+
+
+# --- capture records and hooks ------------------------------------------------------------------------------------
+
+
+@query(
+    "page_domain_record",
+    f"""WITH {PAGE_CTES} SELECT page_id, 'D' || page_id AS digest, CASE WHEN page_id % 2 = 0 THEN 'utf-8' END AS encoding,
+          'crawl/' || page_id % 7 || '.warc.gz' AS filename, (page_id * 3)::INTEGER AS length, page_id + 3000000000 AS "offset",
+          '2024-01-01 00:00:' || lpad((page_id % 60)::VARCHAR, 2, '0') AS "timestamp", url FROM page_rows WHERE content <> ''""",
+)
+def page_domain_record(spark, d):
+    """All fields of the capture that an article came from."""
+    key = F.col("page_id")
+    second = F.lpad((key % 60).cast("string"), 2, "0")
+    pages = table(spark, d, "pages").select(
+        "url",
+        "html",
+        F.concat(F.lit("2024-01-01 00:00:"), second).cast("timestamp_ntz").alias("crawl_ts"),
+        F.concat(F.lit("D"), key.cast("string")).alias("digest"),
+        F.when(key % 2 == 0, "utf-8").alias("encoding"),
+        F.concat(F.lit("crawl/"), (key % 7).cast("string"), F.lit(".warc.gz")).alias("filename"),
+        (key * 3).cast("int").alias("length"),
+        (key + 3000000000).alias("offset"),
+    )
+    record = extract(pages, EXAMPLE_ROUTES, {"example": EXAMPLE_SITE}, partitions=cores(spark)).select("domain_record.*")
+    return record.select((F.col("offset") - 3000000000).alias("page_id"), "*")
+
+
+def _has_headline(page) -> bool:
+    return page.first(page.root, "article > h1") is not None
+
+
+def _title_as_brief(page) -> dict[str, str]:
+    return {"brief": "HOOK " + page.text(page.first(page.root, "title"))}
+
+
+@query(
+    "registered_site",
+    f"""WITH {PAGE_CTES} SELECT page_id, headline, 'HOOK ' || headline AS brief FROM page_rows
+        WHERE content <> '' AND contains(url, '/en/')""",
+)
+def registered_site(spark, d):
+    """A user's site: its page predicate, its tree predicate and the fields that its hook adds."""
+    site = replace(EXAMPLE_SITE, page_filter=lambda: F.col("url").contains("/en/"), tree_filter=_has_headline, hook=_title_as_brief)
+    register_site("hooked_example", site)
+    pages = table(spark, d, "pages").select(
+        "url", "html", F.col("page_id").alias("offset"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("crawl_ts")
+    )
+    routes = [Route(r".*\.example\.(com|net|org).*", "hooked_example")]
+    return extract(pages, routes, partitions=cores(spark)).select(F.col("domain_record.offset").alias("page_id"), "headline", "brief")

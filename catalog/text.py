@@ -53,11 +53,15 @@ def text_entities(spark, d):
 
 @query(
     "text_tidy_sentence",
-    f"""WITH t AS (SELECT doc_id, {sql_drop_dot('text')} AS x FROM documents)
-        SELECT doc_id, {sql_upper_first('x')} AS tidy FROM t""",
+    f"""WITH r AS (SELECT doc_id, {sql_pick('doc_id', '', 'ǅ', 'ǆ', 'é', ' ß')} || text AS raw FROM documents),
+             t AS (SELECT doc_id, {sql_drop_dot('raw')} AS x FROM r)
+        SELECT doc_id, CASE WHEN doc_id % 5 = 1 THEN x WHEN doc_id % 5 = 2 THEN 'Ǆ' || substr(x, 2) ELSE {sql_upper_first('x')} END AS tidy
+        FROM t""",
 )
 def text_tidy_sentence(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.tidy_sentence(F.col("text")).alias("tidy"))
+    """A title-case letter stays, a small one is raised."""
+    raw = F.concat(pick(F.col("doc_id"), "", "ǅ", "ǆ", "é", " ß"), "text")
+    return table(spark, d, "documents").select("doc_id", text.tidy_sentence(raw).alias("tidy"))
 
 
 @query(

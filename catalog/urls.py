@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import pick, query, sql_pick, table
+from catalog.base import pick, query, sql_pick, sql_text, table
 from pressloom.functions import urls
 from pressloom.operators import filters, routing
-from pressloom.sources.config import DEFAULT_ROUTES, SITE_PATTERN
+from pressloom.sources.config import DEFAULT_ROUTES, SITE_PATTERN, Route
 from pressloom.sources.index import query_index, with_crawl_ts
 
 HOST = "regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)"
@@ -111,16 +111,29 @@ def trial_rows(spark, d):
 
 SITES = ("idnes", "aktualne", "denik", "novinky", "seznamzpravy", "ihned", "irozhlas", "example")
 CAPTURE_TIME = "date_trunc('second', ts) - INTERVAL ((user_id * 97 + event_id) % 5000) DAY"
-# The open-ended bounds and the shared ones, as a table for the oracles.
-ROUTE_ROWS = ", ".join(
-    f"('{r.regex[2:-5].replace(chr(92), '')}', '{r.extractor}', "
-    f"{f'TIMESTAMP {chr(39)}{r.since}{chr(39)}' if r.since else 'NULL'}, "
-    f"{f'TIMESTAMP {chr(39)}{r.until}{chr(39)}' if r.until else 'NULL'})"
-    for r in DEFAULT_ROUTES
-).replace(".cz", "")
+# Expected values, written out: site, extractor and its validity.
+EXPECTED_ROUTES = (
+    ("idnes", "idnes_cz_v1", None, "2011-08-09 00:00:00"),
+    ("idnes", "idnes_cz_v2", "2011-08-09 00:00:00", None),
+    ("aktualne", "aktualne_cz_v1", None, "2014-09-10 00:00:00"),
+    ("aktualne", "aktualne_cz_v2", "2014-09-10 00:00:00", "2019-09-10 00:00:00"),
+    ("aktualne", "aktualne_cz_v3", "2019-09-10 00:00:00", None),
+    ("denik", "denik_cz_v1", None, "2012-02-29 00:00:00"),
+    ("denik", "denik_cz_v2", "2012-02-29 00:00:00", "2018-12-01 00:00:00"),
+    ("denik", "denik_cz_v3", "2018-12-01 00:00:00", None),
+    ("novinky", "novinky_cz_v1", None, "2019-08-06 00:00:00"),
+    ("novinky", "novinky_cz_v2", "2019-08-06 00:00:00", None),
+    ("seznamzpravy", "seznamzpravy_cz", None, None),
+    ("ihned", "ihned_cz_v1", None, "2011-05-05 00:00:00"),
+    ("ihned", "ihned_cz_v2", "2011-05-05 00:00:00", "2019-05-05 00:00:00"),
+    ("ihned", "ihned_cz_v3", "2019-05-05 00:00:00", None),
+    ("irozhlas", "irozhlas_cz", None, None),
+)
+ROUTE_ROWS = ", ".join(f"({', '.join(map(sql_text, r))})" for r in EXPECTED_ROUTES)
 ROUTED = f"""WITH c AS (SELECT event_id, {sql_pick('event_id', *SITES)} AS site, {CAPTURE_TIME} AS crawl_ts FROM events),
-     r(site, extractor, since, until) AS (VALUES {ROUTE_ROWS})
-     SELECT event_id, extractor FROM c JOIN r ON c.site || '\\' = r.site || '\\'
+     r AS (SELECT site, extractor, since::TIMESTAMP AS since, until::TIMESTAMP AS until
+           FROM (VALUES {ROUTE_ROWS}) AS r(site, extractor, since, until))
+     SELECT event_id, extractor FROM c JOIN r ON c.site = r.site
       AND (since IS NULL OR crawl_ts >= since) AND (until IS NULL OR crawl_ts < until)"""
 
 
@@ -150,10 +163,54 @@ def routes_by_case(spark, d):
 
 @query("routes_by_join", ROUTED)
 def routes_by_join(spark, d):
-    rows = [(r.regex[2:-6], r.extractor, r.since, r.until) for r in DEFAULT_ROUTES]
-    routes = spark.createDataFrame(rows, "site string, extractor string, since string, until string")
-    routes = routes.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("since", "until")})
-    return routing.route_join(with_crawl_ts(captures(spark, d)), routes, SITE_PATTERN).select("event_id", "extractor")
+    return routing.route_join(with_crawl_ts(captures(spark, d)), _route_table(spark, EXPECTED_ROUTES), SITE_PATTERN).select("event_id", "extractor")
+
+
+def _route_table(spark, routes):
+    rows = [(i, *r) for i, r in enumerate(routes)]
+    df = spark.createDataFrame(rows, "position int, site string, extractor string, since string, until string")
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("since", "until")})
+
+
+@query(
+    "routes_interleaved",
+    f"""WITH c AS (SELECT event_id, user_id, {sql_pick('event_id', *SITES)} AS site, {CAPTURE_TIME} AS crawl_ts FROM events),
+        r AS (SELECT event_id, CASE WHEN site = 'idnes' AND crawl_ts < TIMESTAMP '2018-01-01' THEN 'old_idnes'
+                WHEN user_id::VARCHAR LIKE '1%' THEN 'ones' WHEN site = 'idnes' THEN 'new_idnes'
+                WHEN site = 'novinky' AND crawl_ts >= TIMESTAMP '2016-01-01' THEN 'late'
+                WHEN site = 'novinky' AND crawl_ts < TIMESTAMP '2020-01-01' THEN 'early' END AS extractor FROM c)
+        SELECT * FROM r WHERE extractor IS NOT NULL""",
+)
+def routes_interleaved(spark, d):
+    """Routes of two patterns in turn and routes that overlap in time: the first that matches wins."""
+    routes = [
+        Route(r".*idnes\.cz.*", "old_idnes", None, "2018-01-01 00:00:00"),
+        Route(r".*/clanek/1.*", "ones"),
+        Route(r".*idnes\.cz.*", "new_idnes"),
+        Route(r".*novinky\.cz.*", "late", "2016-01-01 00:00:00", None),
+        Route(r".*novinky\.cz.*", "early", None, "2020-01-01 00:00:00"),
+    ]
+    return routing.route(with_crawl_ts(captures(spark, d)), routes).select("event_id", "extractor")
+
+
+@query(
+    "routes_overlapping_join",
+    f"""WITH c AS (SELECT event_id, {sql_pick('event_id', *SITES)} AS site, {CAPTURE_TIME} AS crawl_ts FROM events),
+        r AS (SELECT event_id, CASE WHEN site = 'novinky' AND crawl_ts >= TIMESTAMP '2016-01-01' THEN 'late'
+                WHEN site = 'novinky' AND crawl_ts < TIMESTAMP '2020-01-01' THEN 'early'
+                WHEN site = 'denik' THEN 'first' END AS extractor FROM c)
+        SELECT * FROM r WHERE extractor IS NOT NULL""",
+)
+def routes_overlapping_join(spark, d):
+    """The same by a table: a page in two validities gets the first route, once."""
+    routes = (
+        ("novinky", "late", "2016-01-01 00:00:00", None),
+        ("denik", "first", None, None),
+        ("novinky", "early", None, "2020-01-01 00:00:00"),
+        ("denik", "second", None, None),
+    )
+    found = routing.route_join(with_crawl_ts(captures(spark, d)), _route_table(spark, routes), SITE_PATTERN)
+    return found.select("event_id", "extractor")
 
 
 CAPTURES_SQL = f"""SELECT event_id, 'CAP' || (event_id % 977) AS digest, user_id, event_type, {CAPTURE_TIME} AS crawl_ts,

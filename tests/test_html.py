@@ -100,3 +100,42 @@ def test_body_text_loses_bare_text_of_list_items():
     rule = {"tags": PLAIN_BODY}
     assert body_text(page, page.by_name["div"][0], rule) == "a\nkept"
     assert body_text(page, page.by_name["div"][0], {**rule, "keep_bare_text": True}) == "a\nlost\nkept"
+
+
+def _seconds(markup, act):
+    import time
+
+    best = 1e9
+    for _ in range(3):
+        start = time.perf_counter()
+        act(Page(markup))
+        best = min(best, time.perf_counter() - start)
+    return best
+
+
+@pytest.mark.parametrize(
+    ("piece", "act"),
+    [
+        ("<li><p>x</p>", lambda page: body_text(page, page.root, {"tags": PLAIN_BODY})),
+        ("<li><p>", lambda page: body_text(page, page.root, {"tags": PLAIN_BODY})),
+        ("<p>x", lambda page: list(page.select(page.root, "div p"))),
+        ("<i>x</b>", lambda page: list(page.select(page.root, "b i > i"))),
+    ],
+)
+def test_time_follows_the_size_of_nested_pages(piece, act):
+    small, large = _seconds(piece * 4_000, act), _seconds(piece * 16_000, act)
+    assert large < 8 * small + 0.05
+
+
+def test_deep_pages_are_read():
+    page = Page("<li>a" * 120_000)
+    assert body_text(page, page.root, {"tags": ("li",)}) == ""
+    page = Page("<ul>" * 50_000 + "<li><p>x</p></li>")
+    assert body_text(page, page.root, {"tags": ("ul", "li", "p")}) == "x"
+
+
+def test_ancestors_are_found_as_one_by_one():
+    page = Page("<div class=a><p><b><i>1</i></b></p><b><div class=c><i>2</i></div></b></div><b><i>3</i></b>")
+    text = lambda css: [page.text(e) for e in page.select(page.root, css)]
+    assert text(".a i") == ["1", "2"] and text(".a b > i") == ["1"] and text("p b i") == ["1"]
+    assert text(".a > b i") == ["2"] and text("div div i") == ["2"] and text("b > i") == ["1", "3"] and text("i i") == []
