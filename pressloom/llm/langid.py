@@ -130,8 +130,8 @@ def windows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return codes, row
 
 
-def fit(texts: list[bytes], languages: list[str], hidden: int = 16, epochs: int = 8, batch: int = 256, rate: float = 0.01, seed: int = 7, per_text: int = 4) -> Network:
-    """Train by Adam on up to `per_text` windows of each text, spread over it."""
+def fit(texts: list[bytes], languages: list[str], hidden: int = 16, steps: int = 256, batch: int = 256, rate: float = 0.01, seed: int = 7, per_text: int = 4) -> Network:
+    """Train by so many steps of Adam on up to `per_text` windows of each text, spread over it."""
     names = sorted(set(languages))
     rng = np.random.default_rng(seed)
     codes, label = [], []
@@ -145,20 +145,20 @@ def fit(texts: list[bytes], languages: list[str], hidden: int = 16, epochs: int
         return network
     codes, label = np.concatenate(codes), np.array(label)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.values.items()}
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(label))
-        for at in range(0, len(order), batch):
-            part = order[at : at + batch]
-            _, grads = network.gradient(np.ascontiguousarray(codes[part].T), label[part])
-            step += 1
-            size = np.sqrt(sum(float((g.astype(np.float64) ** 2).sum()) for g in grads.values()))
-            for k, g in grads.items():
-                g = g * min(1.0, 1.0 / (size + 1e-9))
-                m, s = moments[k]
-                m += 0.1 * (g - m)
-                s += 0.001 * (g * g - s)
-                network.values[k] -= (rate * (0.7**epoch) * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+    order = np.zeros(0, int)
+    for step in range(1, steps + 1):
+        if not len(order):
+            order = rng.permutation(len(label))
+        part, order = order[:batch], order[batch:]
+        _, grads = network.gradient(np.ascontiguousarray(codes[part].T), label[part])
+        size = np.sqrt(sum(float((g.astype(np.float64) ** 2).sum()) for g in grads.values()))
+        slower = rate * 0.05 ** (step / steps)
+        for k, g in grads.items():
+            g = g * min(1.0, 1.0 / (size + 1e-9))
+            m, s = moments[k]
+            m += 0.1 * (g - m)
+            s += 0.001 * (g * g - s)
+            network.values[k] -= (slower * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return network
 
 

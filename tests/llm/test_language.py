@@ -22,7 +22,7 @@ def written(rng, lang, n):
 def network():
     rng = random.Random(1)
     langs = [rng.choice(list(VOWELS)) for _ in range(150)]
-    return langid.fit([written(rng, x, 40).encode() for x in langs], langs, hidden=8, epochs=4, batch=64)
+    return langid.fit([written(rng, x, 40).encode() for x in langs], langs, hidden=8, steps=60, batch=64)
 
 
 def test_gradient_is_that_of_the_loss():
@@ -97,10 +97,9 @@ def test_no_labels(spark, documents, nothing):
 
 def test_training_rows_are_bounded_and_not_held_out(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    held = {r["text"]: r["doc_id"] for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2}
-    free = {r["text"] for r in docs.collect()} - set(held)
+    free = {r["text"] for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
     rows = langid.training_rows(docs, 10, 3, "text", "lang", "doc_id")
-    assert all(bytes(r["text"]).decode() in free or bytes(r["text"]).decode() not in held for r in rows)
+    assert all(bytes(r["text"]).decode() in free for r in rows)
     counts = {}
     for r in rows:
         counts[r["lang"]] = counts.get(r["lang"], 0) + 1
