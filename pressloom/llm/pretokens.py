@@ -28,7 +28,7 @@ _CLASS[9:14] = BLANK
 _CLASS[0x1C:0x20] = ODD
 _CLASS[0x80:] = ODD
 
-#: rows and pre-tokens of the frequent table; they decide the speed only, never a result
+#: about so many rows are looked at for the frequent table, which has so many pre-tokens; they decide the speed only
 SAMPLE_ROWS = 4096
 TABLE_SIZE = 1 << 16
 #: entries that a worker keeps before it starts its cache anew
@@ -249,7 +249,7 @@ def _without(starts, ends, row_bounds, rows):
 
 
 def frequent(documents: DataFrame, text: str, source: str, sample_rows: int = SAMPLE_ROWS, size: int = TABLE_SIZE) -> HashTable:
-    """The table of the `size` most frequent pre-tokens among the first `sample_rows` texts; both bound its size."""
+    """The table of the `size` most frequent pre-tokens in a sample of about `sample_rows` texts."""
     special = load(source).special
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +270,8 @@ def frequent(documents: DataFrame, text: str, source: str, sample_rows: int = SA
                     }
                 )
 
-    sample = documents.select(F.col(f"`{text}`").alias("text")).limit(sample_rows)
+    share = min(1.0, sample_rows / max(1, documents.count()))
+    sample = documents.select(F.col(f"`{text}`").alias("text")).sample(share, seed=1)
     rows = (
         sample.mapInArrow(pieces, "key bigint, piece binary, n bigint")
         .groupBy("key", "piece")
