@@ -177,12 +177,14 @@ def _marked(runs: DataFrame) -> DataFrame:
     Of equal runs one stands for all: it is refined against the others of its q-gram, and as a whole run needs no answer.
     """
     own = F.struct("doc_id", "text_hash", "low")
-    extents = stored(runs.groupBy("gram", "extent").agg(F.count("*").alias("n"), F.min(own).alias("chosen")), "extents")
-    grams = extents.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.min("n").alias("least")).where("total > 1")
-    shared = extents.join(grams, "gram").select("gram", "extent", "n", "chosen", "kinds", (F.col("kinds") > 1).alias("mixed"), "least")
-    rows = runs.join(shared, ["gram", "extent"])
+    # most q-grams are found once: their runs end here
+    again = runs.groupBy("gram").count().where("count > 1").select("gram")
+    shared = stored(runs.join(again, "gram"), "shared-runs")
+    extents = shared.groupBy("gram", "extent").agg(F.count("*").alias("n"), F.min(own).alias("chosen"))
+    grams = shared.groupBy("gram", "extent").count().groupBy("gram").agg(F.count("*").alias("kinds"), F.min("count").alias("least"))
+    rows = shared.join(extents, ["gram", "extent"]).join(grams, "gram")
     # a bucket needs refinement if it has several extents, one of them found once
-    open_ = F.col("mixed") & (F.col("least") == 1)
+    open_ = (F.col("kinds") > 1) & (F.col("least") == 1)
     return rows.select(
         "doc_id",
         "text_hash",
