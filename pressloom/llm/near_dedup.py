@@ -4,8 +4,9 @@ Every hash function of a shingle set is used twice: the smallest and the largest
 functions give 120 signature values. 24 bands of 5 values propose pairs; a link is confirmed on the full sets. A pair
 at the threshold of 0.85 is missed by all bands with probability (1 - 0.85^5)^24 < 1e-6, a more similar one less often.
 
-Texts with equal shingle sets are one node throughout, so copies are never paired with each other. Within a band bucket the
-nodes are compared with a few pivots, not with each other: see `links`.
+Texts with equal shingle sets are one node throughout, so copies are never paired with each other. Shingles that only one
+candidate has bound its similarity to all others; that spares most pairs of a bucket that are no link (`possible`). Within
+a bucket nodes are compared with a few pivots, not with each other: see `links`.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.llm.components import components
@@ -160,47 +161,83 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, p: MinMax, hot: int = 2048) -
     return sent.select("pivot", "part", "node", "text").mapInArrow(compare, "u binary, v binary")
 
 
-def links(buckets: DataFrame, texts: DataFrame, p: MinMax) -> DataFrame | None:
-    """Confirmed links (u, v) that connect all nodes which any confirmed chain of links within buckets connects.
+def possible(n: Column, shared: Column, other_n: Column, other_shared: Column, p: MinMax) -> Column:
+    """Whether sets of these sizes can be similar enough, if they can only have their `shared` members in common."""
+    common = F.least(shared, other_shared)
+    return 100 * common >= p.percent * (n + other_n - common)
 
-    Round t takes at most 4^t pivots from each bucket, the first of each hash lane among the nodes that have not been one,
-    and compares them with the bucket's nodes of other components. A bucket is done when its nodes that have not been
-    pivots are in one component: every other pair in it has been compared or is connected. Groups of copies are done after
-    a round or two; unrelated nodes that share a bucket are all compared, in about log4 of its size rounds. No bucket is cut.
+
+def shared_members(texts: DataFrame, p: MinMax) -> DataFrame:
+    """(id, shared): how many shingles of each candidate another candidate has too."""
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for first, stop, data, bounds in slices(batch.column(1), 1 << 18):
+                values, at = shingle_sets(data, bounds, p.width)
+                yield pa.RecordBatch.from_pydict({"shingle": values.view(np.int64), "id": np.repeat(ids[first:stop], np.diff(at))})
+
+    rows = texts.select("id", "text").mapInArrow(members, "shingle bigint, id bigint")
+    single = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    own = single.groupBy("id").agg(F.count("*").alias("own"))
+    return texts.select("id", "node", "n").join(own, "id", "left").select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _open_buckets(buckets: DataFrame, sizes: DataFrame, p: MinMax) -> DataFrame:
+    """(key, node, n, shared, keys) of the nodes that some other node of the bucket may be linked with."""
+    sized = buckets.join(sizes, "node")
+    least = sized.groupBy("key").agg(F.min("n").alias("least"))
+    # a partner is at least as large as the smallest node, and all its members may be shared
+    partner = F.greatest("least", "shared")
+    kept = stored(sized.join(least, "key").where(possible(F.col("n"), F.col("shared"), partner, partner, p)).drop("least"), "kept")
+    return kept.join(kept.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "key")
+
+
+def links(buckets: DataFrame, texts: DataFrame, p: MinMax) -> DataFrame:
+    """(node, label): the components of all confirmed links within buckets; nodes without a link are left out.
+
+    The first pivot of a bucket is the node with the smallest part of its own, as the text that others were copied from.
+    Round t takes at most 64^t more, one from each hash lane of the nodes that are not in the first one's component. Pivots
+    are compared with the bucket's nodes of other components, unless the sizes rule out a link; a node and a pivot that share
+    several buckets are compared in the first. A bucket is done when its
+    nodes that have not been pivots are in one component: every other pair in it has been compared, is connected or cannot
+    be a link. Copies of one text are done after a round or two; unrelated nodes that share a bucket are all compared, in
+    about log64 of its size rounds. No bucket is cut.
     """
-    found, tested, labels, t = None, None, None, 0
-    open_ = stored(buckets.withColumn("used", F.lit(False)), "buckets")
-    while True:
-        lane = F.pmod(F.xxhash64("node", F.lit(t)), F.lit(min(4**t, 1 << 40)))
-        pivots = open_.where("NOT used").groupBy("key", lane.alias("lane")).agg(F.min("node").alias("pivot"), F.min_by("label", "node").alias("own") if labels is not None else F.lit(None).cast("binary").alias("own"))
-        met = open_.join(pivots.select("key", "pivot", "own"), "key").where("node <> pivot")
-        if labels is not None:
-            met = met.where("label <> own")
-        pairs = met.select("pivot", "node").distinct()
+    tested, labels, t = None, None, 0
+    state = ("key", "node", "n", "shared", "keys", "used", "label")
+    open_ = stored(buckets.withColumns({"used": F.lit(False), "label": F.col("node")}).select(*state), "buckets")
+    while not open_.isEmpty():
+        lane = F.pmod(F.xxhash64("node", F.lit(t)), F.lit(min(64**t, 1 << 42)))
+        first = F.min(F.struct((1 - F.col("shared") / F.col("n")).alias("own"), "node", "label", "n", "shared"))
+        free_nodes = open_.where("NOT used")
+        if t:
+            main = open_.groupBy("key").agg(first.alias("m")).select("key", F.col("m.label").alias("main"))
+            free_nodes = free_nodes.join(main, "key").where("label <> main")
+        chosen = stored(free_nodes.groupBy("key", lane.alias("lane")).agg(first.alias("p")).select("key", "p.node", "p.label", "p.n", "p.shared"), "pivots")
+        facts = [F.first(c).alias(f"p_{c}") for c in ("label", "n", "shared")]
+        pivots = chosen.groupBy(F.col("node").alias("p_node")).agg(*facts, F.collect_set("key").alias("p_keys")).withColumn("key", F.explode("p_keys"))
+        met = open_.join(pivots, "key").where((F.col("node") != F.col("p_node")) & (F.col("label") != F.col("p_label")))
+        met = met.where(possible(F.col("n"), F.col("shared"), F.col("p_n"), F.col("p_shared"), p))
+        # a node meets a pivot in several buckets, but only in the first of them they are a pair
+        met = met.where(F.col("key") == F.array_min(F.array_intersect("keys", "p_keys")))
+        pairs = met.select(F.col("p_node").alias("pivot"), "node")
         if tested is not None:
-            pairs = pairs.join(tested, ["pivot", "node"], "left_anti").join(tested.select(F.col("pivot").alias("node"), F.col("node").alias("pivot")), ["pivot", "node"], "left_anti")
+            either = tested.union(tested.select(F.col("node").alias("pivot"), F.col("pivot").alias("node")))
+            pairs = pairs.join(either, ["pivot", "node"], "left_anti")
         pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else stored(tested.union(pairs), "tested")
-        new = stored(_confirmed(pairs, texts, p), "links")
-        found = new if found is None else found.union(new)
-        labels = stored(components(found), "labels")
-        used = open_.join(pivots.select("key", F.col("pivot").alias("node"), F.lit(True).alias("now")), ["key", "node"], "left")
-        used = used.select("key", "node", (F.col("used") | F.col("now").isNotNull()).alias("used"))
-        named = used.join(labels, "node", "left").select("key", "node", "used", F.coalesce("label", "node").alias("label"))
-        named = stored(named, "named")
-        left = (
-            named.groupBy("key")
-            .agg(
-                F.min(F.when(~F.col("used"), F.col("label"))).alias("low"),
-                F.max(F.when(~F.col("used"), F.col("label"))).alias("high"),
-            )
-            .where("low < high")
-            .select("key")
-        )
-        open_ = stored(named.join(left, "key"), "buckets")
+        tested = pairs if tested is None else tested.union(pairs)
+        found = _confirmed(pairs, texts, p)
+        labels = components(found if labels is None else labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(found))
+        now = chosen.select("key", "node", F.lit(True).alias("now"))
+        after = open_.drop("label").join(now, ["key", "node"], "left").join(labels, "node", "left")
+        after = after.withColumns({"used": F.col("used") | F.col("now").isNotNull(), "label": F.coalesce("label", "node")})
+        after = stored(after.select(*state), "state")
+        free = F.when(~F.col("used"), F.col("label"))
+        left = after.groupBy("key").agg(F.min(free).alias("low"), F.max(free).alias("high")).where("low < high").select("key")
+        open_ = stored(after.join(left, "key"), "buckets")
         t += 1
-        if open_.isEmpty():
-            return found
+    return components(texts.select(F.col("node").alias("u"), F.col("node").alias("v"))) if labels is None else labels
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", p: MinMax = MinMax()) -> DataFrame:
@@ -219,12 +256,12 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     buckets = stored(member.join(shared, "key"), "buckets")
     # one row for each node that needs its text
     wanted = buckets.select("node").distinct()
-    first = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    ids = wanted.join(first, "node")
-    texts = stored(_texts(docs, ids, p), "texts")
-    found = links(buckets, texts, p)
-    labels = components(found)
-    lowest = first.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
+    first = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("keys").alias("keys"))
+    ids = stored(wanted.join(first, "node"), "candidates")
+    texts = stored(_texts(docs, ids.select("node", "doc_id"), p).withColumn("id", F.monotonically_increasing_id()), "texts")
+    sizes = stored(shared_members(texts, p).join(ids.select("node", "keys"), "node"), "sizes")
+    labels = links(_open_buckets(buckets, sizes, p), texts.select("node", "text"), p)
+    lowest = first.select("node", "doc_id").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
     lowest = stored(lowest, "lowest")
     group = lowest.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     group = lowest.join(group, "label").select("node", "component_id")
@@ -256,15 +293,16 @@ def without_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def _texts(docs: DataFrame, ids: DataFrame, p: MinMax) -> DataFrame:
-    """(node, text): one text for each node of ids. An id may repeat with other texts, so the node is taken from the text."""
+    """(node, text, n): a text and set size for each node of ids. An id may repeat with other texts, so the text must match."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column(0).to_pylist()
             for first, stop, data, bounds in slices(batch.column(1)):
-                digests = set_digests(*shingle_sets(data, bounds, p.width))
-                good = pa.array([nodes[first + i] == d for i, d in enumerate(digests)])
-                yield batch.slice(first, stop - first).filter(good)
+                values, at = shingle_sets(data, bounds, p.width)
+                good = pa.array([nodes[first + i] == d for i, d in enumerate(set_digests(values, at))])
+                part = batch.slice(first, stop - first)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.diff(at))], names=["node", "text", "n"]).filter(good)
 
     matched = docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id)).select("node", "text")
-    return matched.mapInArrow(check, "node binary, text string").dropDuplicates(["node"])
+    return matched.mapInArrow(check, "node binary, text string, n bigint").dropDuplicates(["node"])
