@@ -8,6 +8,7 @@ byte classes do not describe (special strings, control separators, letters beyon
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,9 +31,9 @@ _CLASS[0x80:] = ODD
 
 #: about so many rows are looked at for the frequent table, which has so many pre-tokens; they decide the speed only
 SAMPLE_ROWS = 4096
-TABLE_SIZE = 1 << 16
+TABLE_SIZE = 1 << 17
 #: entries that a worker keeps before it starts its cache anew
-CACHE_SIZE = 1 << 20
+CACHE_SIZE = 1 << 18
 
 
 def classify(data: np.ndarray, bounds: np.ndarray, special: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -173,8 +174,8 @@ class Encoder:
     def __init__(self, bpe: Bpe, table: HashTable, cache: dict) -> None:
         self.bpe, self.table, self.cache = bpe, table, cache
 
-    def _missing(self, data, starts, ends, keys) -> tuple[list, np.ndarray]:
-        """Token ids of each distinct key that the table lacks, and which of them each miss is."""
+    def _missing(self, data, starts, ends, keys) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Token ids of each distinct key that the table lacks, as bytes, their numbers, and which of them each miss is."""
         unique, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.cache) > CACHE_SIZE:
             self.cache.clear()
@@ -182,9 +183,9 @@ class Encoder:
         for key, at in zip(unique.tolist(), where.tolist(), strict=True):
             row = get(key)
             if row is None:
-                row = self.cache[key] = tuple(self.bpe.piece(data[starts[at] : ends[at]].tobytes()))
+                row = self.cache[key] = array("I", self.bpe.piece(data[starts[at] : ends[at]].tobytes())).tobytes()
             rows.append(row)
-        return rows, inverse
+        return rows, np.fromiter(map(len, rows), np.int64, len(rows)) // 4, inverse
 
     def _library_rows(self, data, bounds, rows) -> list[list[int]]:
         return self.bpe.texts([data[bounds[r] : bounds[r + 1]].tobytes().decode() for r in rows.tolist()])
@@ -201,8 +202,8 @@ class Encoder:
         size = self.table.count[slot].astype(np.int64)
         missed = np.flatnonzero(slot < 0)
         if len(missed):
-            rows, inverse = self._missing(data, starts[missed], ends[missed], keys[missed])
-            size[missed] = np.fromiter(map(len, rows), np.int64, len(rows))[inverse]
+            _, sizes, inverse = self._missing(data, starts[missed], ends[missed], keys[missed])
+            size[missed] = sizes[inverse]
         total = np.concatenate(([0], np.cumsum(size)))
         out = total[row_bounds[1:]] - total[row_bounds[:-1]]
         if len(odd):
@@ -221,11 +222,10 @@ class Encoder:
         begin, size, pool = self.table.begin[slot], self.table.count[slot].astype(np.int64), self.table.ids
         missed = np.flatnonzero(slot < 0)
         if len(missed):
-            rows, inverse = self._missing(data, starts[missed], ends[missed], keys[missed])
-            sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+            rows, sizes, inverse = self._missing(data, starts[missed], ends[missed], keys[missed])
             begin[missed] = (np.cumsum(sizes) - sizes)[inverse] + len(pool)
             size[missed] = sizes[inverse]
-            pool = np.concatenate((pool, np.fromiter((i for row in rows for i in row), np.uint32, int(sizes.sum()))))
+            pool = np.concatenate((pool, np.frombuffer(b"".join(rows), np.uint32)))
         out = pool[ranges(begin, size)]
         total = np.concatenate(([0], np.cumsum(size)))[row_bounds]
         if not len(odd):
@@ -278,11 +278,10 @@ def frequent(documents: DataFrame, text: str, source: str, sample_rows: int = SA
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "key")
         .limit(size)
-        .collect()
+        .toArrow()
     )
     bpe = load(source)
-    keys = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
-    return HashTable(keys, [bpe.piece(bytes(r["piece"])) for r in rows])
+    return HashTable(rows.column("key").to_numpy().view(np.uint64), [bpe.piece(p.as_py()) for p in rows.column("piece")])
 
 
 _caches: dict[str, dict] = {}

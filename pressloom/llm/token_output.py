@@ -17,15 +17,19 @@ from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressloom.llm import pretokens
 from pressloom.llm.tables import only, ready, stored
 from pressloom.llm.textbytes import binary_rows, mix, ranges, slices
+from pressloom.llm.token_counts import token_counts
 
 #: documents per bucket of the base order; a constant of the layout, so that slots do not depend on the cluster
 BUCKET_ROWS = 16_384
+#: most that is broadcast of the documents' places, and an upper bound of one of them in memory
+BROADCAST_BYTES = 64 << 20
+PLACE_BYTES = 64
 
 
 @dataclass(frozen=True)
@@ -76,23 +80,44 @@ def permute(index: np.ndarray, size: int, key: int, rounds: int = 4) -> np.ndarr
     return out.astype(np.int64)
 
 
+def _places(rows: DataFrame, tokenizer: str, length: int) -> DataFrame:
+    """Stored (doc_id, text_hash, copies, sequences, base): where a document's sequences begin in the base order.
+
+    The order is by a hash bucket of the id, then id, then text hash, so it does not depend on how the rows are dealt. Only
+    these narrow rows are shuffled.
+    """
+    spark = rows.sparkSession
+    sizes = token_counts(rows, tokenizer).withColumn("sequences", F.ceil((F.col("n_tokens") + 1) / length))
+    buckets = max(1, math.ceil(rows.count() / BUCKET_ROWS))
+    bucket = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(buckets)).alias("bucket")
+    keyed = sizes.groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies"), F.max("sequences").alias("sequences"))
+    keyed = stored(keyed.select("*", bucket), "sizes")
+    own = F.col("copies") * F.col("sequences")
+    per_bucket = keyed.groupBy("bucket").agg(F.sum(own).alias("n")).orderBy("bucket").collect()
+    starts = np.cumsum([0, *[r["n"] for r in per_bucket]]).tolist()
+    start_rows = [(r["bucket"], s) for r, s in zip(per_bucket, starts, strict=False)]
+    start = spark.createDataFrame(start_rows, "bucket bigint, start bigint")
+    before = Window.partitionBy("bucket").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    base = (F.col("start") + F.coalesce(F.sum(own).over(before), F.lit(0))).alias("base")
+    return stored(keyed.join(start, "bucket").select("doc_id", "text_hash", "copies", "sequences", base), "places")
+
+
 def write_training_order(
     documents: DataFrame,
     path: str,
     tokenizer: str,
     doc_id: str = "doc_id",
     text: str = "text",
-    sequence_length: int = 1024,
-    shard_records: int = 8192,
+    sequence_length: int = 512,
+    shard_records: int = 4096,
     key: int = 0,
 ) -> Layout:
     """Cut every document's token ids (and an end id) into sequences and write them in the order of a keyed permutation.
 
-    The base order is by a hash bucket of the id, then id, then text hash, then chunk: slots depend on the rows and the key
-    only. Sequences are stored once to be counted; each is then shuffled once, to its shard. Shard k is one task's range of
-    slots, so tasks have equal work whatever the sources are. A null or empty text is one sequence with the end id alone.
-    A null id is 0 with `has_doc_id` 0. Repeated rows are repeated sequences. An empty table gives an empty folder. Other
-    columns play no part.
+    Token counts give each document its place in a base order; a second pass makes the sequences and shuffles each once, to
+    its shard. A shard is what a reader holds at once, by default 4 MB. Shard k is one task's range of slots, so tasks have equal work whatever the sources are. Slots depend on the
+    rows and the key only. A null or empty text is one sequence with the end id alone. A null id is 0 with `has_doc_id` 0.
+    Repeated rows are repeated sequences. An empty table gives an empty folder. Other columns play no part.
     """
     spark = documents.sparkSession
     ready(spark)
@@ -101,17 +126,17 @@ def write_training_order(
     bpe = pretokens.load(source)
     end_id = pad_id = max(bpe.special_ids, default=bpe.size)
     width = 2 if max(bpe.size, end_id + 1) <= 1 << 16 else 4
-    rows = only(documents, doc_id=doc_id, text=text)
-    n_rows = documents.count()
-    buckets = max(1, math.ceil(n_rows / BUCKET_ROWS))
+    rows = only(documents, doc_id=F.col(f"`{doc_id}`").cast("bigint"), text_hash=F.xxhash64(F.col(f"`{text}`")), text=text)
+    places = _places(rows, tokenizer, sequence_length)
+    total = places.agg(F.coalesce(F.sum(F.col("copies") * F.col("sequences")), F.lit(0)), F.count("*")).first()
+    layout = Layout(int(total[0]), sequence_length, shard_records, width, end_id, pad_id, key)
     shared = spark.sparkContext.broadcast((source, pretokens.frequent(rows, "text", source)))
-    probe = Layout(0, sequence_length, shard_records, width, end_id, pad_id, key)
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pretokens.worker_encoder(*shared.value)
-        dtype = probe.dtype
+        dtype = layout.dtype
         for batch in batches:
-            bucket, ids, hashes = batch.column(0).to_numpy(), batch.column(1), batch.column(2).to_numpy()
+            ids, base, copies = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_numpy()
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy()
             for first, stop, data, bounds in slices(batch.column(3)):
@@ -122,58 +147,40 @@ def write_training_order(
                 row = np.repeat(np.arange(len(sizes)), chunks)
                 chunk = np.arange(len(row)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
                 record = np.zeros(len(row), dtype)
-                record["tokens"] = pad_id
                 record["doc_id"], record["has_doc_id"] = ids[first:stop][row], known[first:stop][row]
                 record["chunk"], record["newline"] = chunk, 10
                 record["n_tokens"] = np.minimum(sizes[row] - chunk * sequence_length, sequence_length)
-                width_of = chunks * sequence_length
-                flat = np.full(int(width_of.sum()), pad_id, dtype["tokens"].base)
-                starts = np.cumsum(width_of) - width_of
+                places_of = chunks * sequence_length
+                flat = np.full(int(places_of.sum()), pad_id, dtype["tokens"].base)
+                starts = np.cumsum(places_of) - places_of
                 flat[ranges(starts, sizes - 1)] = tokens
                 flat[starts + sizes - 1] = end_id
                 record["tokens"] = flat.reshape(len(row), sequence_length)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "bucket": bucket[first:stop][row],
-                        "doc_id": pa.array(ids[first:stop][row], mask=~known[first:stop][row]),
-                        "text_hash": hashes[first:stop][row],
-                        "chunk": chunk.astype(np.int32),
-                        "record": binary_rows(record.view(np.uint8), np.arange(len(row) + 1) * dtype.itemsize),
-                    }
-                )
-
-    keyed = rows.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("bucket"),
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.xxhash64("text").alias("text_hash"),
-        "text",
-    )
-    cut = stored(
-        keyed.mapInArrow(sequences, "bucket int, doc_id bigint, text_hash bigint, chunk int, record binary")
-        .repartitionById(buckets, "bucket")
-        .sortWithinPartitions("bucket", "doc_id", "text_hash", "chunk")
-        # a bucket is one task's and so one file; its rows are numbered in the order of the file
-        .select("bucket", "record"),
-        "sequences",
-    )
-    per_bucket = {r["bucket"]: r["n"] for r in cut.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
-    base = np.zeros(buckets + 1, np.int64)
-    base[1:] = np.cumsum([per_bucket.get(b, 0) for b in range(buckets)])
-    layout = Layout(int(base[-1]), sequence_length, shard_records, width, end_id, pad_id, key)
-    offsets = spark.sparkContext.broadcast(base)
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            index = offsets.value[batch.column(0).to_numpy()] + batch.column(1).to_numpy()
-            slot = permute(index, layout.sequences, key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((slot // shard_records).astype(np.int32)), pa.array(slot), batch.column(2)], names=["shard", "slot", "record"]
-            )
+                # repeated rows come as one, with their number
+                times = copies[first:stop][row]
+                again = np.repeat(np.arange(len(row)), times)
+                copy = ranges(np.zeros(len(row), np.int64), times)
+                slot = permute(base[first:stop][row][again] + copy * chunks[row][again] + chunk[again], layout.sequences, key)
+                for at in range(0, len(again), 1024):
+                    some, place = again[at : at + 1024], slot[at : at + 1024]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "shard": (place // shard_records).astype(np.int32),
+                            "slot": place,
+                            "record": binary_rows(record[some].view(np.uint8), np.arange(len(some) + 1) * dtype.itemsize),
+                        }
+                    )
 
+    # the places are sent to all tasks only up to a size that is known from their number; beyond it the join is a shuffle
+    sent = F.broadcast(places) if total[1] * PLACE_BYTES <= BROADCAST_BYTES else places
+    same = rows["doc_id"].eqNullSafe(sent["doc_id"]) & rows["text_hash"].eqNullSafe(sent["text_hash"])
+    placed = rows.join(sent, same).select(rows["doc_id"], "base", "copies", "text")
+    single = placed.where("copies = 1")
+    repeated = placed.where("copies > 1").dropDuplicates(["base"])
     shards = max(1, math.ceil(layout.sequences / shard_records))
     (
-        cut.select("bucket", F.col("_metadata.row_index").alias("row_index"), "record")
-        .mapInArrow(slots, "shard int, slot bigint, record binary")
+        single.union(repeated)
+        .mapInArrow(sequences, "shard int, slot bigint, record binary")
         .repartitionById(shards, "shard")
         .sortWithinPartitions("shard", "slot")
         # the record's last byte is the line end that the text sink writes itself
