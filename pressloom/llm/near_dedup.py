@@ -25,6 +25,10 @@ from pressloom.llm.tables import only, ready, stored, tasks
 from pressloom.llm.textbytes import COEFFICIENTS, NOT_SPACE, mix, slices, words
 
 
+#: times that the nodes are counted again without those that no other can be linked with; it decides the work only
+SIZE_ROUNDS = 2
+
+
 @dataclass(frozen=True)
 class MinMax:
     """Shingle width in words; hash functions (two values each); values in a band; least similarity in per cent."""
@@ -184,7 +188,7 @@ def shared_members(texts: DataFrame, p: MinMax) -> DataFrame:
 
 
 def _open_buckets(buckets: DataFrame, sizes: DataFrame, p: MinMax) -> DataFrame:
-    """(key, node, n, shared, keys) of the nodes that some other node of the bucket may be linked with."""
+    """(key, node, n, shared) of the nodes that some other node of the bucket may be linked with."""
     sized = buckets.join(sizes, "node")
     least = sized.groupBy("key").agg(F.min("n").alias("least"))
     # a partner is at least as large as the smallest node, and all its members may be shared
@@ -259,8 +263,13 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     first = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("keys").alias("keys"))
     ids = stored(wanted.join(first, "node"), "candidates")
     texts = stored(_texts(docs, ids.select("node", "doc_id"), p).withColumn("id", F.monotonically_increasing_id()), "texts")
-    sizes = stored(shared_members(texts, p).join(ids.select("node", "keys"), "node"), "sizes")
-    labels = links(_open_buckets(buckets, sizes, p), texts.select("node", "text"), p)
+    for _ in range(SIZE_ROUNDS):
+        # a node that cannot be linked with any other holds no shingle for the next round's counts
+        sizes = stored(shared_members(texts, p), "sizes")
+        buckets = stored(_open_buckets(buckets.select("key", "node"), sizes, p), "possible")
+        texts = stored(texts.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "text", "n", "id"), "texts")
+    buckets = buckets.join(ids.select("node", "keys"), "node")
+    labels = links(buckets, texts.select("node", "text"), p)
     lowest = first.select("node", "doc_id").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
     lowest = stored(lowest, "lowest")
     group = lowest.groupBy("label").agg(F.min("doc_id").alias("component_id"))
