@@ -177,12 +177,14 @@ def _marked(runs: DataFrame) -> DataFrame:
     Of equal runs one stands for all: it is refined against the others of its q-gram, and as a whole run needs no answer.
     """
     own = F.struct("doc_id", "text_hash", "low")
-    # most q-grams are found once: their runs end here
-    again = runs.groupBy("gram").count().where("count > 1").select("gram")
+    # most q-grams are found once: their runs end here. What is joined is written first, so that both sides of each join
+    # are plain shuffles, of which a hot q-gram's part can be split
+    again = stored(runs.groupBy("gram").count().where("count > 1").select("gram"), "shared-grams")
     shared = stored(runs.join(again, "gram"), "shared-runs")
     extents = shared.groupBy("gram", "extent").agg(F.count("*").alias("n"), F.min(own).alias("chosen"))
     grams = shared.groupBy("gram", "extent").count().groupBy("gram").agg(F.count("*").alias("kinds"), F.min("count").alias("least"))
-    rows = shared.join(extents, ["gram", "extent"]).join(grams, "gram")
+    facts = stored(extents.join(grams, "gram"), "extents")
+    rows = shared.join(facts, ["gram", "extent"])
     # a bucket needs refinement if it has several extents, one of them found once
     open_ = (F.col("kinds") > 1) & (F.col("least") == 1)
     return rows.select(
