@@ -21,8 +21,16 @@ def only(df: DataFrame, **columns) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
 
 
+#: rows of an Arrow batch; with texts, the usual 10000 would be tens of MB in each worker and its executor, several times
+BATCH_ROWS = 2048
+
+
 def ready(spark: SparkSession) -> None:
+    """Send the package to the workers, and bound the batches of texts that they get, unless a smaller bound is set."""
     ship_package(spark)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
 
 
 def tasks(spark: SparkSession) -> int:
