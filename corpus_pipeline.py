@@ -12,7 +12,7 @@ from pressloom.llm import mixture
 from pressloom.llm.decontam import phrase_matches, positional_index
 from pressloom.llm.langid import UNKNOWN, identify, train
 from pressloom.llm.mixing import mix
-from pressloom.llm.near_dedup import without_duplicates
+from pressloom.llm.near_dedup import MinMax, without_duplicates
 from pressloom.llm.queries import TOKENIZER, table
 from pressloom.llm.tables import stored
 from pressloom.llm.token_output import read_slots, write_training_order
@@ -21,6 +21,9 @@ from pressloom.session import shared_dir
 #: a text whose best language has less of the pooled probability is rejected, as is one without a letter
 LEAST_SCORE = 0.35
 
+#: near copies share 0.8 of their shingles or more; 30 bands of 4 miss a pair at 0.8 with (1 - 0.8^4)^30 < 1e-6
+NEAR_COPIES = MinMax(percent=80, band=4)
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows."""
@@ -30,7 +33,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    return without_duplicates(docs)
+    return without_duplicates(docs, p=NEAR_COPIES)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

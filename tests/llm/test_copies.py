@@ -21,7 +21,7 @@ def shingles(text):
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def classes(rows):
+def classes(rows, percent=85):
     """component of each (id, text) by comparing all pairs that share a shingle."""
     sets = {(i, t): shingles(t) for i, t in rows}
     parent = {k: k for k in sets}
@@ -32,7 +32,7 @@ def classes(rows):
             where[x].append(k)
     common = Counter((a, b) for own in where.values() for n, b in enumerate(own) for a in own[:n])
     for (a, b), n in common.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             parent[top(b)] = top(a)
     lowest = {}
     for k in sets:

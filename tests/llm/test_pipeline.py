@@ -58,5 +58,23 @@ def test_stages(spark):
     assert found == size and sorted(r["slot"] for r in tokens) == list(range(len(tokens)))
 
 
+def test_near_copies_from_similarity_080_on(spark):
+    """Pairs around 0.80, 0.82, 0.85 and below: the stage keeps one of each pair at 0.80 or more."""
+    from conftest import DOCUMENTS
+    from test_copies import classes, shingles
+
+    rows = []
+    for n in range(60, 125):
+        words = [f"w{n}x{k}" for k in range(n)]
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join([*words[: n - 8], *[f"v{n}x{k}" for k in range(8)]]))]
+    alike = lambda a, b: len(a & b) / len(a | b)
+    pairs = [alike(shingles(a[1]), shingles(b[1])) for a, b in zip(rows[::2], rows[1::2], strict=True)]
+    assert sum(0.8 <= x < 0.85 for x in pairs) > 5 and min(pairs) < 0.8 and max(pairs) >= 0.85
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], DOCUMENTS)
+    got = {r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, SF_DIR).collect()}
+    assert got == {k[0] for k, (_, c) in classes(rows, 80).items() if c == k[0]}
+    assert len(got) == len(rows) - sum(x >= 0.8 for x in pairs)
+
+
 def test_run(spark):
     assert corpus_pipeline.ORACLE_SQL is None and corpus_pipeline.run(spark, SF_DIR).count() > 0
