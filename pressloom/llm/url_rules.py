@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+import math
+from collections.abc import Iterator
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.tables import ready, stored
+from pressloom.llm.tables import ready, stored, tasks
 
-BAD = "=bad"
+#: a rule with more items is compared with its parts by an inverted index; it decides the work only
+NAMED_ITEMS = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULE_SCHEMA = "rule_id bigint, items array<string>, confidence double, support double"
 
@@ -56,38 +61,119 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, min_support: float = 0.0005, min_confidence: float = 0.4, max_items: int = 12) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = 0.0005, min_confidence: float = 0.4) -> DataFrame:
     """Stored rules (rule_id, items, confidence, support) from rows (url, bad): URLs with all items are mostly bad.
 
-    FP-growth runs on the tokens of each labelled URL with the item of its label. A URL with more tokens than `max_items`
-    takes part with its rarest ones, which bounds the number of combinations; matching uses all tokens. Rules of which a
-    part is a rule with no less confidence are left out. Null URLs and labels take no part; without rows there are no rules.
+    FP-growth runs on all frequent tokens of each labelled URL, with the numbers of good and of bad URLs. An item that spares
+    no good URL is not added to a rule: the rule without it has no less confidence, whatever else is added. Rules of which a
+    part is a rule with no less confidence are left out, so this loses none and needs no bound on a URL's tokens or a rule's
+    items. Null URLs and labels take no part; without rows there are no rules.
     """
     spark = labelled.sparkSession
     ready(spark)
-    rows = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select(tokens(F.col("url")).alias("items"), "bad")
+    rows = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select(tokens(F.col("url")).alias("items"), F.col("bad").cast("bigint").alias("bad"))
     rows = stored(rows.withColumn("id", F.monotonically_increasing_id()), "labelled-urls")
-    seen = rows.select("id", F.explode("items").alias("item"))
+    seen = rows.select("id", "bad", F.explode("items").alias("item"))
     total = rows.count()
     if total == 0:
         return spark.createDataFrame([], RULE_SCHEMA)
-    frequent = seen.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= min_support * total)
-    rare_first = F.slice(F.array_sort(F.collect_list(F.struct("n", "item"))), 1, max_items)["item"]
-    kept = seen.join(frequent, "item").groupBy("id").agg(rare_first.alias("kept"))
-    basket = rows.join(kept, "id").select(F.when(F.col("bad"), F.concat("kept", F.array(F.lit(BAD)))).otherwise(F.col("kept")).alias("items"))
-    basket = stored(basket, "baskets")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(basket)
-    found = model.associationRules.where(F.array_contains("consequent", BAD)).select(F.array_sort("antecedent").alias("items"), "confidence", "support")
+    least = max(1, math.ceil(min_support * total))
+    counts = seen.groupBy("item").agg(F.count("*").alias("n"), F.sum("bad").alias("n_bad")).where(F.col("n_bad") >= least)
+    # the most frequent item comes first
+    frequent = stored(counts.orderBy(F.desc("n"), "item").select("item", F.monotonically_increasing_id().alias("rank")), "items")
+    ranked = seen.join(frequent, "item").groupBy("id").agg(F.first("bad").alias("bad"), F.sort_array(F.collect_list("rank")).alias("ranks"))
+    basket = ranked.groupBy("ranks").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    # the paths of the items that come before each item, as in the tree of all URLs
+    last = basket.select("n", "bad", "ranks", F.posexplode("ranks").alias("at", "last"))
+    paths = last.groupBy("last", F.expr("slice(ranks, 1, at)").alias("path")).agg(F.sum(F.col("n") - F.col("bad")).alias("good"), F.sum("bad").alias("bad"))
+    paths = paths.repartition(tasks(spark), "last").sortWithinPartitions("last")
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tree = None, None
+        for batch in batches:
+            for item, path, good, bad in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if item != now:
+                    if tree is not None:
+                        yield from _batches(tree.rules([now], least, min_confidence))
+                    now, tree = item, PathTree()
+                tree.add(path, good, bad)
+        if tree is not None:
+            yield from _batches(tree.rules([now], least, min_confidence))
+
+    found = paths.select("last", "path", "good", "bad").mapInArrow(grow, "ranks array<bigint>, good bigint, bad bigint")
+    found = stored(found.withColumn("rule", F.monotonically_increasing_id()), "rules-of-ranks")
+    named = found.select("rule", "good", "bad", F.explode("ranks").alias("rank")).join(frequent, "rank")
+    named = named.groupBy("rule").agg(F.array_sort(F.collect_list("item")).alias("items"), F.first("bad").alias("bad"), F.first("good").alias("good"))
+    found = named.select("items", (F.col("bad") / (F.col("good") + F.col("bad"))).alias("confidence"), (F.col("bad") / F.lit(total)).alias("support"))
     found = stored(found, "rules-found")
-    smaller = found.select(F.col("items").alias("part"), F.col("confidence").alias("at_least"))
-    # a rule is compared with those that its own parts name: they are looked up, not tried one by one
-    parts = found.withColumn("part", F.explode(_parts("items"))).join(smaller, "part").where("at_least >= confidence AND size(part) < size(items)")
-    pruned = found.join(parts.select("items").distinct(), "items", "left_anti")
+    pruned = found.join(_worse_than_a_part(found), "items", "left_anti")
     return stored(pruned.select(F.xxhash64("items").alias("rule_id"), "items", "confidence", "support"), "rules")
 
 
+class PathTree:
+    """An FP-tree of the URLs that hold some items: the paths of their other items, with numbers of good and bad URLs."""
+
+    def __init__(self) -> None:
+        self.good = self.bad = 0
+        self.next: dict[tuple[int, int], int] = {}
+        self.nodes: list[list[int]] = [[-1, -1, 0, 0]]  # parent, item, good, bad
+        self.places: dict[int, list[int]] = {}
+
+    def add(self, path: list[int], good: int, bad: int) -> None:
+        self.good += good
+        self.bad += bad
+        at = 0
+        for item in path:
+            to = self.next.get((at, item))
+            if to is None:
+                to = self.next[at, item] = len(self.nodes)
+                self.nodes.append([at, item, 0, 0])
+                self.places.setdefault(item, []).append(to)
+            at = to
+            self.nodes[at][2] += good
+            self.nodes[at][3] += bad
+
+    def rules(self, items: list[int], least: int, min_confidence: float) -> Iterator[tuple[list[int], int, int]]:
+        """(items, good, bad) of the rules that hold `items` and others of the tree."""
+        if self.bad / (self.good + self.bad) >= min_confidence:
+            yield items, self.good, self.bad
+        sums = {x: [sum(self.nodes[k][c] for k in places) for c in (2, 3)] for x, places in self.places.items()}
+        useful = {x for x, (good, bad) in sums.items() if bad >= least and good < self.good}
+        for item in useful:
+            part = PathTree()
+            for k in self.places[item]:
+                at, _, good, bad = self.nodes[k]
+                path = []
+                while at:
+                    at, other = self.nodes[at][0], self.nodes[at][1]
+                    if other in useful:
+                        path.append(other)
+                part.add(path[::-1], good, bad)
+            yield from part.rules([*items, item], least, min_confidence)
+
+
+def _batches(rules: Iterator[tuple[list[int], int, int]], rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rules, rows)):
+        ranks, good, bad = zip(*some, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(ranks, pa.list_(pa.int64())), pa.array(good, pa.int64()), pa.array(bad, pa.int64())], names=["ranks", "good", "bad"])
+
+
+def _worse_than_a_part(found: DataFrame) -> DataFrame:
+    """The items of the rules of which a part is a rule with no less confidence.
+
+    A short rule's parts are looked up by name; those of a long one, which has too many, by an inverted index of their items.
+    """
+    smaller = found.select(F.col("items").alias("part"), F.col("confidence").alias("at_least"))
+    short = found.where(F.size("items") <= NAMED_ITEMS).withColumn("part", F.explode(_parts("items"))).join(smaller, "part")
+    index = smaller.withColumn("item", F.explode("part"))
+    long = found.where(F.size("items") > NAMED_ITEMS).withColumn("item", F.explode("items")).join(index, "item").groupBy("items", "confidence", "part", "at_least")
+    long = long.agg(F.count("*").alias("n")).where("n = size(part)")
+    columns = ("items", "confidence", "part", "at_least")
+    return short.select(*columns).union(long.select(*columns)).where("at_least >= confidence AND size(part) < size(items)").select("items").distinct()
+
+
 def _parts(items: str) -> Column:
-    """All subsets of a short array (at most `max_items`), in its order."""
+    """All subsets of a short array (at most NAMED_ITEMS), in its order."""
     empty = F.array(F.array().cast("array<string>"))
     return F.aggregate(items, empty, lambda sets, x: F.concat(sets, F.transform(sets, lambda s: F.concat(s, F.array(x)))))
 

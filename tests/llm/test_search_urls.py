@@ -135,3 +135,40 @@ def test_mined_rules(spark):
         own = tokens.get(rows[r["page_id"]][0], set())
         assert r["verdict"] == ("block" if any(set(k) <= own for k in minimal) else "allow")
     assert url_rules.mine(df.limit(0)).count() == 0
+
+
+def test_mined_rules_of_long_urls(spark, monkeypatch):
+    """URLs of 13 to 18 frequent tokens against all combinations; the most frequent tokens decide some labels."""
+    monkeypatch.setattr(url_rules, "NAMED_ITEMS", 1)
+    rng = random.Random(9)
+    words = [chr(97 + k) * 2 for k in range(15)]
+    rows = []
+    for _ in range(150):
+        own = rng.sample(words, rng.randint(10, 14))
+        bad = ("aa" in own and "bb" not in own) or ("cc" not in own and "dd" in own)
+        rows.append((f"http://{rng.choice(['x', 'y'])}.z/{'/'.join(own)}", bad))
+    df = spark.createDataFrame(rows, "url string, bad boolean").repartition(3)
+    rules = url_rules.mine(df, min_support=0.05, min_confidence=0.6)
+    tokens = {r["url"]: r["t"] for r in df.select("url", url_rules.tokens(F.col("url")).alias("t")).collect()}
+    assert min(map(len, tokens.values())) > 12
+    names = sorted({t for own in tokens.values() for t in own})
+    bit = {t: 1 << k for k, t in enumerate(names)}
+    masks = [(sum(bit[t] for t in tokens[u]), bad) for u, bad in rows]
+    # number of URLs and of bad ones that hold each set of tokens
+    n, n_bad = [0] * (1 << len(names)), [0] * (1 << len(names))
+    for m, bad in masks:
+        n[m] += 1
+        n_bad[m] += bad
+    for k in range(len(names)):
+        for s in range(1 << len(names)):
+            if not s >> k & 1:
+                n[s] += n[s | 1 << k]
+                n_bad[s] += n_bad[s | 1 << k]
+    good = {s: n_bad[s] / n[s] for s in range(1, len(n)) if n_bad[s] >= 0.05 * len(rows) and n_bad[s] / n[s] >= 0.6}
+    best = [0.0] * len(n)  # the greatest confidence of a proper part that is a rule
+    for s in range(1, len(n)):
+        best[s] = max([0.0, *[max(best[s ^ 1 << k], good.get(s ^ 1 << k, 0.0)) for k in range(len(names)) if s >> k & 1]])
+    want = {tuple(t for t in names if s & bit[t]): (c, n_bad[s] / len(rows)) for s, c in good.items() if best[s] < c}
+    got = {tuple(r["items"]): (r["confidence"], r["support"]) for r in rules.collect()}
+    assert got.keys() == want.keys() and any(len(k) > 1 for k in want)
+    assert all(abs(a - b) < 1e-9 for k in want for a, b in zip(got[k], want[k], strict=True))
