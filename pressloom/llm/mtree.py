@@ -7,6 +7,9 @@ A tree is a row of a stored table: a root pivot with its covering radius, and pa
 its pivot's distance to the root's, and entries with their distances to the page's pivot. A search goes through the pages
 best first, and skips pages and entries by |d(q, parent) - d(parent, x)| before any distance to them is computed. Vectors
 are dealt to trees by their nearest pivot of a bounded sample; a cell with many vectors, as of copies, is several trees.
+
+Scores of long vectors are not whole in floating point. These vectors are in no tree: every query is compared with all of
+them, and a long query with all vectors (`_compare`), by floats with an error bound first and by integers what is left.
 """
 
 from __future__ import annotations
@@ -27,10 +30,16 @@ PAGE_ROWS = 64
 MAX_PIVOTS = 1024
 #: queries that are sent to the tasks at once; more are searched in several rounds
 QUERY_ROWS = 16_384
-#: components beyond this (scaled) would not keep scores whole
+#: vectors with a greater component or square of the norm (scaled) are in no tree: their scores might not be whole
 LIMIT = 1 << 22
+LIMIT_SQUARE = 1 << 52
+#: from here on (not scaled) a double is a multiple of 1 / 1024
+WHOLE = float(1 << 43)
+#: queries that are compared with a batch at once
+COMPARED = 1024
 
 TREE_SCHEMA = "dim int, ids binary, vectors binary, entry_distance binary, page_pivot binary, page_radius binary, page_distance binary, root binary, root_radius double"
+FOUND_SCHEMA = "query bigint, dim int, long boolean, query_id bigint, vec_id bigint, score bigint, beyond int, key binary"
 
 
 def scaled(embedding: Column, scale: float = 1024.0) -> Column:
@@ -39,11 +48,23 @@ def scaled(embedding: Column, scale: float = 1024.0) -> Column:
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(vec_id, v) of the vectors that take part, each row once: no null id, vector or component, none that is not finite."""
-    x = F.col(f"`{embedding}`")
-    good = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) * 1024 < LIMIT))
-    rows = vectors.where(F.col(f"`{vec_id}`").isNotNull() & x.isNotNull()).where(good)
-    return rows.select(F.col(f"`{vec_id}`").cast("bigint").alias("vec_id"), scaled(x).alias("v")).distinct()
+    """(vec_id, v, u) of the vectors that take part, each row once: no null id, vector or component, none that is not finite.
+
+    v holds the scaled integers; for a vector too long for a tree, it is null and u has them divided by 1024, as doubles.
+    """
+    x = F.transform(F.col(f"`{embedding}`"), lambda c: c.cast("double"))
+    rows = vectors.select(F.col(f"`{vec_id}`").cast("bigint").alias("vec_id"), x.alias("x"))
+    rows = rows.where("vec_id IS NOT NULL AND x IS NOT NULL").where(F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))))
+    size = F.aggregate("x", F.lit(0.0), lambda s, c: s + F.floor(c * 1024) * F.floor(c * 1024).cast("double"))
+    fits = F.forall("x", lambda c: F.abs(c) * 1024 < LIMIT)
+    v = F.when(fits, F.when(size < float(LIMIT_SQUARE), scaled(F.col("x"))))
+    u = F.transform("x", lambda c: F.when(F.abs(c) < WHOLE, F.floor(c * 1024).cast("double") / 1024).otherwise(c))
+    return rows.withColumn("v", v).select("vec_id", "v", F.when(F.col("v").isNull(), u).alias("u")).distinct()
+
+
+def _unscaled(rows: DataFrame) -> DataFrame:
+    """(vec_id, u) of all rows."""
+    return rows.select("vec_id", F.coalesce("u", F.transform("v", lambda c: c / F.lit(1024.0))).alias("u"))
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -211,27 +232,124 @@ class Tree:
                     r = reach(i)
 
 
+def _whole(u: np.ndarray) -> list[int]:
+    """1024 u as integers, for components of any size."""
+    return [int(c * 1024) if abs(c) < WHOLE else int(c) * 1024 for c in u.tolist()]
+
+
+class Exact:
+    """The k best (score, id) of each query among all the vectors that it is compared with; scores are integers of any size."""
+
+    def __init__(self, ids: np.ndarray, u: np.ndarray, k: int) -> None:
+        self.k, self.ids, self.u = k, ids, u
+        self.norm = _norms(u)
+        self.whole: list[list[int] | None] = [None] * len(ids)
+        self.best: list[list[tuple[int, int]]] = [[] for _ in ids]
+        self.floor = np.full(len(ids), -np.inf)
+
+    def add(self, ids: np.ndarray, u: np.ndarray) -> None:
+        known: dict[int, list[int]] = {}
+        norm = _norms(u)
+        for at in range(0, len(self.ids), COMPARED):
+            some = slice(at, at + COMPARED)
+            with np.errstate(all="ignore"):
+                score = self.u[some] @ u.T
+                error = (u.shape[1] + 8) * 2.0**-51 * self.norm[some][:, None] * norm
+                least, most = score - error, score + error
+            own = self.ids[some][:, None] == ids
+            # an overflow leaves no bound
+            least[~np.isfinite(least) | own] = -np.inf
+            most[~np.isfinite(most)] = np.inf
+            if len(ids) >= self.k:
+                reached = np.partition(least, len(ids) - self.k, axis=1)[:, len(ids) - self.k]
+                self.floor[some] = np.maximum(self.floor[some], reached)
+            for i, rows in enumerate((most >= self.floor[some][:, None]) & ~own, at):
+                places = np.flatnonzero(rows).tolist()
+                if not places:
+                    continue
+                if self.whole[i] is None:
+                    self.whole[i] = _whole(self.u[i])
+                for j in places:
+                    if j not in known:
+                        known[j] = _whole(u[j])
+                new = [(-sum(a * b for a, b in zip(self.whole[i], known[j], strict=True)), int(ids[j])) for j in places]
+                self.best[i] = sorted(self.best[i] + new)[: self.k]
+
+
+def _norms(u: np.ndarray) -> np.ndarray:
+    with np.errstate(all="ignore"):
+        return np.sqrt((u * u).sum(axis=1))
+
+
+def _sortable(score: int) -> bytes:
+    """Bytes in the order of the integers."""
+    size = score.bit_length() // 8 + 1
+    sign = size if score >= 0 else -size
+    return (sign + (1 << 31)).to_bytes(4, "big") + (score % (1 << 8 * size)).to_bytes(size, "big")
+
+
+def _compare(rows: DataFrame, block: dict[int, tuple[np.ndarray, np.ndarray]], long: bool, k: int) -> DataFrame:
+    """The k best rows (vec_id, u) of each task for each query of the block (ids, u by dimension), compared with all."""
+    shared = rows.sparkSession.sparkContext.broadcast(block)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, Exact] = {}
+        for batch in batches:
+            dims = np.asarray(batch.column(1).value_lengths())
+            for dim in np.unique(dims).tolist():
+                if dim not in shared.value:
+                    continue
+                if dim not in best:
+                    best[dim] = Exact(*shared.value[dim], k)
+                part = batch.filter(pa.array(dims == dim))
+                best[dim].add(part.column(0).to_numpy(), _matrix(part.column(1), dim))
+        for dim, b in best.items():
+            out = [(q, dim, long, int(b.ids[q]), i, -s) for q, own in enumerate(b.best) for s, i in own]
+            yield pa.RecordBatch.from_pylist(
+                [
+                    {
+                        "query": q, "dim": d, "long": w, "query_id": own, "vec_id": i,
+                        "score": s if -(1 << 63) <= s < 1 << 63 else None,
+                        "beyond": 0 if -(1 << 63) <= s < 1 << 63 else 1 if s > 0 else -1,
+                        "key": _sortable(s),
+                    }
+                    for q, d, w, own, i, s in out
+                ],
+                pa.schema([("query", pa.int64()), ("dim", pa.int32()), ("long", pa.bool_()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("beyond", pa.int32()), ("key", pa.binary())]),
+            )
+
+    return rows.mapInArrow(compare, FOUND_SCHEMA)
+
+
+def _block(rows: list, column: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of queries by dimension."""
+    by_dim: dict[int, list] = {}
+    for r in rows:
+        by_dim.setdefault(len(r[column]), []).append(r)
+    return {d: (np.array([x["vec_id"] for x in own]), np.array([x[column] for x in own], np.float64).reshape(len(own), d)) for d, own in by_dim.items()}
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k rows of the highest inner product of floor(1024 x), smaller ids first.
 
     Queries are searched in every tree, in rounds of QUERY_ROWS; a row with the query's own id is no candidate, and only
-    vectors of the query's length are. Null ids, null vectors and those with a null, infinite or NaN component take no part,
-    nor do components of 4096 or more, with which scores might not be whole. Rows that are equal count once. Fewer rows than
-    k give as many. Empty tables give an empty result. Other columns play no part.
+    vectors of the query's length are. Null ids, null vectors and those with a null, infinite or NaN component take no part.
+    All scores are whole; one that is no bigint is null, but ranked by its value. Rows that are equal count once. Fewer rows
+    than k give as many. Empty tables give an empty result. Other columns play no part.
     """
     spark = vectors.sparkSession
     ready(spark)
     rows = stored(usable(vectors, vec_id, embedding), "vectors")
-    trees, pivots, top = build(rows)
+    trees, pivots, top = build(rows.where("v IS NOT NULL").select("vec_id", "v"))
+    side = _unscaled(rows.where("v IS NULL"))
     asked = stored(usable(queries, vec_id, embedding), "queries")
+    any_side = not side.isEmpty()
     rounds = max(1, -(-asked.count() // QUERY_ROWS))
     out = None
     for r in range(rounds):
-        part = asked.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(rounds)) == r).orderBy("vec_id", "v").collect()
-        by_dim: dict[int, list] = {}
-        for row in part:
-            by_dim.setdefault(len(row["v"]), []).append(row)
-        block = {d: (np.array([x["vec_id"] for x in own]), np.array([x["v"] for x in own], np.float64).reshape(len(own), d)) for d, own in by_dim.items()}
+        part = asked.where(F.pmod(F.xxhash64("vec_id", "v", "u"), F.lit(rounds)) == r).orderBy("vec_id", "v", "u").collect()
+        block = _block([x for x in part if x["v"] is not None], "v")
+        long_block = _block([x for x in part if x["v"] is None], "u")
         shared = spark.sparkContext.broadcast((block, pivots))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -258,8 +376,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "ve
                 )
 
         found = trees.mapInArrow(search, "query bigint, dim int, query_id bigint, vec_id bigint, score bigint")
+        found = found.select("query", "dim", F.lit(False).alias("long"), "query_id", "vec_id", "score", F.lit(0).alias("beyond"), F.lit(None).cast("binary").alias("key"))
+        if any_side and block:
+            found = found.union(_compare(side, {d: (ids, x / 1024) for d, (ids, x) in block.items()}, False, k))
+        if long_block:
+            found = found.union(_compare(_unscaled(rows), long_block, True, k))
         # a query is known by its place in the round: an id may come with several vectors
-        order = Window.partitionBy("dim", "query").orderBy(F.desc("score"), "vec_id")
+        value = (F.desc("beyond"), F.desc("score"), F.desc(F.when(F.col("beyond") != 0, F.col("key"))))
+        order = Window.partitionBy("dim", "long", "query").orderBy(*value, "vec_id")
         ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
         out = ranked if out is None else out.union(ranked)
     return out

@@ -43,6 +43,32 @@ def test_top_k(spark, monkeypatch, spread):
     assert sorted(map(tuple, got.collect())) == nearest(rows, set(few), 3)
 
 
+def test_top_k_of_long_vectors(spark, monkeypatch):
+    """Finite components of any size as candidates and as queries; scores that floats cannot tell apart."""
+    monkeypatch.setattr(mtree, "TREE_ROWS", 150)
+    monkeypatch.setattr(mtree, "COMPARED", 5)
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(300)]
+    rows += [(400 + i, [rng.choice([-1, 1]) * rng.uniform(4096, 9000), rng.gauss(0, 1), rng.gauss(0, 1), 4095.5]) for i in range(12)]
+    rows += [(500 + i, [2.0**40, 2.0**20 + i / 1024, rng.gauss(0, 1), -0.0]) for i in range(12)]  # equal in floats
+    rows += [(600, [1e308, 1e300, 0.0, 1.0]), (601, [-1e308, 0.5, 0.0, 0.0]), (602, [3e15, -3e15, 0.25, 0.0]), (603, [5000.0]), (604, [1.0])]
+    rows += [(605, [math.inf, 1.0, 1.0, 1.0]), (606, [5000.0, None, 1.0, 1.0]), (607, [math.nan, 9e9, 1.0, 1.0]), rows[300], rows[312]]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    asked = [i for i, _ in rows if i % 25 == 0 or i >= 400]
+    exact = []
+    good = {(i, tuple(math.floor(x) if abs(x) >= 2**60 else x for x in v)) for i, v in rows if all(x is not None and math.isfinite(x) for x in v)}
+    whole = {(i, tuple(math.floor(1024 * x) for x in v)) for i, v in good}
+    for q, x in [g for g in whole if g[0] in asked]:
+        best = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in whole if i != q and len(y) == len(x))[:5]
+        exact += [(q, n + 1, i, -s if abs(s) < 1 << 63 else None) for n, (s, i) in enumerate(best)]
+    key = lambda r: (r[0], r[1])
+    got = mtree.top_k(df, df.where(F.col("vec_id").isin(asked)), k=5)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(exact, key=key)
+    assert any(s is None for *_, s in exact) and any(i >= 400 for q, _, i, _ in exact if q < 300)
+    numbers = [0, 1, -1, 127, 128, 255, 256, -128, -129, -256, 1 << 70, -(1 << 70), (1 << 70) + 1]
+    assert sorted(numbers, key=mtree._sortable) == sorted(numbers)
+
+
 def test_top_k_of_few_rows(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.5, 0.5])], "vec_id bigint, embedding array<float>")
     assert sorted(map(tuple, mtree.top_k(df, df, k=10).collect())) == nearest([(1, [1.0, 2.0]), (2, [0.5, 0.5])], {1, 2}, 10)
