@@ -252,6 +252,11 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     than a shingle has one member, its whole sequence. Repeated rows give repeated results, all kept if they hold the
     smallest id. A null doc_id counts as larger than any other; a group of null ids alone has a null component and is kept.
     """
+    return _grouped(documents, doc_id, text, p).drop("label")
+
+
+def _grouped(documents: DataFrame, doc_id: str, text: str, p: MinMax) -> DataFrame:
+    """The columns of `near_duplicates` and the group's label, null for a text without words."""
     ready(documents.sparkSession)
     docs = only(documents, doc_id=F.col(f"`{doc_id}`").cast("bigint"), text=text)
     rows = stored(signatures(docs, p), "signatures")
@@ -273,23 +278,24 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     lowest = first.select("node", "doc_id").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
     lowest = stored(lowest, "lowest")
     group = lowest.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    group = lowest.join(group, "label").select("node", "component_id")
+    group = lowest.join(group, "label").select("node", "label", "component_id")
     out = rows.drop("keys").join(group, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "label")
 
 
 def without_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", p: MinMax = MinMax()) -> DataFrame:
     """The rows of `documents`, of each near-duplicate group only the one with the smallest id; of repeated rows one stays.
 
-    Texts without words are in no group and stay. A null id counts as larger than any other; of a group of null ids alone,
+    An id may come with several texts; those in different groups stay for their groups. Texts without words are in no group
+    and stay. A null id counts as larger than any other; of a group of null ids alone,
     every text stays once. Only rows that repeat in id and text are shuffled with their text.
     """
-    found = near_duplicates(documents, doc_id, text, p)
+    found = _grouped(documents, doc_id, text, p)
     # rows of one id with several texts in one group: the text with the smallest hash stays
     found = stored(found, "near-duplicates")
-    first = found.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("text_hash").alias("chosen"))
-    judged = found.join(first, "doc_id", "left")
+    first = found.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id", "label").agg(F.min("text_hash").alias("chosen"))
+    judged = found.join(first, ["doc_id", "label"], "left")
     gone = judged.where("NOT kept OR (n_shingles > 0 AND text_hash <> chosen)").select(F.col("doc_id").alias("id"), "text_hash").distinct()
     gone = stored(gone, "removed")
     again = stored(found.groupBy(F.col("doc_id").alias("id"), "text_hash").count().where("count > 1").select("id", "text_hash"), "repeated")

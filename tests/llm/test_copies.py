@@ -65,6 +65,16 @@ def test_one_of_each_group_stays(documents):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_one_id_with_texts_of_several_groups(spark):
+    """Each group keeps a text, also if two groups have the same smallest id; of an id's texts in one group one stays."""
+    a, b, c = ([f"{x}{k}" for k in range(200)] for x in "abc")
+    near = lambda words, k: " ".join([*words[:k], "changed", *words[k + 1 :]])
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (8, near(a, 3)), (9, near(b, 5)), (5, " ".join(c)), (5, near(c, 9)), (6, near(c, 20)), (7, ""), (None, near(a, 50))]
+    out = without_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2))
+    got = sorted(((r["doc_id"], r["text"][:1]) for r in out.collect()), key=str)
+    assert got == [(5, "c"), (7, ""), (7, "a"), (7, "b")]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(a, a + 1) for a in range(0, 60)] + [(100, b) for b in range(101, 160)] + [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(120)]
