@@ -48,6 +48,18 @@ class MinMax:
         values = mix(n * np.uint64(0x9E3779B97F4A7C15))
         return values[: self.functions] | np.uint64(1), values[self.functions :]
 
+    def members(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sets of a slice's texts and their bounds."""
+        return shingle_sets(data, bounds, self.width)
+
+    def alike(self, own: np.ndarray, mine: np.ndarray) -> bool:
+        """Whether two sets are similar enough."""
+        if 100 * min(len(own), len(mine)) < self.percent * max(len(own), len(mine)):
+            return False
+        places = np.searchsorted(own, mine)
+        common = int((own[np.minimum(places, len(own) - 1)] == mine).sum())
+        return 100 * common >= self.percent * (len(own) + len(mine) - common)
+
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct 64-bit shingles of each row of a slice, and their bounds; no words, no shingle."""
@@ -146,18 +158,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, p: MinMax, hot: int = 2048) -
             parts, pivots, nodes = batch.column(1).to_numpy(), batch.column(0).to_pylist(), batch.column(2).to_pylist()
             u, v = [], []
             for first, stop, data, bounds in slices(batch.column(3)):
-                values, at = shingle_sets(data, bounds, p.width)
+                values, at = p.members(data, bounds)
                 for i in range(first, stop):
                     mine = values[at[i - first] : at[i - first + 1]]
                     if parts[i] == 0:
                         pivot, own = pivots[i], mine.copy()
                         continue
                     assert pivots[i] == pivot
-                    if 100 * min(len(own), len(mine)) < p.percent * max(len(own), len(mine)):
-                        continue
-                    places = np.searchsorted(own, mine)
-                    common = int((own[np.minimum(places, len(own) - 1)] == mine).sum())
-                    if 100 * common >= p.percent * (len(own) + len(mine) - common):
+                    if p.alike(own, mine):
                         u.append(pivot)
                         v.append(nodes[i])
             yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})

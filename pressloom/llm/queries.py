@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.llm import mixture
+from pressloom.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
+from pressloom.llm.manifest import MANIFEST_SQL, manifest, verified
 from pressloom.llm.mixing import mix
 from pressloom.session import shared_dir
 
@@ -164,3 +166,27 @@ def op5_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query("op11_merkle_manifest", MANIFEST_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and what it leads to after the line breaks of every other id's texts were lost."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    lost = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(lost, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return verified(manifest(documents, now=[F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text]))
+
+
+@query("op12_hard_negatives", HARD_NEGATIVES_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row has a wrong label on purpose; every fiftieth is an anchor."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label, "embedding")
+    return hard_negatives(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op13_fingerprints")
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pressloom.llm.fingerprints import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -11,7 +11,7 @@ from tools.check_queries import compare, connect
 
 
 def test_every_operator_has_one_query():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in QUERIES) == 1 for n in names)
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
@@ -37,7 +37,7 @@ def test_stages(spark):
     rows = [k.collect() for k in kept]
     language, single, clean, mixed, tokens = rows[1:]
     assert {r["doc_id"] for r in rows[0]} - {r["doc_id"] for r in language} == {r["doc_id"] for r in rows[0] if not any(c.isalpha() for c in r["text"] or "")}
-    groups = classes([(r["doc_id"], r["text"]) for r in language])
+    groups = classes([(r["doc_id"], r["text"]) for r in language], 80)
     assert {r["doc_id"] for r in single} == {k[0] for k, (_, c) in groups.items() if c == k[0]} and len(single) < len(language)
     windows = {}
     for b in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect():
