@@ -239,3 +239,15 @@ def index_by_domain_limited(spark, d):
     """The limit of an index query; which captures it returns is open, so their number is compared."""
     hits = query_index(with_crawl_ts(captures(spark, d)), ["idnes.cz"], limit=25)
     return hits.agg(F.count("*").alias("n_rows"))
+
+
+@query(
+    "index_first_captures",
+    f"""WITH c AS ({CAPTURES_SQL})
+        SELECT event_id, strftime(crawl_ts, '%Y-%m-%d %H:%M:%S') AS crawled FROM c WHERE host LIKE '%.idnes.cz' OR host LIKE '%/idnes.cz'
+        ORDER BY crawl_ts, event_type, event_id LIMIT 200""",
+)
+def index_first_captures(spark, d):
+    """The captures that a limit returns are the first ones crawled."""
+    hits = query_index(with_crawl_ts(captures(spark, d)), ["idnes.cz"], limit=200)
+    return hits.select("event_id", F.date_format("crawl_ts", "yyyy-MM-dd HH:mm:ss").alias("crawled"))

@@ -4,46 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Groups per key in the first step: a hot key with one large row per input task is spread over as many tasks.
-SALT = 16
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the input does not use."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-def _parts(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with all keys, and rows that lack one: nothing is known to be a copy of those."""
-    known = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
-    return df.where(known), df.where(~known)
+def lacks_key(keys: Sequence[str]) -> Column:
+    """Whether a row has a null key: nothing is known to be a copy of it."""
+    return reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
 
 
-def earliest(df: DataFrame, keys: Sequence[str], order: Sequence[str], salt: int = SALT) -> DataFrame:
+def earliest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row of each key by `order`, nulls last, which should end in columns that make it total.
 
-    Rows with a null key all stay. `min_by` combines on the map side, so a key that holds a large part of the rows
-    leaves each input task as one row; a window would bring that whole key into one task. The first shuffle is salted
-    by input task, which keeps the combining and splits what is left of a hot key. With `salt=1` there is one shuffle
-    only, for slim rows. Key columns are not carried twice.
+    Rows with a null key all stay: each gets one more key of its own, so that the input is read once. Every input task keeps
+    its first row of a key before the shuffle (a group limit of the planner), so a key that holds a large part of the rows
+    comes as one row of each task.
     """
-    keyed, rest = _parts(df, keys)
-    carried = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(f"`{c}`") for c in carried], F.lit(0).alias("_"))
-    rank = F.struct(*[x.alias(f"_{i}") for c in order for i, x in enumerate((F.col(f"`{c}`").isNull(), F.col(f"`{c}`")))])
-    names = [f"_key{i}" for i in range(len(keys))]
-    ranked = keyed.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], row.alias("_row"), rank.alias("_rank"))
-    if salt > 1:
-        ranked = ranked.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt)))
-        ranked = ranked.groupBy(*names, "_salt").agg(F.min_by("_row", "_rank").alias("_row"), F.min("_rank").alias("_rank"))
-    first = ranked.groupBy(*names).agg(F.min_by("_row", "_rank").alias("_row"))
-    place = dict(zip(keys, names))
-    columns = [F.col(place[c]).alias(c) if c in place else F.col("_row").getField(c).alias(c) for c in df.columns]
-    return first.select(*columns).union(rest)
+    own, place = free_name(df, "_own"), free_name(df, "_place")
+    keyed = df.withColumn(own, F.when(lacks_key(keys), F.monotonically_increasing_id()))
+    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys], own).orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in order])
+    return keyed.withColumn(place, F.row_number().over(window)).where(F.col(place) == 1).drop(own, place)
 
 
 def any_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row of each key, whichever comes first; rows with a null key all stay."""
-    keyed, rest = _parts(df, keys)
-    return keyed.dropDuplicates(list(keys)).union(rest)
+    own = free_name(df, "_own")
+    keyed = df.withColumn(own, F.when(lacks_key(keys), F.monotonically_increasing_id()))
+    return keyed.dropDuplicates([*keys, own]).drop(own)

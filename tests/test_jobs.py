@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pressloom.functions.categories import CATEGORIES, REGIONS, SYNONYMS, synonym_pairs
 from pressloom.operators import duplicates, filters, lookups, pages, routing, splits
+from pressloom.operators.limits import first_rows
 from pressloom.plans.collect import collect
 from pressloom.plans.curate import clean_category, curate
 from pressloom.plans.extract import extract, unreadable
@@ -150,12 +151,50 @@ def test_earliest_equals_brute_force_with_a_hot_key(spark):
     for key, ts, i in rows:
         want[key] = min(want.get(key, (ts, i)), (ts, i))
     df = spark.createDataFrame(rows, "k string, ts int, i int")
-    for salt in (1, 16):
-        first = duplicates.earliest(df.repartition(7), ["k"], ["ts", "i"], salt=salt)
-        assert {r["k"]: (r["ts"], r["i"]) for r in first.collect()} == want
-        # combined before the shuffle, and no window that sorts a whole key in one task
-        text = plan(first)
-        assert "partial_min_by" in text and "Window" not in text
+    first = duplicates.earliest(df.repartition(7), ["k"], ["ts", "i"])
+    # every task keeps one row of a key before the shuffle
+    text = plan(first)
+    assert text.index(", Final") < text.index("Exchange hashpartitioning") < text.index(", Partial")
+    assert {r["k"]: (r["ts"], r["i"]) for r in first.collect()} == want
+
+
+def test_rows_without_a_key_and_own_column_names(spark):
+    rows = [(None, 1, 5, "a"), (None, 1, 5, "a"), ("k", None, 6, "b"), ("k", None, 6, "b"), ("k", 1, 7, "d"), ("k", 1, 6, "c"), ("k", 1, None, "e")]
+    df = spark.createDataFrame(rows, "k string, j int, ts int, _own string").withColumns({"_place": F.lit(0), "_OWN_": F.lit(1)}).repartition(3)
+    for out in (duplicates.earliest(df, ["k", "j"], ["ts"]), duplicates.any_of(df, ["k", "j"])):
+        assert out.columns == df.columns
+        got = [tuple(r)[:4] for r in out.collect()]
+        assert len(got) == 5 and sorted((r for r in got if None in r[:2]), key=repr) == sorted(rows[:4], key=repr)
+    assert duplicates.earliest(df, ["k", "j"], ["ts"]).where("k IS NOT NULL AND j IS NOT NULL").first()["_own"] == "c"
+    assert duplicates.earliest(df.limit(0), ["k"], ["ts"]).count() == 0
+
+
+def test_duplicates_read_their_input_once(spark, tmp_path):
+    spark.range(50).selectExpr("cast(id % 7 as string) AS k", "id AS ts").write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    for out in (duplicates.earliest(df, ["k"], ["ts"]), duplicates.any_of(df, ["k"])):
+        assert plan(out).count("FileScan") == 1
+
+
+# --- limits -------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("gathered", [10**6, 0])
+def test_first_rows(spark, gathered):
+    """The same rows however they are dealt, by the merge and by the cut; ties and nulls have their places."""
+    rng = random.Random(9)
+    rows = [(rng.choice([None, *range(30)]), rng.choice(["a", "b", None]), i % 40) for i in range(900)] + [(3, "a", 1)] * 20
+    df = spark.createDataFrame(rows, "ts int, _tie string, _part int")
+    last = (1, 0)
+    key = lambda r: ((0, r[0]) if r[0] is not None else last, (0, r[1]) if r[1] is not None else (1, ""), (0, r[2]))
+    for n in (0, 1, 77, 919, 920, 5000):
+        want = sorted(rows, key=key)[:n]
+        for parts in (1, 6):
+            out = first_rows(df.repartition(parts), n, ["ts", "_tie", "_part"], gathered)
+            assert out.columns == df.columns and sorted(map(tuple, out.collect()), key=key) == want
+    # with an order that is not total, a hash of the rows decides: twice the same
+    some = [sorted(map(tuple, first_rows(df.repartition(p), 300, ["ts"], gathered).collect()), key=key) for p in (1, 5)]
+    assert some[0] == some[1] and len(some[0]) == 300
 
 
 def test_fan_out(spark):
@@ -491,7 +530,12 @@ def test_collect(spark, tmp_path):
     kept = collect(captures, ["idnes.cz"], since="2019-06-01").collect()
     assert [(r["digest"], r["offset"]) for r in kept] == [("A", 3000000000)]
     assert collect(captures, ["idnes.cz"], to="2019-01-01 00:00:00").first()["digest"] == "C"
-    assert index.query_index(captures, ["idnes.cz"], limit=1).count() == 1
+    first = index.query_index(captures, ["idnes.cz"], limit=1)
+    assert [r["digest"] for r in first.collect()] == ["C"]
+    limited = collect(captures, ["idnes.cz"], limit=2)
+    text = plan(limited)
+    assert text.count("FileScan") == 1 and text.count("TakeOrderedAndProject") == 1 and "Limit " not in text.replace("GroupLimit", "")
+    assert sorted(map(repr, limited.collect())) == sorted(map(repr, collect(captures.repartition(3), ["idnes.cz"], limit=2).collect()))
 
 
 # --- streams ------------------------------------------------------------------------------------------------------
