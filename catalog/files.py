@@ -241,6 +241,27 @@ def stream_duplicates_unordered(spark, d):
     return spark.read.parquet(out).select("user_id", "event_type", lacking)
 
 
+# A bucket that remembers its last keys; with room for every key the first of each passes, and all rows without one do.
+@query(
+    "stream_duplicates_bounded",
+    """SELECT DISTINCT user_id, CASE WHEN event_id % 50 = 0 THEN NULL ELSE event_type END AS event_type,
+         CASE WHEN event_id % 50 = 0 THEN event_id END AS event_id FROM events""",
+)
+def stream_duplicates_bounded(spark, d):
+    """At most so many keys are remembered; the stream stops half-way and goes on from its checkpoint."""
+    source, out, checkpoint = (shared_dir(spark, f"bounded-{n}") for n in ("in", "out", "checkpoint"))
+    key = F.col("event_id")
+    rows = table(spark, d, "events").select("user_id", F.when(key % 50 != 0, F.col("event_type")).alias("event_type"), "event_id")
+    at_most = 16 * rows.select("user_id", "event_type").distinct().count()
+    for half in (0, 1):
+        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half).repartition(2).write.mode("append").parquet(source)
+        stream = intake.read_stream(spark, source, rows.schema, files_per_trigger=1)
+        unique = intake.drop_duplicates(stream, ["user_id", "event_type"], at_most=at_most, buckets=16)
+        intake.write_stream(unique, out, checkpoint).awaitTermination()
+    lacking = F.when(F.col("event_type").isNull(), F.col("event_id")).alias("event_id")
+    return spark.read.parquet(out).select("user_id", "event_type", lacking)
+
+
 @query("stream_extract", _PAGE_KEYS)
 def stream_extract(spark, d):
     """Streaming extraction into Parquet files."""

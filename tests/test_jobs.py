@@ -557,6 +557,66 @@ def test_stream_keeps_its_state_over_a_restart(spark, tmp_path):
     assert drain() == ["A", "B"]
 
 
+def test_streams_read_their_source_once(spark, tmp_path):
+    for options in ({}, {"remember": "1 day"}, {"at_most": 100}):
+        lines = intake.read_stream(spark, str(tmp_path), CAPTURE, "json")
+        unique = intake.drop_duplicates(lines, ["digest"], **options)
+        assert unique._jdf.queryExecution().logical().toString().count("StreamingRelation") == 1, options
+        assert unique.columns == lines.columns
+
+
+def remembered(keys, share, segment):
+    """Keys that pass a cache of that share, which forgets its oldest segment."""
+    segments, passed = [[]], []
+    for k in keys:
+        if k is None:
+            passed.append(k)
+        elif not any(k in s for s in segments):
+            passed.append(k)
+            if len(segments[-1]) >= segment:
+                segments.append([])
+            segments[-1].append(k)
+            while sum(map(len, segments)) > share:
+                segments = segments[1:] or [[]]
+    return passed
+
+
+@pytest.mark.parametrize("remember", [None, "1 day"])
+def test_bounded_stream_forgets_its_oldest_keys(spark, tmp_path, remember):
+    """A cache of eight keys, over micro-batches and a restart; rows without a key pass and take no place."""
+    rng = random.Random(12)
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    source.mkdir()
+    keys, schema = [rng.choice([None, *"abcdefghijklmnop", *"abc"]) for _ in range(120)], "k string, n int, _digest string"
+
+    def drain():
+        unique = intake.drop_duplicates(intake.read_stream(spark, str(source), spark.createDataFrame([], schema).schema, "json", 1), ["k"], remember, at_most=8, buckets=1)
+        intake.write_stream(unique, out, checkpoint).awaitTermination()
+        return [r["k"] for r in spark.read.parquet(out).orderBy("n").collect()]
+
+    for at in range(0, 120, 30):
+        lines = [f'{{"k": {"null" if k is None else chr(34) + k + chr(34)}, "n": {n}, "_digest": "x"}}' for n, k in enumerate(keys[at : at + 30], at)]
+        (source / f"{at:03}.json").write_text("\n".join(lines))
+        os.utime(source / f"{at:03}.json", (10**9 + at, 10**9 + at))
+        if at in (30, 90):
+            got = drain()
+            assert got == remembered(keys[: at + 30], 8, 2)
+    assert 20 < len(got) < 120 and got.count("a") > 1
+
+
+def test_bounded_stream_forgets_after_a_time(spark, tmp_path):
+    """A key that has not arrived for the time passes again, though there is room for it."""
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    source.mkdir()
+    for n in range(3):
+        (source / f"{n}.json").write_text('{"k": "a"}\n{"k": "a"}')
+        lines = intake.read_stream(spark, str(source), spark.createDataFrame([], "k string").schema, "json")
+        # the third run is within a day of the second
+        unique = intake.drop_duplicates(lines, ["k"], "1 millisecond" if n < 2 else "1 day", at_most=8, buckets=1)
+        intake.write_stream(unique, out, checkpoint).awaitTermination(60)
+        assert spark.read.parquet(out).count() == min(n + 1, 2)
+
+
 def test_stream_extract(spark, tmp_path):
     pages_ = page(spark, ARTICLE)
     pages_.write.parquet(str(tmp_path / "in"))
