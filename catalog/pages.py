@@ -13,8 +13,9 @@ from catalog.base import cores, query, sql_entities, sql_strip, sql_unify, table
 from pressloom.functions import labels, text, urls
 from pressloom.functions.dates import CZECH_MONTHS, CZECH_WEEKDAYS
 from pressloom.operators.html import PLAIN_BODY
-from pressloom.plans.extract import extract
+from pressloom.plans.extract import Report, extract
 from pressloom.plans.sites import SITES, Site, Take, register_site
+from pressloom.session import shared_dir
 from pressloom.sources.config import DEFAULT_ROUTES, Route
 
 # A rule for the hosts of the `pages` table.
@@ -585,3 +586,48 @@ def registered_site(spark, d):
     )
     routes = [Route(r".*\.example\.(com|net|org).*", "hooked_example")]
     return extract(pages, routes, partitions=cores(spark)).select(F.col("domain_record.offset").alias("page_id"), "headline", "brief")
+
+
+def _title(page) -> str:
+    return page.text(page.first(page.root, "title")) or ""
+
+
+def _title_without_k(page) -> bool:
+    return "k" not in _title(page)
+
+
+def _no_z(page) -> dict[str, str]:
+    if "z" in _title(page):
+        raise ValueError("a hook that fails on some pages")
+    return {}
+
+
+@query(
+    "extract_report",
+    f"""WITH {PAGE_CTES}, t AS (SELECT page_id, headline, content_of, author,
+            coalesce([200, 404, NULL, 301][page_id % 4 + 1], 200) <> 200 AS filtered, contains(headline, 'k') AS rejected,
+            contains(headline, 'z') AS unreadable,
+            CASE WHEN regexp_matches(url, '[.]example[.]com') THEN 'without_author' ELSE 'example' END AS extractor
+          FROM (SELECT *, {sql_unify("array_to_string(lines, chr(10))")} AS content_of FROM b)
+          WHERE regexp_matches(url, '[.]example[.](com|net)')),
+        u AS (SELECT *, NOT filtered AND NOT rejected AND NOT unreadable AS parsed,
+            extractor = 'example' AND headline <> '' AND len(author) > 0 AND content_of <> '' AS complete FROM t)
+        SELECT extractor, count(*) AS routed, count(*) FILTER (filtered) AS filtered,
+               count(*) FILTER (NOT filtered AND NOT rejected AND unreadable) AS unreadable, count(*) FILTER (NOT filtered AND rejected) AS rejected,
+               count(*) FILTER (parsed AND NOT complete) AS incomplete, count(*) FILTER (parsed AND complete) AS articles,
+               (SELECT count(*) FROM pages WHERE NOT regexp_matches(url, '[.]example[.](com|net)')) AS unrouted
+        FROM u GROUP BY extractor""",
+)
+def extract_report(spark, d):
+    """Why pages gave no article, counted by the extraction that writes the others."""
+    example = replace(EXAMPLE_SITE, tree_filter=_title_without_k, hook=_no_z)
+    article = {k: v for k, v in EXAMPLE_SITE.article.items() if k != "author"}
+    sites = {"example": example, "without_author": replace(example, article=article)}
+    key = F.col("page_id")
+    status = F.get(F.array(F.lit(200), F.lit(404), F.lit(None).cast("int"), F.lit(301)), (key % 4).cast("int"))
+    moment = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    pages = table(spark, d, "pages").select("url", "html", key.alias("offset"), moment.alias("crawl_ts"), status.alias("http_status"))
+    routes = [Route(r".*\.example\.com.*", "without_author"), Route(r".*\.example\.net.*", "example")]
+    report = Report()
+    extract(pages, routes, sites, partitions=cores(spark), report=report).write.parquet(shared_dir(spark, "reported"))
+    return report.table(spark).withColumn("unrouted", F.lit(report.unrouted).cast("bigint"))

@@ -37,10 +37,14 @@ def _searchable(pattern: str) -> str:
     return pattern.removeprefix(".*").removesuffix(".*") or ".*"
 
 
+def name_pages(pages: DataFrame, routes: list[Route]) -> DataFrame:
+    """All pages with their `extractor`, null without a route."""
+    return pages.withColumn("extractor", route_column(F.col("url"), F.col("crawl_ts"), routes))
+
+
 def route(pages: DataFrame, routes: list[Route]) -> DataFrame:
     """Pages with their `extractor`; pages without a route are dropped before anything is parsed."""
-    named = pages.withColumn("extractor", route_column(F.col("url"), F.col("crawl_ts"), routes))
-    return named.where(F.col("extractor").isNotNull())
+    return name_pages(pages, routes).where(F.col("extractor").isNotNull())
 
 
 def route_join(pages: DataFrame, routes: DataFrame, site_pattern: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pressloom.operators import duplicates, filters, lookups, pages, routing, sp
 from pressloom.operators.limits import first_rows
 from pressloom.plans.collect import collect
 from pressloom.plans.curate import clean_category, curate
-from pressloom.plans.extract import extract, unreadable
+from pressloom.plans.extract import Report, extract, unreadable
 from pressloom.plans.merge import merge
 from pressloom.plans.sites import SITES, Site, Take, register_site, sites
 from pressloom.schemas import CAPTURE, RAW_ARTICLE
@@ -481,6 +481,33 @@ def test_a_page_that_cannot_be_read_is_counted(spark):
     assert [(r["extractor"], r["n_pages"]) for r in unreadable(bad, routes).collect()] == [("broken_site", 1)]
 
 
+def test_report_counts_on_the_way(spark, tmp_path):
+    """Every page is counted once, by the extraction itself: one parse in the plan, and the same numbers as `unreadable`."""
+
+    def hook(page):
+        if page.text(page.first(page.root, "title")) == "bad":
+            raise ValueError
+        return {}
+
+    site = Site(head={"headline": Take(("title",))}, root="body", article={"content": Take(("p",)), "author": Take(("b",))}, must_exist=("p",), hook=hook)
+    body = "<html><head><title>{}</title></head><body>{}</body></html>"
+    rows = [("a.cz/x", body.format("good", "<p>t</p><b>Jan Novák</b>"), 200), ("a.cz/x", body.format("bad", "<p>t</p>"), None), ("a.cz/x", body.format("none", ""), 200)]
+    rows += [("a.cz/x", body.format("good", "<p>t</p>"), 200), ("a.cz/x", body.format("good", "<p>t</p>"), 404), ("b.cz/x", "", 200), ("other", "", 200), (None, "", 200)]
+    df = spark.createDataFrame(rows, "url string, html string, http_status int").withColumn("crawl_ts", F.lit("2020-01-01").cast("timestamp_ntz"))
+    routes = [Route(r".*a\.cz.*", "a"), Route(r".*b\.cz.*", "b")]
+    report = Report()
+    out = extract(df, routes, {"a": site, "b": site}, report=report)
+    assert plan(out).count("ArrowEvalPython") == 1
+    out.write.parquet(str(tmp_path / "out"))
+    kinds = [k for own in Report.STAGES for k in own]
+    assert report.counts() == {"a": dict(zip(kinds, (5, 1, 1, 1, 1, 1), strict=True)), "b": dict(zip(kinds, (1, 0, 0, 1, 0, 0), strict=True))}
+    assert report.unrouted == 2 and {r["extractor"]: r["n_pages"] for r in unreadable(df, routes, {"a": site, "b": site}).collect()} == {"a": 1}
+    assert report.table(spark).count() == 2 and spark.read.parquet(str(tmp_path / "out")).count() == 1
+    everything = Report()
+    extract(df, routes, {"a": site, "b": site}, required=False, report=everything).collect()
+    assert everything.counts()["a"] | {"x": 0} == dict(zip(kinds, (5, 1, 1, 1, 0, 2), strict=True)) | {"x": 0}
+
+
 def test_html_folder(spark, tmp_path):
     (tmp_path / "a.html").write_text(ARTICLE)
     (tmp_path / "b.txt").write_text(ARTICLE)
