@@ -251,3 +251,33 @@ def index_first_captures(spark, d):
     """The captures that a limit returns are the first ones crawled."""
     hits = query_index(with_crawl_ts(captures(spark, d)), ["idnes.cz"], limit=200)
     return hits.select("event_id", F.date_format("crawl_ts", "yyyy-MM-dd HH:mm:ss").alias("crawled"))
+
+
+# A thousand routes: two validities of every other site, one that no host pins, and URLs that name a second site.
+MANY_ROUTES = [
+    Route(r".*/late/.*", "by_path", "2020-01-01 00:00:00"),
+    *[r for i in range(666) for r in ((Route(rf".*site{i}\.cz.*", f"old_{i}", None, "2016-06-01 00:00:00"),) if i % 2 else ()) + (Route(rf".*site{i}\.cz.*", f"new_{i}"),)],
+]
+MANY_SQL = f"""WITH c AS (SELECT event_id, {CAPTURE_TIME} AS crawl_ts, 'https://' || {sql_pick('user_id', 'www.', 'm.', 'my')} || 'site' || (event_id % 700) || '.cz/' ||
+         {sql_pick('event_id // 7', 'clanek', 'late')} || '/' || user_id || CASE WHEN event_id % 11 = 0 THEN '?from=site' || (user_id % 50) || '.cz' ELSE '' END AS url FROM events),
+     site AS (SELECT event_id, crawl_ts, url, least(event_id % 700, CASE WHEN event_id % 11 = 0 THEN nullif(regexp_extract(url, 'from=site([0-9]+)', 1), '')::BIGINT END) AS i FROM c)
+     SELECT event_id, CASE WHEN contains(url, '/late/') AND crawl_ts >= TIMESTAMP '2020-01-01' THEN 'by_path'
+         WHEN i % 2 = 1 AND crawl_ts < TIMESTAMP '2016-06-01' THEN 'old_' || i ELSE 'new_' || i END AS extractor
+     FROM site WHERE i < 666 OR (contains(url, '/late/') AND crawl_ts >= TIMESTAMP '2020-01-01')"""
+
+
+def many_captures(spark, d):
+    """Captures of 700 sites, some with the name of another one in the query."""
+    key = F.col("event_id")
+    other = F.when(key % 11 == 0, F.concat(F.lit("?from=site"), (F.col("user_id") % 50).cast("string"), F.lit(".cz"))).otherwise("")
+    site = F.concat(pick(F.col("user_id"), "www.", "m.", "my"), F.lit("site"), (key % 700).cast("string"), F.lit(".cz/"))
+    path = F.concat(pick(F.floor(key / 7), "clanek", "late"), F.lit("/"), F.col("user_id").cast("string"))
+    days = F.make_dt_interval(days=((F.col("user_id") * 97 + key) % 5000).cast("int"))
+    when = (F.date_trunc("second", "ts") - days).cast("timestamp_ntz")
+    return table(spark, d, "events").select("event_id", when.alias("crawl_ts"), F.concat(F.lit("https://"), site, path, other).alias("url"))
+
+
+@query("routes_thousand", MANY_SQL)
+def routes_thousand(spark, d):
+    """The first of a thousand routes that matches, found by the text before the dots of the URL."""
+    return routing.route(many_captures(spark, d), MANY_ROUTES).select("event_id", "extractor")

@@ -242,6 +242,25 @@ ARTICLE = (
 )
 
 
+def test_routes_looked_up_equal_routes_one_by_one(spark):
+    """Texts within other texts, several hits in a URL, patterns that are no plain text, validities, nulls."""
+    rng = random.Random(5)
+    names = ["a.cz", "aa.cz", "b.a.cz", "idnes.cz", "m.idnes.cz", "idnes.cz/x", "x-y.com", "0.1", ".cz", "nodot", "verylongname.org", "name.org", "e.org.uk"]
+    pattern = lambda t: ".*" + t.replace(".", r"\.") + ".*"
+    more = [r"^https://www\.", r".*(idnes|aa)\.cz.*", r".*/clanek/\d+.*", r".*x.y\.com.*", ".*"]
+    days = [None, "2015-01-01 00:00:00", "2018-01-01 00:00:00"]
+    urls = [None, "", ".", "..", "a.cz"] + ["https://" + "".join(rng.choice([*names, ".", "/", "clanek/12", "www.", "x", "long", "?"]) for _ in range(rng.randint(1, 5))) for _ in range(400)]
+    rows = [(u, rng.choice(["2014-05-05", "2015-01-01", "2016-02-02", "2019-01-01", None])) for u in urls]
+    df = spark.createDataFrame(rows, "url string, t string").withColumn("crawl_ts", F.col("t").cast("timestamp_ntz"))
+    for seed in range(4):
+        rng = random.Random(seed)
+        routes = [Route(rng.choice([*map(pattern, names), *more[: 1 + seed]]), f"e{i}", rng.choice(days[:2]), rng.choice([None, days[2]])) for i in range(25)]
+        both = df.select("url", routing._one_by_one(F.col("url"), F.col("crawl_ts"), routes).alias("x"), routing._looked_up(F.col("url"), F.col("crawl_ts"), routes).alias("y"))
+        got = both.collect()
+        assert [r["x"] for r in got] == [r["y"] for r in got], seed
+        assert sum(r["x"] is not None for r in got) > 100
+
+
 def test_extract_one_page(spark):
     row = extract(page(spark, ARTICLE)).first()
     assert (row["headline"], row["content"], row["author"]) == ("Titulek", "Text článku", ["Jan Novák"])
