@@ -196,3 +196,20 @@ def collect_captures_limited(spark, d):
     index = with_crawl_ts(captures(spark, d)).withColumn("digest", F.when(F.col("event_id") % 5 != 0, F.col("digest")))
     limit = table(spark, d, "events").count() // 8
     return collecting.collect(index, ["idnes.cz", "novinky.cz"], limit=limit).select("digest", "event_id")
+
+
+@query(
+    "merge_again",
+    f"""WITH {CURATED_CTES}, rows AS (SELECT * EXCLUDE (sets), unnest(sets) AS split FROM curated)
+        SELECT * FROM rows WHERE split <> 'train' UNION ALL SELECT * FROM rows WHERE comments_num IS NOT NULL""",
+)
+def merge_again(spark, d):
+    """A merge that was broken off and is repeated, with a glob of roots: every row is there as often as after one merge."""
+    dataset = curate(raw_articles(spark, d), author_list(spark, d))
+    folder, target = shared_dir(spark, "datasets"), shared_dir(spark, "merged")
+    write_dataset(dataset.where("split <> 'train'"), f"{folder}/first")
+    merge(spark, [f"{folder}/*"], target, mode="overwrite_splits")
+    write_dataset(dataset.where("comments_num IS NOT NULL"), f"{folder}/second")
+    for _ in range(2):
+        merged = merge(spark, [f"{folder}/*"], target, mode="overwrite_splits")
+    return shown(merged)

@@ -51,6 +51,23 @@ def text_entities(spark, d):
     return table(spark, d, "documents").select("doc_id", text.content(marked).alias("content"))
 
 
+@query(
+    "text_named_entities",
+    f"""SELECT doc_id, replace({sql_squash('text')}, '###', ' é...&lt;"') AS content,
+               regexp_matches(text, '&[A-Za-z]|&#[0-9xX]') OR doc_id % 50 = 0 AS in_python
+        FROM documents""",
+)
+def text_named_entities(spark, d):
+    """Common named entities are decoded without Python; a number in every fiftieth text sends that text there."""
+    number = F.when(F.col("doc_id") % 50 == 0, "&#34;").otherwise("&quot;")
+    marked = text.squash(F.replace("text", F.lit("###"), F.concat(F.lit("&nbsp;&eacute;&hellip;&amp;lt;"), number)))
+    # a mark in every text, as not all have one; it is cut off again
+    marked = F.concat(marked, F.when(F.col("doc_id") % 50 == 0, "&#33;").otherwise("&amp;"))
+    rows = table(spark, d, "documents").select("doc_id", marked.alias("marked"))
+    content = F.regexp_replace(text.decode_entities(F.col("marked")), ".$", "")
+    return rows.select("doc_id", content.alias("content"), text.needs_python(F.col("marked")).alias("in_python"))
+
+
 @query(
     "text_tidy_sentence",
     f"""WITH r AS (SELECT doc_id, {sql_pick('doc_id', '', 'ǅ', 'ǆ', 'é', ' ß')} || text AS raw FROM documents),

@@ -6,6 +6,7 @@ Patterns spell out the whitespace class because Java's `\\s` is ASCII only and t
 from __future__ import annotations
 
 import html
+import html.entities
 import unicodedata
 
 import pyarrow as pa
@@ -38,17 +39,22 @@ AUDIO_NOTE = "Článek si také můžete poslechnout v audioverzi.\n"
 _SITE_TAIL = "(?iud)[-–|][^-–|]*(?:" + "|".join(SITE_SUFFIXES) + ").*$"
 
 
-def _stable_class() -> str:
-    """Non-ASCII characters that NFKC leaves as they are and that join with no neighbour.
+# Blocks without combining marks: text made of their stable characters alone is already normal.
+_BLOCKS = ((0x80, 0x24F), (0x400, 0x45F), (0x2010, 0x205E), (0x20A0, 0x20BF))
+
+
+def _stable(char: str) -> bool:
+    """A character that NFKC leaves as it is and that joins with no neighbour."""
+    inside = char < "\x80" or any(low <= ord(char) <= high for low, high in _BLOCKS)
+    return inside and unicodedata.is_normalized("NFKC", char) and not unicodedata.combining(char)
 
-    Only blocks without combining marks are looked at, so text made of these characters alone is already normal.
-    """
-    blocks = [(0x80, 0x24F), (0x400, 0x45F), (0x2010, 0x205E), (0x20A0, 0x20BF)]
+
+def _stable_class() -> str:
+    """The stable characters that are not ASCII, as a regex class."""
     parts, start = [], None
-    for low, high in blocks:
+    for low, high in _BLOCKS:
         for point in range(low, high + 2):
-            char = chr(point)
-            good = point <= high and unicodedata.is_normalized("NFKC", char) and not unicodedata.combining(char)
+            good = point <= high and _stable(chr(point))
             if good and start is None:
                 start = point
             elif not good and start is not None:
@@ -57,8 +63,17 @@ def _stable_class() -> str:
     return "".join(parts)
 
 
-# Text that may change under entity decoding or NFKC. The cheap test comes first, ASCII text pays nothing more.
-NEEDS_DECODING = rf"&[A-Za-z]|&#[0-9xX]|[^\x00-\x7f](?<![{_stable_class()}])"
+def _named_entities() -> dict[str, str]:
+    """Name to the normal form of its character, for the names whose characters are stable once they are normal."""
+    names = {**{n: chr(p) for n, p in html.entities.name2codepoint.items()}, "apos": "'"}
+    normal = {n: unicodedata.normalize("NFKC", c) for n, c in names.items()}
+    return {n: c for n, c in sorted(normal.items()) if all(map(_stable, c))}
+
+
+# Named entities that are decoded without Python, a no-break space as the space that it becomes.
+ENTITIES = _named_entities()
+# Text that only Python can decode: other names, names without a semicolon, numbers, characters that are not stable.
+NEEDS_DECODING = rf"&(?!(?:{'|'.join(ENTITIES)});)[A-Za-z]|&#[0-9xX]|[^\x00-\x7f](?<![{_stable_class()}])"
 
 
 def strip(c: Column) -> Column:
@@ -98,21 +113,37 @@ def _decode_lists(lists: pa.Array) -> pa.Array:
     )
 
 
-def _needs_decoding(c: Column) -> Column:
-    """The native tests spare plain ASCII text the regex."""
+def needs_python(c: Column) -> Column:
+    """Whether a text has entities or characters that only Python can decode. The native tests spare plain ASCII text the regex."""
     return (c.contains("&") | (F.octet_length(c) > F.length(c))) & c.rlike(NEEDS_DECODING)
 
 
+def _decode_named(c: Column) -> Column:
+    """The named entities of a text, each once: what follows an `&` is looked up up to its semicolon."""
+    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    pieces = F.split(c, "&")
+
+    def decoded(piece: Column) -> Column:
+        name = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        rest = F.substr(piece, F.length(name) + 2)
+        return F.coalesce(F.concat(F.try_element_at(known, name), rest), F.concat(F.lit("&"), piece))
+
+    later = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
+    text = F.concat(F.get(pieces, F.lit(0)), F.array_join(later, ""))
+    return F.when(c.contains("&"), text).otherwise(c)
+
+
 def decode_entities(c: Column) -> Column:
-    """HTML entities, then NFKC. Spark has neither, but only rows that need them travel to Python."""
+    """HTML entities, then NFKC. Spark has neither; common named entities are decoded natively, and only texts with other
+    ones or with characters that may change travel to Python."""
     decode = F.arrow_udf(_decode_texts, T.StringType())
-    return F.coalesce(decode(F.when(_needs_decoding(c), c)), c)
+    return F.coalesce(decode(F.when(needs_python(c), c)), _decode_named(c))
 
 
 def decode_entities_all(c: Column) -> Column:
     """`decode_entities` for each member of a list."""
     decode = F.arrow_udf(_decode_lists, T.ArrayType(T.StringType()))
-    return F.coalesce(decode(F.when(F.exists(c, _needs_decoding), c)), c)
+    return F.coalesce(decode(F.when(F.exists(c, needs_python), c)), F.transform(c, _decode_named))
 
 
 def normalize(c: Column) -> Column:

@@ -418,6 +418,30 @@ def test_dataset_round_trip_prunes_and_merges(spark, dimension, tmp_path):
     assert readers.read_dataset(spark, str(tmp_path / "?")).count() == 6
 
 
+def test_a_merge_can_be_repeated(spark, tmp_path):
+    """Splits are replaced, other splits stay, the target is no root; roots by glob, with a scheme, with odd names."""
+    rows = lambda *r: spark.createDataFrame(list(r), "url string, split string")
+    writers.write_dataset(rows(("a", "train"), ("b", "test")), str(tmp_path / "in" / "one two"))
+    writers.write_dataset(rows(("c", "train"), ("a", "train")), str(tmp_path / "in" / "x=1" / "deep"))
+    target = str(tmp_path / "out")
+    writers.write_dataset(rows(("old", "validation"), ("old", "test")), target)
+    for root in (str(tmp_path / "in" / "*"), f"file://{tmp_path}/in/{{one*,x=?/deep}}"):
+        for _ in range(2):
+            merged = merge(spark, [root], target, mode="overwrite_splits")
+            got = sorted((r["url"], r["split"]) for r in merged.collect())
+            assert got == [("a", "train"), ("a", "train"), ("b", "test"), ("c", "train"), ("old", "validation")]
+    with pytest.raises(ValueError, match="one of the datasets"):
+        merge(spark, [f"{tmp_path}/ou*"], target, mode="overwrite_splits")
+    with pytest.raises(FileNotFoundError):
+        readers.read_dataset(spark, str(tmp_path / "nothing*"))
+
+
+def test_no_reader_needs_the_driver_jvm():
+    import inspect
+
+    assert "_jvm" not in inspect.getsource(readers) and "_jsc" not in inspect.getsource(readers)
+
+
 def test_jsonl_cap_and_round_trip(spark, tmp_path):
     rows = raw(spark).unionByName(raw(spark)).unionByName(raw(spark)).coalesce(1)
     path = str(tmp_path / "j")

@@ -39,6 +39,19 @@ def test_decoding_test_never_misses_a_character(one):
     assert one(text.normalize, chars) == [unicodedata.normalize("NFKC", c) for c in chars]
 
 
+def test_named_entities_equal_python_without_it(one):
+    """Each name alone, next to others, doubly encoded and cut off; with the common ones no text travels to Python."""
+    whole = [f"a&{n};b &{n};&{m};&amp;{n};" for n, m in zip(text.ENTITIES, reversed(text.ENTITIES))]
+    common = ["&amp;&quot;x&quot;&nbsp;&lt;b&gt; & Co &eacute;&scaron;&hellip;", "AT&T; R&D, a & b", "&", "&;", "&&amp;", "100 &euro;", "č&amp;š"]
+    odd = ["&amp", "&quot x", "&#39;", "&#x41;", "&notit;", "&alpha;", "&acute;", "&ampamp;", "ﬁ&amp;", "e\u0301&amp;", "&NotEqualTilde;", "AT&T;"]
+    values = [*whole, *common, *odd, "", None]
+    want = [None if v is None else unicodedata.normalize("NFKC", html.unescape(v)) for v in values]
+    assert one(text.decode_entities, values) == want
+    assert one(text.decode_entities_all, [values], "array<string>") == [want]
+    assert not any(one(text.needs_python, [*whole, common[0], *common[2:]], "string")) and all(one(text.needs_python, odd[:-1]))
+    assert len(text.ENTITIES) > 120 and text.ENTITIES["nbsp"] == " "
+
+
 def test_normalize_keeps_spaces_that_entities_leave(one):
     assert one(text.normalize, ["a &nbsp;b&nbsp;", "&amp;lt;", None]) == ["a  b ", "&lt;", None]
 
