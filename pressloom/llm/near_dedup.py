@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.llm.components import components
+from pressloom.llm.prefilter import maybe_in
 from pressloom.llm.tables import only, ready, stored, tasks
 from pressloom.llm.textbytes import COEFFICIENTS, NOT_SPACE, mix, slices, words
+from pressloom.operators.duplicates import free_name
 
 
 #: times that the nodes are counted again without those that no other can be linked with; it decides the work only
@@ -297,7 +299,7 @@ def without_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str =
 
     An id may come with several texts; those in different groups stay for their groups. Texts without words are in no group
     and stay. A null id counts as larger than any other; of a group of null ids alone,
-    every text stays once. Only rows that repeat in id and text are shuffled with their text.
+    every text stays once. Only rows that go or repeat, and few others, are shuffled with their text.
     """
     found = _grouped(documents, doc_id, text, p)
     # rows of one id with several texts in one group: the text with the smallest hash stays
@@ -307,12 +309,18 @@ def without_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str =
     gone = judged.where("NOT kept OR (n_shingles > 0 AND text_hash <> chosen)").select(F.col("doc_id").alias("id"), "text_hash").distinct()
     gone = stored(gone, "removed")
     again = stored(found.groupBy(F.col("doc_id").alias("id"), "text_hash").count().where("count > 1").select("id", "text_hash"), "repeated")
-    rows = documents.withColumns({"__id": F.col(f"`{doc_id}`").cast("bigint"), "__hash": F.xxhash64(F.col(f"`{text}`"))})
-    same = lambda other: rows["__id"].eqNullSafe(other["id"]) & (rows["__hash"] == other["text_hash"])
+    own_id, own_hash, open_ = (free_name(documents, c) for c in ("_id", "_hash", "_open"))
+    rows = documents.withColumns({own_id: F.col(f"`{doc_id}`").cast("bigint"), own_hash: F.xxhash64(F.col(f"`{text}`"))})
+    same = lambda other: rows[own_id].eqNullSafe(other["id"]) & (rows[own_hash] == other["text_hash"])
+    # rows that are neither removed nor repeated, nearly all that stay, are not shuffled
+    known = stored(gone.union(again).select(F.xxhash64("id", "text_hash").alias("h")), "not-single")
+    rows = rows.withColumn(open_, maybe_in(known)(F.xxhash64(own_id, own_hash)))
+    kept = rows.where(~F.col(open_))
+    rows = rows.where(open_)
     rows = rows.join(gone, same(gone), "left_anti")
     single = rows.join(again, same(again), "left_anti")
-    repeated = rows.join(again, same(again), "left_semi").dropDuplicates(["__id", "__hash"])
-    return single.union(repeated).drop("__id", "__hash")
+    repeated = rows.join(again, same(again), "left_semi").dropDuplicates([own_id, own_hash])
+    return kept.union(single).union(repeated).drop(own_id, own_hash, open_)
 
 
 def _texts(docs: DataFrame, ids: DataFrame, p: MinMax) -> DataFrame:
@@ -327,5 +335,8 @@ def _texts(docs: DataFrame, ids: DataFrame, p: MinMax) -> DataFrame:
                 part = batch.slice(first, stop - first)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.diff(at))], names=["node", "text", "n"]).filter(good)
 
-    matched = docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id)).select("node", "text")
+    # most documents are no candidates: their texts are not shuffled
+    wanted = maybe_in(ids.select(F.xxhash64("doc_id")))
+    some = docs.where(wanted(F.xxhash64("doc_id")))
+    matched = some.join(ids, some.doc_id.eqNullSafe(ids.doc_id)).select("node", "text")
     return matched.mapInArrow(check, "node binary, text string, n bigint").dropDuplicates(["node"])

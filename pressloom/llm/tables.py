@@ -2,16 +2,43 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.session import shared_dir, ship_package
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder that holds all tables `stored` within the block, so that they can be given up together (`emptied`)."""
+    _scopes.append(shared_dir(spark, name))
+    try:
+        yield _scopes[-1]
+    finally:
+        _scopes.pop()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the scope, or else below `spark.checkpoint.dir`."""
+    return os.path.join(_scopes[-1], f"{name}-{uuid.uuid4().hex}") if _scopes else shared_dir(spark, name)
+
+
+def emptied(spark: SparkSession, folder: str) -> None:
+    """Give up all tables in a folder: an empty one is written over it, on whatever file system it is."""
+    spark.range(0).coalesce(1).write.mode("overwrite").parquet(folder)
+
 
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write `df` to a new folder below `spark.checkpoint.dir` and read it: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = shared_dir(spark, name)
+    path = new_folder(spark, name)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

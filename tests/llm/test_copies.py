@@ -213,3 +213,15 @@ def test_queries_on_the_tables(spark):
     want = {i: (n, sum(b - a for a, b in s), len(s), hashlib.sha256(k).hexdigest()) for (i, _), (n, s, k) in zip(rows, repeats(texts, 400), strict=True)}
     out = QUERIES["op6_repeated_strings"](spark, SF_DIR).collect()
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out} == want
+
+
+def test_own_columns_survive(spark, documents):
+    """Columns with the names that the operators use inside stay as they are."""
+    from pyspark.sql import functions as F
+
+    names = ["_id", "_hash", "_open", "__id", "__hash", "__key", "_key", "id", "text_hash", "label"]
+    df = documents.select("doc_id", "text", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    out = without_duplicates(df)
+    assert out.columns == df.columns
+    rows = out.collect()
+    assert rows and all(r[n] == (None if r["doc_id"] is None else f"{n}{r['doc_id']}") for r in rows for n in names)
