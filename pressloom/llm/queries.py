@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from pressloom.session import shared_dir
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-TOKENIZER = os.environ.get("PRESSLOOM_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
+TOKENIZER = os.environ.get("PRESSLOOM_TOKENIZER") or public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(name: str, sql: str | None = None):
