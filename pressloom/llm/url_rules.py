@@ -61,8 +61,9 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, min_support: float = 0.0005, min_confidence: float = 0.4) -> DataFrame:
-    """Stored rules (rule_id, items, confidence, support) from rows (url, bad): URLs with all items are mostly bad.
+def mine(labelled: DataFrame, min_support: float = 0.0005, min_confidence: float = 0.6, min_bad: int = 5) -> DataFrame:
+    """Stored rules (rule_id, items, confidence, support) from rows (url, bad): URLs with all items are mostly bad, by a
+    confidence of more than one half, and no rule rests on fewer than `min_bad` bad URLs, whatever the support is.
 
     FP-growth runs on all frequent tokens of each labelled URL, with the numbers of good and of bad URLs. An item that spares
     no good URL is not added to a rule: the rule without it has no less confidence, whatever else is added. Rules of which a
@@ -77,7 +78,7 @@ def mine(labelled: DataFrame, min_support: float = 0.0005, min_confidence: float
     total = rows.count()
     if total == 0:
         return spark.createDataFrame([], RULE_SCHEMA)
-    least = max(1, math.ceil(min_support * total))
+    least = max(min_bad, 1, math.ceil(min_support * total))
     counts = seen.groupBy("item").agg(F.count("*").alias("n"), F.sum("bad").alias("n_bad")).where(F.col("n_bad") >= least)
     # the most frequent item comes first
     frequent = stored(counts.orderBy(F.desc("n"), "item").select("item", F.monotonically_increasing_id().alias("rank")), "items")

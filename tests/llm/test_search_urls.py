@@ -141,7 +141,7 @@ def test_mined_rules(spark):
         rows.append((f"http://{name}.example.org/{'/'.join(words)}/{i}", name == "bad" and "win" in words or "pills" in words and "cheap" in words))
     rows += [(rows[0][0], rows[0][1])] * 5 + [(None, True), (rows[1][0], None)]
     df = spark.createDataFrame(rows, "url string, bad boolean")
-    rules = url_rules.mine(df, min_support=0.01, min_confidence=0.9)
+    rules = url_rules.mine(df, min_support=0.01, min_confidence=0.9, min_bad=1)
     tokens = {r["url"]: set(r["t"]) for r in df.where("url IS NOT NULL").select("url", url_rules.tokens(F.col("url")).alias("t")).collect()}
     labelled = [(tokens[u], bad) for u, bad in rows if u is not None and bad is not None]
     # brute force: all combinations of frequent tokens
@@ -174,7 +174,7 @@ def test_mined_rules_of_long_urls(spark, monkeypatch):
         bad = ("aa" in own and "bb" not in own) or ("cc" not in own and "dd" in own)
         rows.append((f"http://{rng.choice(['x', 'y'])}.z/{'/'.join(own)}", bad))
     df = spark.createDataFrame(rows, "url string, bad boolean").repartition(3)
-    rules = url_rules.mine(df, min_support=0.05, min_confidence=0.6)
+    rules = url_rules.mine(df, min_support=0.05, min_confidence=0.6, min_bad=1)
     tokens = {r["url"]: r["t"] for r in df.select("url", url_rules.tokens(F.col("url")).alias("t")).collect()}
     assert min(map(len, tokens.values())) > 12
     names = sorted({t for own in tokens.values() for t in own})
@@ -198,3 +198,11 @@ def test_mined_rules_of_long_urls(spark, monkeypatch):
     got = {tuple(r["items"]): (r["confidence"], r["support"]) for r in rules.collect()}
     assert got.keys() == want.keys() and any(len(k) > 1 for k in want)
     assert all(abs(a - b) < 1e-9 for k in want for a, b in zip(got[k], want[k], strict=True))
+
+
+def test_no_rule_rests_on_a_few_pages(spark):
+    """Four bad pages of one host are too few, five are enough; a host with as many good ones has no rule."""
+    rows = [(f"http://four.org/a{i}", True) for i in range(4)] + [(f"http://five.org/b{i}", True) for i in range(5)]
+    rows += [(f"http://half.org/c{i}", i % 2 == 0) for i in range(40)] + [(f"http://good.org/d{i}", False) for i in range(40)]
+    rules = url_rules.mine(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    assert rules and all(any("five.org" in x or x == "l:five" for x in r["items"]) and r["confidence"] == 1.0 for r in rules)
