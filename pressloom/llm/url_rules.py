@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from itertools import islice
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.fpm import FPGrowth
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.llm.tables import ready, stored, tasks
+from pressloom.operators.duplicates import free_name
 
 #: a rule with more items is compared with its parts by an inverted index; it decides the work only
 NAMED_ITEMS = 8
+#: the item that stands for the label; tokens have a mark of their part before them
+BAD = "bad"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULE_SCHEMA = "rule_id bigint, items array<string>, confidence double, support double"
 
@@ -65,98 +66,64 @@ def mine(labelled: DataFrame, min_support: float = 0.0005, min_confidence: float
     """Stored rules (rule_id, items, confidence, support) from rows (url, bad): URLs with all items are mostly bad, by a
     confidence of more than one half, and no rule rests on fewer than `min_bad` bad URLs, whatever the support is.
 
-    FP-growth runs on all frequent tokens of each labelled URL, with the numbers of good and of bad URLs. An item that spares
-    no good URL is not added to a rule: the rule without it has no less confidence, whatever else is added. Rules of which a
-    part is a rule with no less confidence are left out, so this loses none and needs no bound on a URL's tokens or a rule's
-    items. Null URLs and labels take no part; without rows there are no rules.
+    Spark's FP-growth runs on the labelled URLs, each with the tokens that are frequent among bad ones and its label as one
+    more item. A set that is frequent with the label is frequent without it, so both numbers of a rule are the miner's. Tokens
+    that stand in the same URLs are mined as one and told apart afterwards: repeated templates, however long, are one item.
+    Rules of which a part is a rule with no less confidence are left out. Nothing bounds a URL's tokens or a rule's items. Null
+    URLs and labels take no part; without rows there are no rules.
     """
     spark = labelled.sparkSession
     ready(spark)
     rows = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select(tokens(F.col("url")).alias("items"), F.col("bad").cast("bigint").alias("bad"))
     rows = stored(rows.withColumn("id", F.monotonically_increasing_id()), "labelled-urls")
-    seen = rows.select("id", "bad", F.explode("items").alias("item"))
     total = rows.count()
-    if total == 0:
-        return spark.createDataFrame([], RULE_SCHEMA)
     least = max(min_bad, 1, math.ceil(min_support * total))
-    counts = seen.groupBy("item").agg(F.count("*").alias("n"), F.sum("bad").alias("n_bad")).where(F.col("n_bad") >= least)
-    # the most frequent item comes first
-    frequent = stored(counts.orderBy(F.desc("n"), "item").select("item", F.monotonically_increasing_id().alias("rank")), "items")
-    ranked = seen.join(frequent, "item").groupBy("id").agg(F.first("bad").alias("bad"), F.sort_array(F.collect_list("rank")).alias("ranks"))
-    basket = ranked.groupBy("ranks").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
-    # the paths of the items that come before each item, as in the tree of all URLs
-    last = basket.select("n", "bad", "ranks", F.posexplode("ranks").alias("at", "last"))
-    paths = last.groupBy("last", F.expr("slice(ranks, 1, at)").alias("path")).agg(F.sum(F.col("n") - F.col("bad")).alias("good"), F.sum("bad").alias("bad"))
-    paths = paths.repartition(tasks(spark), "last").sortWithinPartitions("last")
-
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, tree = None, None
-        for batch in batches:
-            for item, path, good, bad in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if item != now:
-                    if tree is not None:
-                        yield from _batches(tree.rules([now], least, min_confidence))
-                    now, tree = item, PathTree()
-                tree.add(path, good, bad)
-        if tree is not None:
-            yield from _batches(tree.rules([now], least, min_confidence))
-
-    found = paths.select("last", "path", "good", "bad").mapInArrow(grow, "ranks array<bigint>, good bigint, bad bigint")
-    found = stored(found.withColumn("rule", F.monotonically_increasing_id()), "rules-of-ranks")
-    named = found.select("rule", "good", "bad", F.explode("ranks").alias("rank")).join(frequent, "rank")
-    named = named.groupBy("rule").agg(F.array_sort(F.collect_list("item")).alias("items"), F.first("bad").alias("bad"), F.first("good").alias("good"))
-    found = named.select("items", (F.col("bad") / (F.col("good") + F.col("bad"))).alias("confidence"), (F.col("bad") / F.lit(total)).alias("support"))
-    found = stored(found, "rules-found")
-    pruned = found.join(_worse_than_a_part(found), "items", "left_anti")
-    return stored(pruned.select(F.xxhash64("items").alias("rule_id"), "items", "confidence", "support"), "rules")
-
-
-class PathTree:
-    """An FP-tree of the URLs that hold some items: the paths of their other items, with numbers of good and bad URLs."""
-
-    def __init__(self) -> None:
-        self.good = self.bad = 0
-        self.next: dict[tuple[int, int], int] = {}
-        self.nodes: list[list[int]] = [[-1, -1, 0, 0]]  # parent, item, good, bad
-        self.places: dict[int, list[int]] = {}
-
-    def add(self, path: list[int], good: int, bad: int) -> None:
-        self.good += good
-        self.bad += bad
-        at = 0
-        for item in path:
-            to = self.next.get((at, item))
-            if to is None:
-                to = self.next[at, item] = len(self.nodes)
-                self.nodes.append([at, item, 0, 0])
-                self.places.setdefault(item, []).append(to)
-            at = to
-            self.nodes[at][2] += good
-            self.nodes[at][3] += bad
-
-    def rules(self, items: list[int], least: int, min_confidence: float) -> Iterator[tuple[list[int], int, int]]:
-        """(items, good, bad) of the rules that hold `items` and others of the tree."""
-        if self.bad / (self.good + self.bad) >= min_confidence:
-            yield items, self.good, self.bad
-        sums = {x: [sum(self.nodes[k][c] for k in places) for c in (2, 3)] for x, places in self.places.items()}
-        useful = {x for x, (good, bad) in sums.items() if bad >= least and good < self.good}
-        for item in useful:
-            part = PathTree()
-            for k in self.places[item]:
-                at, _, good, bad = self.nodes[k]
-                path = []
-                while at:
-                    at, other = self.nodes[at][0], self.nodes[at][1]
-                    if other in useful:
-                        path.append(other)
-                part.add(path[::-1], good, bad)
-            yield from part.rules([*items, item], least, min_confidence)
-
-
-def _batches(rules: Iterator[tuple[list[int], int, int]], rows: int = 4096) -> Iterator[pa.RecordBatch]:
-    while some := list(islice(rules, rows)):
-        ranks, good, bad = zip(*some, strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(ranks, pa.list_(pa.int64())), pa.array(good, pa.int64()), pa.array(bad, pa.int64())], names=["ranks", "good", "bad"])
+    seen = rows.select("id", "bad", F.explode("items").alias("item"))
+    # the URLs of a token, as their number and 128 bits of their ids
+    urls = (F.count("*").alias("n"), F.sum("bad").alias("n_bad"), *[F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"urls_{k}") for k in (0, 1)])
+    counts = seen.groupBy("item").agg(*urls).where(F.col("n_bad") >= least)
+    alike = Window.partitionBy("n", "n_bad", "urls_0", "urls_1")
+    frequent = stored(counts.select("item", F.min("item").over(alike).alias("name")), "items")
+    named = seen.join(frequent.where("item = name"), "item")
+    baskets = named.groupBy("id").agg(F.collect_list("item").alias("items"), F.max("bad").alias("bad"))
+    baskets = stored(baskets.select(F.when(F.col("bad") == 1, F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")), "baskets")
+    mined = baskets.count()
+    if mined == 0:
+        return spark.createDataFrame([], RULE_SCHEMA)
+    miner = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / mined, numPartitions=tasks(spark))
+    sets = stored(miner.fit(baskets).freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "frequent-sets")
+    is_bad = F.array_contains("items", BAD)
+    with_label = sets.where(is_bad & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("items"), F.col("freq").alias("bad"))
+    found = sets.where(~is_bad).join(with_label, "items")
+    found = found.select("items", (F.col("bad") / F.col("freq")).alias("confidence"), (F.col("bad") / F.lit(total)).alias("support"))
+    found = _better_than_with_one_less(stored(found, "sets-with-bad"), min_confidence)
+    rules = found.join(_worse_than_a_part(found), "items", "left_anti")
+    rules = _by_all_names(rules, frequent)
+    return stored(rules.select(F.xxhash64("items").alias("rule_id"), "items", "confidence", "support"), "rules")
+
+
+def _better_than_with_one_less(sets: DataFrame, min_confidence: float) -> DataFrame:
+    """Stored sets with enough confidence, and more than with any one of their items left out. All parts of a set are sets.
+
+    A rule that is left out here has a part with no less confidence, and so, going on from part to part, one that stays.
+    """
+    rules = sets.where(F.col("confidence") >= min_confidence)
+    less = rules.where(F.size("items") > 1).select("items", "confidence", F.explode("items").alias("item"))
+    less = less.select("items", "confidence", F.array_remove("items", F.col("item")).alias("part"))
+    parts = rules.select(F.col("items").alias("part"), F.col("confidence").alias("at_least"))
+    worse = less.join(parts, "part").where("at_least >= confidence").select("items").distinct()
+    return stored(rules.join(worse, "items", "left_anti"), "rules-found")
+
+
+def _by_all_names(rules: DataFrame, frequent: DataFrame) -> DataFrame:
+    """A rule for each choice among the tokens that its items stand for."""
+    names = frequent.groupBy("name").agg(F.array_sort(F.collect_list("item")).alias("tokens"))
+    choice = rules.withColumn("name", F.explode("items")).join(names, "name")
+    choice = choice.groupBy("items").agg(F.first("confidence").alias("confidence"), F.first("support").alias("support"), F.collect_list("tokens").alias("choices"))
+    empty = F.array(F.array().cast("array<string>"))
+    one_more = lambda sets, ts: F.flatten(F.transform(sets, lambda s: F.transform(ts, lambda t: F.array_append(s, t))))
+    chosen = choice.select(F.explode(F.aggregate("choices", empty, one_more)).alias("items"), "confidence", "support")
+    return chosen.withColumn("items", F.array_sort("items"))
 
 
 def _worse_than_a_part(found: DataFrame) -> DataFrame:
@@ -196,9 +163,10 @@ def judge(pages: DataFrame, fixed: list[tuple[str, str]], rules: DataFrame, url:
     URL or one without `://` has an empty host and path and is allowed. Columns named like the new ones are replaced.
     """
     ready(pages.sparkSession)
-    kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    named = pages.select(*kept, F.col(f"`{url}`").alias("__url"), host(F.col(f"`{url}`")).alias("host"), path(F.col(f"`{url}`")).alias("path"))
+    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    kept, text, hit = [F.col(f"`{c}`") for c in own], free_name(pages, "_url"), free_name(pages, "_hit")
+    named = pages.select(*kept, F.col(f"`{url}`").alias(text), host(F.col(f"`{url}`")).alias("host"), path(F.col(f"`{url}`")).alias("path"))
     rule, verdict = fixed_rule(F.col("host"), F.col("path"), fixed)
-    blocked = match(named.select(F.col("__url").alias("url")), rules).select(F.col("url").alias("__url")).distinct().withColumn("__hit", F.lit(True))
-    mined = F.when(F.col("__hit"), "block").otherwise("allow")
-    return named.join(blocked, "__url", "left").select(*kept, "host", "path", rule.alias("rule"), F.coalesce(verdict, mined).alias("verdict"))
+    blocked = match(named.select(F.col(text).alias("url")), rules).select(F.col("url").alias(text)).distinct().withColumn(hit, F.lit(True))
+    mined = F.when(F.col(hit), "block").otherwise("allow")
+    return named.join(blocked, text, "left").select(*kept, "host", "path", rule.alias("rule"), F.coalesce(verdict, mined).alias("verdict"))
