@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType
 from pressloom.llm import pretokens
 from pressloom.llm.tables import ready
 from pressloom.llm.textbytes import slices
+from pressloom.operators.duplicates import free_name
 
 
 def token_counts(documents: DataFrame, tokenizer: str, text: str = "text", limit: int | None = None) -> DataFrame:
@@ -41,7 +42,7 @@ def token_counts(documents: DataFrame, tokenizer: str, text: str = "text", limit
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], "n_bytes", "n_tokens"])
 
     keep = [F.col(f"`{c}`") for c in kept]
-    rows = documents.select(*keep, F.col(f"`{text}`").alias("__text"))
+    rows = documents.select(*keep, F.col(f"`{text}`").alias(free_name(documents, "_text")))
     out_schema = documents.select(*keep).schema.add("n_bytes", LongType()).add("n_tokens", LongType())
     out = rows.mapInArrow(count, out_schema)
     if limit is not None:
