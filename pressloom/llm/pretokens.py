@@ -1,15 +1,16 @@
 """Byte-level BPE in two tiers: a compact table of frequent pre-tokens, then a cache in each worker.
 
 A pre-token is a piece that the tokenizer never merges across: a contraction, a run of letters, digits or other marks
-with the space before it, or white space. Cutting them is done on byte classes for whole slices of texts. A text that the
-byte classes do not describe (special strings, control separators, letters beyond Latin-1) goes to the library itself.
+with the space before it, or white space. Cutting them is done on the characters' classes for whole slices of texts, of any
+script; the class of a character beyond ASCII is what the library's own cut says of it. Only a text with a special string or
+with one of four control separators goes to the library itself.
 """
 
 from __future__ import annotations
 
 import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,31 +35,69 @@ SAMPLE_ROWS = 4096
 TABLE_SIZE = 1 << 17
 #: entries that a worker keeps before it starts its cache anew
 CACHE_SIZE = 1 << 18
-
-
-def classify(data: np.ndarray, bounds: np.ndarray, special: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each byte, rows that must go to the library)."""
-    kind = _CLASS[data]
-    lead = np.flatnonzero(data[:-1] == 0xC3)
-    tail = data[lead + 1]
-    letters = lead[(tail >= 0x80) & (tail != 0x97) & (tail != 0xB7)]
-    kind[letters] = LETTER
-    kind[letters + 1] = LETTER
-    odd = np.flatnonzero(kind == ODD)
+#: a longer pre-token (a long run of letters of a script without spaces) is in neither, and is encoded each time it comes
+PIECE_BYTES = 256
+
+
+def heads_and_classes(data: np.ndarray, class_of: "Classes") -> tuple[np.ndarray, np.ndarray]:
+    """(first byte's place, class) of each character of a slice."""
+    heads = np.flatnonzero((data & 0xC0) != 0x80)
+    kind = _CLASS[data[heads]]
+    wide = np.flatnonzero(data[heads] >= 0x80)
+    if len(wide):
+        at = heads[wide]
+        size = np.diff(heads, append=len(data))[wide]
+        # UTF-8: the lead byte's last bits, then six of each byte that follows
+        code = data[at].astype(np.int32) & (0x7F >> size.astype(np.int32))
+        for k in range(1, 4):
+            more = np.flatnonzero(size > k)
+            code[more] = code[more] << 6 | (data[at[more] + k] & 0x3F)
+        kind[wide] = class_of(code)
+    return heads, kind
+
+
+class Classes:
+    """The class of characters beyond ASCII, asked of the library's own cut once for each character that comes up."""
+
+    def __init__(self, cut: Callable[[str], list]) -> None:
+        self.cut = cut
+        self.known = np.full(0x110000, 255, np.uint8)
+
+    def __call__(self, code: np.ndarray) -> np.ndarray:
+        new = np.unique(code[self.known[code] == 255])
+        for c in new.tolist():
+            self.known[c] = self._ask(chr(c))
+        return self.known[code]
+
+    def _ask(self, char: str) -> int:
+        """A character is cut off what stands before it unless that is of its class."""
+        for before, kind in (("a", LETTER), ("1", DIGIT), ("!", OTHER)):
+            if len(self.cut(before + char)) == 1:
+                return kind
+        return BLANK
+
+
+def cut_texts(data: np.ndarray, bounds: np.ndarray, bpe: "Bpe") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, bounds of each row's pre-tokens, rows that must go to the library and have none)."""
+    heads, kind = heads_and_classes(data, bpe.classes)
+    found = [heads[kind == ODD]]
     raw = data.tobytes()
-    found = [odd]
-    for s in special:
+    for s in bpe.special:
         at, places = raw.find(s), []
         while at >= 0:
             places.append(at)
             at = raw.find(s, at + 1)
         found.append(np.array(places, np.int64))
-    rows = np.unique(np.searchsorted(bounds, np.concatenate(found), side="right") - 1)
-    return kind, rows
+    odd = np.unique(np.searchsorted(bounds, np.concatenate(found), side="right") - 1)
+    starts, _, row_bounds = cut(data[heads], np.searchsorted(heads, bounds), kind)
+    starts = heads[starts]
+    ends = np.append(starts[1:], len(data)) if len(starts) else starts
+    return *_without(starts, ends, row_bounds, odd), odd
 
 
 def cut(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pre-tokens of a slice: (starts, ends, bounds of each row's pre-tokens)."""
+    """Pre-tokens of a slice, given the first byte and the class of each character, and the rows' bounds, all in characters:
+    (starts, ends, bounds of each row's pre-tokens)."""
     n = len(data)
     first = np.zeros(n + 1, bool)
     first[bounds] = True
@@ -113,21 +152,25 @@ class Bpe:
 
         self._pieces = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
         self._library = None
+        self.classes = Classes(lambda text: self.library().pre_tokenizer.pre_tokenize_str(text))
         self.size = len(spec["model"]["vocab"])
 
     def piece(self, piece: bytes) -> list[int]:
         """Token ids of one pre-token."""
         return self._pieces.encode_ordinary(piece.decode())
 
-    def texts(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of whole texts by the library."""
+    def library(self):
         if self._library is None:
             from tokenizers import Tokenizer
 
             self._library = Tokenizer.from_str(self.source)
             self._library.no_truncation()
             self._library.no_padding()
-        return [e.ids for e in self._library.encode_batch(texts, add_special_tokens=False)]
+        return self._library
+
+    def texts(self, texts: list[str]) -> list[list[int]]:
+        """Token ids of whole texts by the library."""
+        return [e.ids for e in self.library().encode_batch(texts, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
@@ -183,7 +226,10 @@ class Encoder:
         for key, at in zip(unique.tolist(), where.tolist(), strict=True):
             row = get(key)
             if row is None:
-                row = self.cache[key] = array("I", self.bpe.piece(data[starts[at] : ends[at]].tobytes())).tobytes()
+                piece = data[starts[at] : ends[at]].tobytes()
+                row = array("I", self.bpe.piece(piece)).tobytes()
+                if len(piece) <= PIECE_BYTES:
+                    self.cache[key] = row
             rows.append(row)
         return rows, np.fromiter(map(len, rows), np.int64, len(rows)) // 4, inverse
 
@@ -194,9 +240,7 @@ class Encoder:
         """Tokens of each row."""
         if not len(data):
             return np.zeros(len(bounds) - 1, np.int64)
-        kind, odd = classify(data, bounds, self.bpe.special)
-        starts, ends, row_bounds = cut(data, bounds, kind)
-        starts, ends, row_bounds = _without(starts, ends, row_bounds, odd)
+        starts, ends, row_bounds, odd = cut_texts(data, bounds, self.bpe)
         keys = Spans(data).of(starts, ends)
         slot = self.table.find(keys)
         size = self.table.count[slot].astype(np.int64)
@@ -214,9 +258,7 @@ class Encoder:
         """(token ids of all rows one after the other, bounds of each row's ids)."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
-        kind, odd = classify(data, bounds, self.bpe.special)
-        starts, ends, row_bounds = cut(data, bounds, kind)
-        starts, ends, row_bounds = _without(starts, ends, row_bounds, odd)
+        starts, ends, row_bounds, odd = cut_texts(data, bounds, self.bpe)
         keys = Spans(data).of(starts, ends)
         slot = self.table.find(keys)
         begin, size, pool = self.table.begin[slot], self.table.count[slot].astype(np.int64), self.table.ids
@@ -250,16 +292,14 @@ def _without(starts, ends, row_bounds, rows):
 
 def frequent(documents: DataFrame, text: str, source: str, sample_rows: int = SAMPLE_ROWS, size: int = TABLE_SIZE) -> HashTable:
     """The table of the `size` most frequent pre-tokens in a sample of about `sample_rows` texts."""
-    special = load(source).special
-
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, bounds in slices(batch.column(0)):
                 if not len(data):
                     continue
-                kind, odd = classify(data, bounds, special)
-                starts, ends, row_bounds = cut(data, bounds, kind)
-                starts, ends, _ = _without(starts, ends, row_bounds, odd)
+                starts, ends, _, _ = cut_texts(data, bounds, load(source))
+                short = ends - starts <= PIECE_BYTES
+                starts, ends = starts[short], ends[short]
                 keys = Spans(data).of(starts, ends)
                 unique, where, count = np.unique(keys, return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_pydict(

@@ -38,8 +38,8 @@ def test_pieces_are_the_library_s(tokenizer):
 
 
 def test_every_character_is_classed_as_the_library_does(tokenizer):
-    """Letters in the Latin-1 range, and no other character beyond ASCII, are cut here; each stands between letters."""
-    chars = [chr(c) for c in range(0x2FF)]
+    """Each stands between letters, after a space and beside itself."""
+    chars = [chr(c) for c in (*range(0x3000), *range(0x3000, 0xD800, 7), *range(0xE000, 0x11000, 7), *range(0x1D000, 0x1FB00, 3), 0x10FFFF)]
     texts = [f"a{c}b {c}{c}1{c}" for c in chars]
     library = Tokenizer.from_file(tokenizer)
     encoder = pretokens.Encoder(pretokens.load(open(tokenizer).read()), pretokens.HashTable(np.zeros(0, np.uint64), []), {})
@@ -49,6 +49,27 @@ def test_every_character_is_classed_as_the_library_does(tokenizer):
             assert ids[at[i - first] : at[i - first + 1]].tolist() == library.encode(texts[i], add_special_tokens=False).ids, repr(texts[i])
 
 
+def test_few_texts_go_to_the_library(tokenizer, monkeypatch):
+    """Mixed scripts, marks, curly quotes, wide spaces and emoji are cut here; special strings and separators are not."""
+    parts = ["Привет", "мир", "数据", "处理", "データ", " ", "\u3000", "\xa0", "\u2028", "“", "”", "—", "€", "’s", "'s", "e\u0301", "हिन्दी", "١٢", "Ⅷ", "²", "🙂", "👩\u200d🔬", "a", "7", ".", "\n", "  "]
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(4000)] + ["数据处理" * 500, "", "a<|endoftext|>数", "a\x1c数"]
+    want = [e.ids for e in Tokenizer.from_file(tokenizer).encode_batch(texts, add_special_tokens=False)]
+    bpe = pretokens.Bpe(open(tokenizer).read())
+    encoder = pretokens.Encoder(bpe, pretokens.HashTable(np.zeros(0, np.uint64), []), {})
+    sent = []
+    whole = bpe.texts
+    monkeypatch.setattr(bpe, "texts", lambda some: sent.extend(some) or whole(some))
+    for first, stop, data, bounds in slices(pa.array(texts), 8192):
+        ids, at = encoder.ids(data, bounds)
+        counts = encoder.counts(data, bounds)
+        for i in range(first, stop):
+            assert ids[at[i - first] : at[i - first + 1]].tolist() == want[i], repr(texts[i])
+            assert counts[i - first] == len(want[i])
+    assert set(sent) == set(texts[-2:])
+    assert max(len(ids) for ids in encoder.cache.values()) <= 4 * pretokens.PIECE_BYTES
+
+
 def test_counts(spark, documents, nothing, tokenizer):
     library = Tokenizer.from_file(tokenizer)
     out = token_counts(documents, tokenizer, limit=1024)
