@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.llm.tables import ready, stored
+from pressloom.operators.duplicates import free_name
 
 LEVELS = ("domain", "lang", "source")
 NONE = "(none)"
@@ -140,16 +141,17 @@ def mix(
     """
     ready(documents.sparkSession)
     tokens = word_tokens() if tokens is None else tokens
-    own = {f"__{x}": F.coalesce(F.col(f"`{c}`").cast("string") if isinstance(c, str) else c, F.lit(NONE)) for x, c in zip(LEVELS, (domain, lang, source), strict=True)}
-    placed = documents.withColumns({**own, "__tokens": F.coalesce(tokens, F.lit(0)).cast("bigint"), "__id": F.col(f"`{doc_id}`")})
-    narrow = stored(placed.select(F.col("__id").alias("doc_id"), *[F.col(f"__{x}").alias(x) for x in LEVELS], F.col("__tokens").alias("tokens")), "supply")
+    # the operator's own columns have names that the input lacks
+    name = {x: free_name(documents, f"_{x}") for x in (*LEVELS, "tokens", "id", "epochs", "cut", "copies")}
+    own = {name[x]: F.coalesce(F.col(f"`{c}`").cast("string") if isinstance(c, str) else c, F.lit(NONE)) for x, c in zip(LEVELS, (domain, lang, source), strict=True)}
+    placed = documents.withColumns({**own, name["tokens"]: F.coalesce(tokens, F.lit(0)).cast("bigint"), name["id"]: F.col(f"`{doc_id}`")})
+    narrow = stored(placed.select(F.col(name["id"]).alias("doc_id"), *[F.col(name[x]).alias(x) for x in LEVELS], F.col(name["tokens"]).alias("tokens")), "supply")
     chosen = plan(narrow, weights, budget, share, max_epochs, seed, default)
-    chosen = chosen.select(*[F.col(x).alias(f"__{x}") for x in LEVELS], F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut"))
+    chosen = chosen.select(*[F.col(x).alias(name[x]) for x in LEVELS], F.col("epochs").alias(name["epochs"]), F.col("cut").alias(name["cut"]))
     # the plan is read from files, so its size is known: it is broadcast if it is small and joined by a shuffle if not
-    joined = placed.join(chosen, [f"__{x}" for x in LEVELS])
-    again = F.coalesce(order_key(seed, "__epochs", "__id") <= F.col("__cut"), F.lit(False)).cast("bigint")
-    taken = joined.withColumn("__copies", F.col("__epochs") + again).where("__copies > 0")
+    joined = placed.join(chosen, [name[x] for x in LEVELS])
+    again = F.coalesce(order_key(seed, name["epochs"], name["id"]) <= F.col(name["cut"]), F.lit(False)).cast("bigint")
+    taken = joined.withColumn(name["copies"], F.col(name["epochs"]) + again).where(F.col(name["copies"]) > 0)
     kept = [F.col(f"`{c}`") for c in documents.columns if c not in ("domain", "n_tokens", "epoch")]
-    return taken.select(
-        *kept, F.col("__domain").alias("domain"), F.col("__tokens").alias("n_tokens"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__copies") - 1)).alias("epoch")
-    )
+    epoch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(name["copies"]) - 1)).alias("epoch")
+    return taken.select(*kept, F.col(name["domain"]).alias("domain"), F.col(name["tokens"]).alias("n_tokens"), epoch)

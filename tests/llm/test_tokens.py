@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from conftest import SF_DIR
-from pressloom.llm import pretokens
+from pressloom.llm import pretokens, token_output
 from pressloom.llm.textbytes import slices
 from pressloom.llm.token_counts import token_counts
 from pressloom.llm.token_output import permute, read_layout, read_slots, write_training_order
@@ -124,6 +124,22 @@ def test_shards_round_trip(spark, documents, tokenizer, tmp_path):
     assert {(r["slot"], r["doc_id"], r["chunk"]) for r in read_slots(spark, again).collect()} == {(r["slot"], r["doc_id"], r["chunk"]) for r in rows}
 
 
+def test_places_joined_by_a_shuffle(spark, documents, tokenizer, tmp_path, monkeypatch):
+    """The plan of a table whose places are too many to be sent to all tasks writes the same records."""
+    sent, joined = str(tmp_path / "sent"), str(tmp_path / "joined")
+    write_training_order(documents, sent, tokenizer, sequence_length=64, shard_records=100, key=5)
+    monkeypatch.setattr(token_output, "BROADCAST_BYTES", 0)
+    automatic = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        write_training_order(documents, joined, tokenizer, sequence_length=64, shard_records=100, key=5)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", automatic)
+    assert read_layout(spark, sent) == read_layout(spark, joined)
+    rows = [read_slots(spark, path).orderBy("slot").collect() for path in (sent, joined)]
+    assert rows[0] == rows[1]
+
+
 def test_no_rows(spark, nothing, tokenizer, tmp_path):
     layout = write_training_order(nothing, str(tmp_path / "none"), tokenizer)
     assert layout.sequences == 0 and read_slots(spark, str(tmp_path / "none")).count() == 0
