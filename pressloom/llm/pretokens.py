@@ -39,21 +39,24 @@ CACHE_SIZE = 1 << 18
 PIECE_BYTES = 256
 
 
-def heads_and_classes(data: np.ndarray, class_of: "Classes") -> tuple[np.ndarray, np.ndarray]:
-    """(first byte's place, class) of each character of a slice."""
-    heads = np.flatnonzero((data & 0xC0) != 0x80)
-    kind = _CLASS[data[heads]]
-    wide = np.flatnonzero(data[heads] >= 0x80)
-    if len(wide):
-        at = heads[wide]
-        size = np.diff(heads, append=len(data))[wide]
-        # UTF-8: the lead byte's last bits, then six of each byte that follows
-        code = data[at].astype(np.int32) & (0x7F >> size.astype(np.int32))
-        for k in range(1, 4):
-            more = np.flatnonzero(size > k)
-            code[more] = code[more] << 6 | (data[at[more] + k] & 0x3F)
-        kind[wide] = class_of(code)
-    return heads, kind
+def classify(data: np.ndarray, class_of: "Classes") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class of each byte, that of its character; first and last byte of each white space of several bytes)."""
+    kind = _CLASS[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    byte = data[lead]
+    size = 2 + (byte >= 0xE0).astype(np.int64) + (byte >= 0xF0)
+    # UTF-8: the lead byte's last bits, then six of each byte that follows
+    code = byte.astype(np.int32) & (0x7F >> size)
+    for k in range(1, 4):
+        more = slice(None) if k == 1 else np.flatnonzero(size > k)
+        code[more] = code[more] << 6 | (data[lead[more] + k] & 0x3F)
+    own = class_of(code)
+    kind[lead] = own
+    for k in range(1, 4):
+        more = slice(None) if k == 1 else np.flatnonzero(size > k)
+        kind[lead[more] + k] = own[more]
+    blank = own == BLANK
+    return kind, lead[blank], (lead + size)[blank] - 1
 
 
 class Classes:
@@ -79,8 +82,8 @@ class Classes:
 
 def cut_texts(data: np.ndarray, bounds: np.ndarray, bpe: "Bpe") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, bounds of each row's pre-tokens, rows that must go to the library and have none)."""
-    heads, kind = heads_and_classes(data, bpe.classes)
-    found = [heads[kind == ODD]]
+    kind, wide, wide_last = classify(data, bpe.classes)
+    found = [np.flatnonzero(kind == ODD)]
     raw = data.tobytes()
     for s in bpe.special:
         at, places = raw.find(s), []
@@ -89,15 +92,11 @@ def cut_texts(data: np.ndarray, bounds: np.ndarray, bpe: "Bpe") -> tuple[np.ndar
             at = raw.find(s, at + 1)
         found.append(np.array(places, np.int64))
     odd = np.unique(np.searchsorted(bounds, np.concatenate(found), side="right") - 1)
-    starts, _, row_bounds = cut(data[heads], np.searchsorted(heads, bounds), kind)
-    starts = heads[starts]
-    ends = np.append(starts[1:], len(data)) if len(starts) else starts
-    return *_without(starts, ends, row_bounds, odd), odd
+    return *_without(*cut(data, bounds, kind, wide, wide_last), odd), odd
 
 
-def cut(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pre-tokens of a slice, given the first byte and the class of each character, and the rows' bounds, all in characters:
-    (starts, ends, bounds of each row's pre-tokens)."""
+def cut(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray, wide: np.ndarray, wide_last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pre-tokens of a slice: (starts, ends, bounds of each row's pre-tokens)."""
     n = len(data)
     first = np.zeros(n + 1, bool)
     first[bounds] = True
@@ -110,6 +109,9 @@ def cut(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> tuple[np.ndar
     text_next[first[1:]] = False
     after_blank = (before == SPACE) | (before == BLANK)
     start = np.where(blank, ~after_blank | text_next, (kind != before) & (before != SPACE))
+    # the last white space before a text is a piece of its own: it starts at its first byte
+    start[wide] |= text_next[wide_last]
+    start[wide + 1] = start[wide_last] = False
     _contractions(data, kind, before, first, start)
     starts = np.flatnonzero(start)
     row_bounds = np.searchsorted(starts, bounds)
