@@ -13,6 +13,7 @@ from pressloom.llm import mixture
 from pressloom.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from pressloom.llm.manifest import MANIFEST_SQL, manifest, verified
 from pressloom.llm.mixing import mix
+from pressloom.llm.oracles import DECONTAMINATION_SQL, NEAR_DUPLICATES_SQL, REPEATED_STRINGS_SQL
 from pressloom.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,14 +53,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER, limit=1024)
 
 
-@query("op3_minmax_near_duplicates")
+@query("op3_minmax_near_duplicates", NEAR_DUPLICATES_SQL)
 def op3_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pressloom.llm.near_dedup import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
-@query("op9_decontamination")
+@query("op9_decontamination", DECONTAMINATION_SQL)
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pressloom.llm.decontam import documents_hit, phrase_matches, positional_index
 
@@ -75,7 +76,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op6_repeated_strings")
+@query("op6_repeated_strings", REPEATED_STRINGS_SQL)
 def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pressloom.llm.suffix_dedup import remove_repeats
 
