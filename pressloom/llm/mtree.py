@@ -3,10 +3,11 @@
 The inner product is no metric, so each vector x gets one more component, sqrt(M^2 - |x|^2) for the greatest norm M, and a
 query 0: then |q - x|^2 = |q|^2 + M^2 - 2 q.x, and the nearest vectors are those of the highest score.
 
-A tree is a row of a stored table: a root pivot with its covering radius, and pages. A page has a pivot, a covering radius,
-its pivot's distance to the root's, and entries with their distances to the page's pivot. A search goes through the pages
-best first, and skips pages and entries by |d(q, parent) - d(parent, x)| before any distance to them is computed. Vectors
-are dealt to trees by their nearest pivot of a bounded sample; a cell with many vectors, as of copies, is several trees.
+A tree is a row of a stored table: a root, inner nodes, pages and entries. All but entries have a pivot and a covering radius,
+all but roots the distance to their parent's pivot. A search keeps the trees, nodes and pages that it has met in one queue,
+over all trees that a task holds, takes what may hold the nearest vector first, and ends when nothing left can reach the
+k-th best; nodes, pages and entries are skipped by |d(q, parent) - d(parent, x)| before any distance to them is computed.
+Vectors are dealt to trees by their nearest pivot of a bounded sample; a cell with many, as of copies, is several trees.
 
 Scores of long vectors are not whole in floating point. These vectors are in no tree: every query is compared with all of
 them, and a long query with all vectors (`_compare`), by floats with an error bound first and by integers what is left.
@@ -14,6 +15,7 @@ them, and a long query with all vectors (`_compare`), by floats with an error bo
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,12 @@ from pressloom.llm.tables import ready, stored, tasks
 #: vectors in a tree, at most about; entries of a page
 TREE_ROWS = 4096
 PAGE_ROWS = 64
-#: pivots, the sample that deals vectors to trees
+#: pages below an inner node, on average
+NODE_PAGES = 8
+#: trees that a task searches at once, and pages that are taken from the queue together once a bound is known
+TREES_HELD = 32
+PAGES_TAKEN = 8
+#: vectors of the sample that sets each query's first bound; some of them are the pivots that deal vectors to trees
 MAX_PIVOTS = 1024
 #: queries that are sent to the tasks at once; more are searched in several rounds
 QUERY_ROWS = 16_384
@@ -38,7 +45,7 @@ WHOLE = float(1 << 43)
 #: queries that are compared with a batch at once
 COMPARED = 1024
 
-TREE_SCHEMA = "dim int, ids binary, vectors binary, entry_distance binary, page_pivot binary, page_radius binary, page_distance binary, root binary, root_radius double"
+TREE_SCHEMA = "dim int, ids binary, vectors binary, entry_distance binary, page_pivot binary, page_radius binary, page_distance binary, page_node binary, node_pivot binary, node_radius binary, node_distance binary, root binary, root_radius double"
 FOUND_SCHEMA = "query bigint, dim int, long boolean, query_id bigint, vec_id bigint, score bigint, beyond int, key binary"
 
 
@@ -48,7 +55,7 @@ def scaled(embedding: Column, scale: float = 1024.0) -> Column:
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(vec_id, v, u) of the vectors that take part, each row once: no null id, vector or component, none that is not finite.
+    """(vec_id, v, u) of the rows that take part: no null id, vector or component, none that is not finite.
 
     v holds the scaled integers; for a vector too long for a tree, it is null and u has them divided by 1024, as doubles.
     """
@@ -59,7 +66,7 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     fits = F.forall("x", lambda c: F.abs(c) * 1024 < LIMIT)
     v = F.when(fits, F.when(size < float(LIMIT_SQUARE), scaled(F.col("x"))))
     u = F.transform("x", lambda c: F.when(F.abs(c) < WHOLE, F.floor(c * 1024).cast("double") / 1024).otherwise(c))
-    return rows.withColumn("v", v).select("vec_id", "v", F.when(F.col("v").isNull(), u).alias("u")).distinct()
+    return rows.withColumn("v", v).select("vec_id", "v", F.when(F.col("v").isNull(), u).alias("u"))
 
 
 def _unscaled(rows: DataFrame) -> DataFrame:
@@ -80,17 +87,12 @@ def _distance(x: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 
 def build(rows: DataFrame, seed: int = 0) -> tuple[DataFrame, dict[int, tuple[np.ndarray, np.ndarray]], float]:
-    """(stored trees, pivots (ids, vectors) by dimension, square of the greatest norm) for rows (vec_id, v)."""
+    """(stored trees, sample (ids, vectors) by dimension, square of the greatest norm) for rows (vec_id, v)."""
     top = rows.agg(F.max(F.aggregate("v", F.lit(0).cast("bigint"), lambda s, c: s + c * c))).first()[0]
     top = float(top or 0)
     count = rows.count()
-    wanted = max(1, min(MAX_PIVOTS, count // 512))
-    sample = rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(wanted).collect()
-    by_dim: dict[int, list] = {}
-    for r in sample:
-        by_dim.setdefault(len(r["v"]), []).append(r)
-    pivots = {d: (np.array([r["vec_id"] for r in own]), np.array([r["v"] for r in own], np.float64).reshape(len(own), d)) for d, own in by_dim.items()}
-    shared = rows.sparkSession.sparkContext.broadcast(pivots)
+    sample = rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(MAX_PIVOTS).collect()
+    shared = rows.sparkSession.sparkContext.broadcast(_block(sample[: max(1, count // 512)], "v"))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,11 +128,12 @@ def build(rows: DataFrame, seed: int = 0) -> tuple[DataFrame, dict[int, tuple[np
             yield _tree(held, last[0], top)
 
     sorted_ = keyed.select("dim", "cell", "part", "vec_id", "v").repartition(tasks(rows.sparkSession), "dim", "cell", "part").sortWithinPartitions("dim", "cell", "part")
-    return stored(sorted_.mapInArrow(trees, TREE_SCHEMA), "mtrees"), pivots, top
+    return stored(sorted_.mapInArrow(trees, TREE_SCHEMA), "mtrees"), _block(sample, "v"), top
 
 
 def _tree(batches: list[pa.RecordBatch], dim: int, top: float) -> pa.RecordBatch:
-    """Bulk load: pages are the cells of some of the vectors, cut to the page size along the distance to the pivot."""
+    """Bulk load: pages are the cells of some of the vectors, cut to the page size along the distance to the pivot; inner nodes
+    are the cells of some of the pages' pivots."""
     ids = np.concatenate([b.column(3).to_numpy() for b in batches])
     x = np.concatenate([_matrix(b.column(4), dim) for b in batches])
     y = _augmented(x, top)
@@ -146,6 +149,13 @@ def _tree(batches: list[pa.RecordBatch], dim: int, top: float) -> pa.RecordBatch
     place[page, within % PAGE_ROWS] = order
     pivot = heads[near[order[np.searchsorted(page, np.arange(pages))]]]
     distance = np.where(place >= 0, _distance(y[place], pivot[:, None, :]), np.inf)
+    tops = pivot[::NODE_PAGES]
+    node, page_node = np.unique(((tops * tops).sum(axis=1) - 2 * pivot @ tops.T).argmin(axis=1), return_inverse=True)
+    tops = tops[node]
+    # a node covers the entries below it, not just its pages' pivots
+    below = np.where(place >= 0, _distance(y[place], tops[page_node][:, None, :]), 0).max(axis=1)
+    node_radius = np.zeros(len(tops))
+    np.maximum.at(node_radius, page_node, below)
     root = y.mean(axis=0)
     return pa.RecordBatch.from_pydict(
         {
@@ -155,7 +165,11 @@ def _tree(batches: list[pa.RecordBatch], dim: int, top: float) -> pa.RecordBatch
             "entry_distance": [distance.tobytes()],
             "page_pivot": [pivot.tobytes()],
             "page_radius": [np.where(place >= 0, distance, 0).max(axis=1).tobytes()],
-            "page_distance": [_distance(pivot, root).tobytes()],
+            "page_distance": [_distance(pivot, tops[page_node]).tobytes()],
+            "page_node": [page_node.astype(np.int32).tobytes()],
+            "node_pivot": [tops.tobytes()],
+            "node_radius": [node_radius.tobytes()],
+            "node_distance": [_distance(tops, root).tobytes()],
             "root": [root.tobytes()],
             "root_radius": [float(_distance(y, root).max())],
         }
@@ -167,16 +181,18 @@ class Best:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: tuple[np.ndarray, np.ndarray] | None, k: int) -> None:
         self.k, self.ids, self.q = k, ids, vectors
+        self.scored = 0
         self.score = [np.zeros(0, np.int64)] * len(ids)
         self.found = [np.zeros(0, np.int64)] * len(ids)
         self.floor = np.full(len(ids), -np.inf)
         if pivots is not None and len(pivots[0]) >= k:
-            # pivots are vectors of the table: the k-th best of them is reached for certain, the query's own left out
+            # these are rows of the table: the k-th best of them is reached for certain, those with the query's id left out
             reached = np.where(pivots[0] == ids[:, None], -np.inf, vectors @ pivots[1].T)
             self.floor = np.partition(reached, len(pivots[0]) - k, axis=1)[:, len(pivots[0]) - k]
 
     def add(self, i: int, score: np.ndarray, ids: np.ndarray) -> None:
-        good = (ids >= 0) & (ids != self.ids[i]) & (score >= self.floor[i])
+        self.scored += len(ids)
+        good = (ids != self.ids[i]) & (score >= self.floor[i])
         if not good.any():
             return
         score, ids = np.concatenate((self.score[i], score[good])), np.concatenate((self.found[i], ids[good]))
@@ -198,38 +214,78 @@ class Tree:
         self.page_pivot = np.frombuffer(row["page_pivot"]).reshape(pages, self.dim + 1)
         self.page_radius = np.frombuffer(row["page_radius"])
         self.page_distance = np.frombuffer(row["page_distance"])
+        self.node_pivot = np.frombuffer(row["node_pivot"]).reshape(-1, self.dim + 1)
+        self.node_radius = np.frombuffer(row["node_radius"])
+        self.node_distance = np.frombuffer(row["node_distance"])
+        page_node = np.frombuffer(row["page_node"], np.int32)
+        self.pages_of = [np.flatnonzero(page_node == n) for n in range(len(self.node_pivot))]
         self.root = np.frombuffer(row["root"])
         self.root_radius = row["root_radius"]
 
-    def search(self, best: Best, top: float) -> None:
-        """Improve the best of every query, pages in the order of the least distance that they allow."""
-        q = np.concatenate((best.q, np.zeros((len(best.q), 1))), axis=1)
-        square = (best.q * best.q).sum(axis=1) + top
-        slack = 0.25 + 1e-9 * square
-        to_root = _distance(q, self.root)
-        # the greatest distance at which a vector can still reach the floor
-        reach = lambda i: np.sqrt(max(square[i] - 2 * (best.floor[i] - slack[i]), 0.0)) if np.isfinite(best.floor[i]) else np.inf
-        for i in range(len(q)):
-            r = reach(i)
-            if to_root[i] - self.root_radius > r:
-                continue
-            pages = np.flatnonzero(np.abs(to_root[i] - self.page_distance) - self.page_radius <= r)
-            if not len(pages):
+
+TREE, NODE, PAGE = range(3)
+
+
+class Forest:
+    """Some trees of one dimension, their nodes and pages numbered through."""
+
+    def __init__(self, trees: list[Tree]) -> None:
+        whole = lambda name: np.concatenate([getattr(t, name) for t in trees])
+        self.ids, self.vectors, self.entry_distance = whole("ids"), whole("vectors"), whole("entry_distance")
+        self.pivot = np.stack([t.root for t in trees]), whole("node_pivot"), whole("page_pivot")
+        self.radius = np.array([t.root_radius for t in trees]), whole("node_radius"), whole("page_radius")
+        self.distance = None, whole("node_distance"), whole("page_distance")
+        nodes, pages = (np.cumsum([0, *[len(getattr(t, name)) for t in trees]]) for name in ("node_pivot", "page_pivot"))
+        below = [own + first for t, first in zip(trees, pages.tolist(), strict=False) for own in t.pages_of]
+        self.below = [np.arange(a, b) for a, b in zip(nodes.tolist(), nodes[1:].tolist(), strict=False)], below
+
+    def children(self, kind: int, index: int, q: np.ndarray, to_parent: float, reach: float) -> list[tuple[float, int, int, float]]:
+        """(least distance to what it covers, kind, index, distance to its pivot) of the nodes or pages that may be within reach."""
+        some, kind = self.below[kind][index], kind + 1
+        radius = self.radius[kind][some]
+        near = np.abs(to_parent - self.distance[kind][some]) - radius <= reach
+        some, radius = some[near], radius[near]
+        distance = _distance(self.pivot[kind][some], q)
+        found = zip((distance - radius).tolist(), some.tolist(), distance.tolist(), strict=True)
+        return [(least, kind, child, d) for least, child, d in found if least <= reach]
+
+    def entries(self, pages: list[int], to_page: list[float], reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, vectors) that stored distances leave within reach; a filler, at an infinite distance, never is."""
+        pages = np.array(pages)
+        page, place = np.nonzero(np.abs(np.array(to_page)[:, None] - self.entry_distance[pages]) <= min(reach, 1e300))
+        own = pages[page]
+        return self.ids[own, place], self.vectors[own, place]
+
+
+def search_trees(trees: list[Tree], best: Best, top: float) -> None:
+    """Improve the best of every query by all vectors of some trees of its dimension, what may be nearest first."""
+    forest = Forest(trees)
+    q = np.concatenate((best.q, np.zeros((len(best.q), 1))), axis=1)
+    square = (best.q * best.q).sum(axis=1) + top
+    slack = 0.25 + 1e-9 * square
+    # the greatest distance at which a vector can still reach the floor
+    reach = lambda i: float(np.sqrt(max(square[i] - 2 * (best.floor[i] - slack[i]), 0.0))) if np.isfinite(best.floor[i]) else np.inf
+    for i in range(len(q)):
+        r = reach(i)
+        to_root = _distance(forest.pivot[TREE], q[i])
+        least = (to_root - forest.radius[TREE]).tolist()
+        queue = [(first, TREE, t, d) for t, (first, d) in enumerate(zip(least, to_root.tolist(), strict=True)) if first <= r]
+        heapq.heapify(queue)
+        while queue and queue[0][0] <= r:
+            _, kind, index, distance = heapq.heappop(queue)
+            if kind != PAGE:
+                for child in forest.children(kind, index, q[i], distance, r):
+                    heapq.heappush(queue, child)
                 continue
-            to_page = _distance(self.page_pivot[pages], q[i])
-            least = to_page - self.page_radius[pages]
-            order = np.argsort(least, kind="stable")
-            for at in range(0, len(order), 8):
-                some = order[at : at + 8]
-                some = some[least[some] <= r]
-                if not len(some):
-                    break
-                gap = np.abs(to_page[some][:, None] - self.entry_distance[pages[some]])
-                p, e = np.nonzero(gap <= r)
-                if len(p):
-                    own = pages[some][p]
-                    best.add(i, (self.vectors[own, e].astype(np.float64) @ best.q[i]).astype(np.int64), self.ids[own, e])
-                    r = reach(i)
+            pages, to_page = [index], [distance]
+            while r < np.inf and queue and queue[0][1] == PAGE and queue[0][0] <= r and len(pages) < PAGES_TAKEN:
+                _, _, index, distance = heapq.heappop(queue)
+                pages.append(index)
+                to_page.append(distance)
+            ids, vectors = forest.entries(pages, to_page, r)
+            if len(ids):
+                best.add(i, (vectors.astype(np.float64) @ best.q[i]).astype(np.int64), ids)
+                r = reach(i)
 
 
 def _whole(u: np.ndarray) -> list[int]:
@@ -334,15 +390,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "ve
 
     Queries are searched in every tree, in rounds of QUERY_ROWS; a row with the query's own id is no candidate, and only
     vectors of the query's length are. Null ids, null vectors and those with a null, infinite or NaN component take no part.
-    All scores are whole; one that is no bigint is null, but ranked by its value. Rows that are equal count once. Fewer rows
-    than k give as many. Empty tables give an empty result. Other columns play no part.
+    All scores are whole; one that is no bigint is null, but ranked by its value. A repeated row is a candidate each time, as a
+    query it counts once. Fewer rows than k give as many. Empty tables give an empty result. Other columns play no part.
     """
     spark = vectors.sparkSession
     ready(spark)
     rows = stored(usable(vectors, vec_id, embedding), "vectors")
     trees, pivots, top = build(rows.where("v IS NOT NULL").select("vec_id", "v"))
     side = _unscaled(rows.where("v IS NULL"))
-    asked = stored(usable(queries, vec_id, embedding), "queries")
+    asked = stored(usable(queries, vec_id, embedding).distinct(), "queries")
     any_side = not side.isEmpty()
     rounds = max(1, -(-asked.count() // QUERY_ROWS))
     out = None
@@ -355,6 +411,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "ve
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block, pivots = shared.value
             best: dict[int, Best] = {}
+            held: dict[int, list[Tree]] = {}
             for batch in batches:
                 for i in range(batch.num_rows):
                     tree = Tree(batch.slice(i, 1).to_pylist()[0])
@@ -362,7 +419,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "ve
                         continue
                     if tree.dim not in best:
                         best[tree.dim] = Best(*block[tree.dim], pivots.get(tree.dim), k)
-                    tree.search(best[tree.dim], top)
+                    held.setdefault(tree.dim, []).append(tree)
+                    if sum(map(len, held.values())) >= TREES_HELD:
+                        for dim in list(held):
+                            search_trees(held.pop(dim), best[dim], top)
+            for dim, own in held.items():
+                search_trees(own, best[dim], top)
             for dim, b in best.items():
                 n = [len(s) for s in b.score]
                 yield pa.RecordBatch.from_pydict(

@@ -153,12 +153,12 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOP_K_SQL = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS y FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS y FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.y::DOUBLE[], c.y::DOUBLE[])::BIGINT AS score,
          row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.y::DOUBLE[], c.y::DOUBLE[])::BIGINT DESC, c.vec_id) AS rank
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.y) = len(c.y) WHERE q.vec_id % 100 = 0)
+  FROM (SELECT DISTINCT * FROM v) q JOIN v c ON q.vec_id <> c.vec_id AND len(q.y) = len(c.y) WHERE q.vec_id % 100 = 0)
 WHERE rank <= 10"""
 
 

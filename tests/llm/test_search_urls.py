@@ -12,12 +12,10 @@ from pressloom.llm.queries import FIXED_RULES
 
 
 def nearest(rows, queries, k):
-    good = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            good.setdefault((i, tuple(math.floor(1024 * x) for x in v)), None)
+    """By the contract: every row but those with the query's own id is a candidate, a repeated one each time."""
+    good = [(i, tuple(math.floor(1024 * x) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, x in [g for g in good if g[0] in queries]:
+    for q, x in {g for g in good if g[0] in queries}:
         best = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in good if i != q and len(y) == len(x))[:k]
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
     return sorted(out)
@@ -56,9 +54,9 @@ def test_top_k_of_long_vectors(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
     asked = [i for i, _ in rows if i % 25 == 0 or i >= 400]
     exact = []
-    good = {(i, tuple(math.floor(x) if abs(x) >= 2**60 else x for x in v)) for i, v in rows if all(x is not None and math.isfinite(x) for x in v)}
-    whole = {(i, tuple(math.floor(1024 * x) for x in v)) for i, v in good}
-    for q, x in [g for g in whole if g[0] in asked]:
+    good = [(i, tuple(math.floor(x) if abs(x) >= 2**60 else x for x in v)) for i, v in rows if all(x is not None and math.isfinite(x) for x in v)]
+    whole = [(i, tuple(math.floor(1024 * x) for x in v)) for i, v in good]
+    for q, x in {g for g in whole if g[0] in asked}:
         best = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in whole if i != q and len(y) == len(x))[:5]
         exact += [(q, n + 1, i, -s if abs(s) < 1 << 63 else None) for n, (s, i) in enumerate(best)]
     key = lambda r: (r[0], r[1])
@@ -87,23 +85,48 @@ def test_search_skips_most_of_a_clustered_table():
     column = pa.array(list(x), pa.list_(pa.int64()))
     batch = pa.RecordBatch.from_arrays([pa.array([16] * 4096), pa.array([0] * 4096), pa.array([0] * 4096), pa.array(range(4096)), column], names=list("abcde"))
     tree = mtree.Tree(mtree._tree([batch], 16, top).to_pylist()[0])
-    scored = 0
-
-    class Counting(mtree.Best):
-        def add(self, i, score, ids):
-            nonlocal scored
-            scored += len(ids)
-            super().add(i, score, ids)
-
-    best = Counting(np.arange(32), x[:32].astype(float), None, 10)
-    tree.search(best, top)
-    assert scored < 32 * 4096 / 4
+    best = mtree.Best(np.arange(32), x[:32].astype(float), None, 10)
+    mtree.search_trees([tree], best, top)
+    assert best.scored < 32 * 4096 / 16
     for i in range(32):
         scores = x @ x[i]
         order = [j for j in np.lexsort((np.arange(4096), -scores)) if j != i][:10]
         assert best.found[i].tolist() == order
 
 
+def test_search_over_several_trees():
+    """A query starts in the tree that may hold its nearest vector, wherever it is stored; copies, fillers and one-row trees."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 4000, (24, 12))
+    parts = [np.rint(c + rng.normal(0, 60, (n, 12))).astype(np.int64) for c, n in zip(centres, [1, 2, 63, 64, 65, 700] * 4, strict=True)]
+    parts[3][:] = parts[3][0]
+    x = np.concatenate(parts)
+    top = float((x * x).sum(axis=1).max())
+    trees, first = [], 0
+    for part in parts:
+        ids = np.arange(first, first + len(part))
+        columns = [pa.array([12] * len(part)), pa.array([0] * len(part)), pa.array([0] * len(part)), pa.array(ids), pa.array(list(part), pa.list_(pa.int64()))]
+        trees.append(mtree.Tree(mtree._tree([pa.RecordBatch.from_arrays(columns, names=list("abcde"))], 12, top).to_pylist()[0]))
+        first += len(part)
+    for tree in trees:  # every radius covers, every stored distance is to the parent's pivot
+        for node, pages in enumerate(tree.pages_of):
+            assert len(pages)
+            for page in pages:
+                held = tree.vectors[page][tree.ids[page] >= 0].astype(float)
+                far = mtree._distance(mtree._augmented(held, top), tree.node_pivot[node])
+                assert far.max() <= tree.node_radius[node] + 1e-6 and mtree._distance(mtree._augmented(held, top), tree.root).max() <= tree.root_radius + 1e-6
+    asked = np.arange(0, len(x), 40)
+    best = mtree.Best(asked, x[asked].astype(float), None, 7)
+    mtree.search_trees(trees, best, top)
+    for n, i in enumerate(asked.tolist()):
+        scores = x @ x[i]
+        assert best.found[n].tolist() == [j for j in np.lexsort((np.arange(len(x)), -scores)).tolist() if j != i][:7]
+    assert best.scored < len(asked) * len(x) / 3
+
+
 URLS = [
     ("http://a.net", "a.net", "", None),
     ("http://A.net/", "a.net", "/", ("block", "net/")),
