@@ -24,6 +24,7 @@ from pressloom.llm import pretokens
 from pressloom.llm.tables import only, ready, stored
 from pressloom.llm.textbytes import binary_rows, mix, ranges, slices
 from pressloom.llm.token_counts import token_counts
+from pressloom.operators.duplicates import free_name
 
 #: documents per bucket of the base order; a constant of the layout, so that slots do not depend on the cluster
 BUCKET_ROWS = 16_384
@@ -102,6 +103,18 @@ def _places(rows: DataFrame, tokenizer: str, length: int) -> DataFrame:
     return stored(keyed.join(start, "bucket").select("doc_id", "text_hash", "copies", "sequences", base), "places")
 
 
+def _placed(documents: DataFrame, rows: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc_id, base, copies, text) of all rows.
+
+    It is read twice, for single and for repeated rows. Under names that the input has not, the optimizer keeps the columns'
+    aliases in both readings; else it drops them in one, the plans differ, and the texts are shuffled twice.
+    """
+    own = {c: free_name(documents, f"_{c}") for c in ("doc_id", "text_hash", "text")}
+    rows = rows.select(*[F.col(c).alias(name) for c, name in own.items()])
+    same = rows[own["doc_id"]].eqNullSafe(places["doc_id"]) & rows[own["text_hash"]].eqNullSafe(places["text_hash"])
+    return rows.join(places, same).select(F.col(own["doc_id"]).alias("doc_id"), "base", "copies", F.col(own["text"]).alias("text"))
+
+
 def write_training_order(
     documents: DataFrame,
     path: str,
@@ -173,8 +186,7 @@ def write_training_order(
 
     # the places are sent to all tasks only up to a size that is known from their number; beyond it the join is a shuffle
     sent = F.broadcast(places) if total[1] * PLACE_BYTES <= BROADCAST_BYTES else places
-    same = rows["doc_id"].eqNullSafe(sent["doc_id"]) & rows["text_hash"].eqNullSafe(sent["text_hash"])
-    placed = rows.join(sent, same).select(rows["doc_id"], "base", "copies", "text")
+    placed = _placed(documents, rows, sent)
     single = placed.where("copies = 1")
     repeated = placed.where("copies > 1").dropDuplicates(["base"])
     shards = max(1, math.ceil(layout.sequences / shard_records))

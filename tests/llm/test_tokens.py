@@ -5,10 +5,12 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF_DIR
 from pressloom.llm import pretokens, token_output
+from pressloom.llm.tables import only, stored
 from pressloom.llm.textbytes import slices
 from pressloom.llm.token_counts import token_counts
 from pressloom.llm.token_output import permute, read_layout, read_slots, write_training_order
@@ -140,6 +142,29 @@ def test_places_joined_by_a_shuffle(spark, documents, tokenizer, tmp_path, monke
     assert rows[0] == rows[1]
 
 
+@pytest.mark.parametrize("names", [("doc_id", "text"), ("_doc_id", "_text")])
+def test_texts_are_shuffled_once(spark, documents, names):
+    """Single and repeated rows come from one shuffle of the texts, whatever the input's columns are called."""
+    doc_id, text = names
+    docs = documents.select(F.col("doc_id").alias(doc_id), F.col("text").alias(text), F.lit(1).alias("_text_hash"))
+    docs = stored(docs, "docs")
+    rows = only(docs, doc_id=F.col(doc_id).cast("bigint"), text_hash=F.xxhash64(text), text=text)
+    places = stored(rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies")).withColumn("base", F.monotonically_increasing_id()), "places")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in conf}
+    for c, value in conf.items():
+        spark.conf.set(c, value)
+    try:
+        placed = token_output._placed(docs, rows, places)
+        both = placed.where("copies = 1").union(placed.where("copies > 1").dropDuplicates(["base"]))
+        plan = both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    assert plan.count("ReusedExchange") == 1
+    assert {r["base"] for r in both.collect()} == {r["base"] for r in places.collect()}
+
+
 def test_no_rows(spark, nothing, tokenizer, tmp_path):
     layout = write_training_order(nothing, str(tmp_path / "none"), tokenizer)
     assert layout.sequences == 0 and read_slots(spark, str(tmp_path / "none")).count() == 0
