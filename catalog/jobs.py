@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    cores,
+    dealt,
     pick,
     query,
     sql_drop_dot,
@@ -61,7 +61,7 @@ def raw_articles(spark, d):
     )
     host = F.concat(pick(key, "www.", "m.", ""), pick(key, *SERVERS), F.lit(".cz"))
     none = F.lit(None).cast("string")
-    return table(spark, d, "documents").select(
+    return dealt(table(spark, d, "documents"), "doc_id").select(
         F.concat(F.lit("https://"), host, F.lit("/clanek/"), key.cast("string")).alias("url"),
         F.when(key % 6 == 0, F.array().cast("array<string>")).when(key % 6 != 1, F.array(first, second)).alias("author"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("headline"),
@@ -137,12 +137,12 @@ def shown(df):
 @query("curate_articles", f"WITH {CURATED_CTES} SELECT * EXCLUDE (sets) FROM curated")
 def curate_articles(spark, d):
     """The whole curation job without the split fan-out."""
-    return shown(curate(raw_articles(spark, d), author_list(spark, d), split=False, partitions=cores(spark)))
+    return shown(curate(raw_articles(spark, d), author_list(spark, d), split=False))
 
 
 @query("curate_splits", f"WITH {CURATED_CTES} SELECT * EXCLUDE (sets), unnest(sets) AS split FROM curated")
 def curate_splits(spark, d):
-    return shown(curate(raw_articles(spark, d), author_list(spark, d), partitions=cores(spark)))
+    return shown(curate(raw_articles(spark, d), author_list(spark, d)))
 
 
 @query("curate_large_author_list", f"WITH {CURATED_CTES} SELECT * EXCLUDE (sets) FROM curated")
@@ -150,7 +150,7 @@ def curate_large_author_list(spark, d):
     """The same with all customers' and parts' names in the author list."""
     more = table(spark, d, "customer").select("c_name").union(table(spark, d, "part").select("p_name"))
     authors = author_list(spark, d).union(more.withColumn("gender", F.lit("male")))
-    return shown(curate(raw_articles(spark, d), authors, split=False, partitions=cores(spark)))
+    return shown(curate(raw_articles(spark, d), authors, split=False))
 
 
 @query(

@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: distinct author lists of fewer bytes in all are broadcast
+BROADCAST_BYTES = 8 << 20
+
+
 def lookup(df: DataFrame, table: DataFrame, key: Column) -> DataFrame:
     """Left join with a table of unique `_key`s; a null key matches nothing."""
     return df.withColumn("_key", key).join(table, "_key", "left").drop("_key")
@@ -55,9 +59,13 @@ def authors_with_gender(df: DataFrame, dimension: DataFrame, column: str = "auth
     """Keep the authors known to the dimension (any case) and add `authors_gender` (exact case, else 0).
 
     Null lists become empty. The distinct author lists, few next to the rows and combined before their shuffle, are
-    looked up in the dimension (folded name to its spellings); one join gives each row the result for its list.
+    looked up in the dimension (folded name to its spellings); one join gives each row the result for its list. The lists are
+    measured first, by a job that reads the authors alone: up to `BROADCAST_BYTES` the results are broadcast and no row is
+    shuffled; the planner, which cannot know it in time, would shuffle all rows by few keys.
     """
     lists = df.select(F.col(column).alias("_list")).where(F.size(column) > 0).distinct()
+    # the entry of a name is its place, itself and a code, next to the list that holds it as well
+    size = lists.agg(F.sum(2 * F.octet_length(F.array_join("_list", "")) + 48 * F.size("_list"))).first()[0] or 0
     names = lists.select("_list", F.posexplode("_list").alias("_pos", "_name"))
     spelling = F.struct("author", "gender")
     known = (
@@ -69,6 +77,7 @@ def authors_with_gender(df: DataFrame, dimension: DataFrame, column: str = "auth
     gender = F.coalesce(F.try_element_at("_spellings", F.col("_name")), F.lit(0))
     entry = F.struct("_pos", "_name", gender.alias("_gender"))
     found = matched.groupBy("_list").agg(F.sort_array(F.collect_list(entry)).alias("_found"))
+    found = F.broadcast(found) if size <= BROADCAST_BYTES else found
     joined = lookup(df, found.withColumnRenamed("_list", "_key"), F.when(F.size(column) > 0, F.col(column)))
     empty_names, empty_codes = F.array().cast("array<string>"), F.array().cast("array<int>")
     return joined.withColumns(

@@ -85,8 +85,8 @@ def curate(
 ) -> DataFrame:
     """The curated dataset, one row per article and split (or per article without `split`).
 
-    The author join reads the input twice, the first time for the authors alone. `partitions` deals out an input of
-    few scan tasks, as one file.
+    Few distinct author lists are broadcast, and no row is shuffled. The input is read for them alone, once here to measure them
+    and once by the join. `partitions` deals out an input of few scan tasks, as one file.
     """
     df = articles if partitions is None else articles.repartition(partitions)
     df = df.withColumn("server", urls.server(F.col("url"))).withColumnRenamed("author", "authors")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import pytest
-from catalog import base
+from catalog import base, jobs
 from catalog import pages as page_queries
+from pressloom.operators import lookups
+from pressloom.plans.curate import curate
 from pressloom.plans.extract import extract
 
 
@@ -33,3 +35,28 @@ def test_tasks_grow_with_the_rows(spark, monkeypatch):
     few, many = (base.dealt(spark.range(n), "id") for n in (5, 205))
     assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert many.rdd.getNumPartitions() == 21 and many.count() == 205
+
+
+def test_few_author_lists_shuffle_no_row(spark, tables, monkeypatch):
+    """With few lists the texts cross no join shuffle; with more the join is a shuffle, with the same rows."""
+
+    def run():
+        return curate(jobs.raw_articles(spark, tables), jobs.author_list(spark, tables))
+
+    def found(df):
+        return sorted(df.select("url", "split", "authors", "authors_gender", "headline").collect(), key=str)
+
+    # as with tables of which the planner does not know that they are small
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        few = run()
+        plan_of_few = plan(few)
+        monkeypatch.setattr(lookups, "BROADCAST_BYTES", -1)
+        many = run()
+        plan_of_many = plan(many)
+    finally:
+        spark.conf.unset(threshold)
+    # the names of the lists meet the known ones by a shuffle in either
+    assert plan_of_few.count("SortMergeJoin") == plan_of_many.count("SortMergeJoin") - 1
+    assert found(few) == found(many) and few.count() == 200 * (2 + 1 + 0 + 1 + 1) / 5
