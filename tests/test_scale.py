@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+
 import pytest
+from pyspark.sql import functions as F
+
 from catalog import base, jobs
 from catalog import pages as page_queries
-from pressloom.operators import lookups
+from pressloom.operators import lookups, pages
+from pressloom.operators.html import Element
 from pressloom.plans.curate import curate
 from pressloom.plans.extract import extract
 
@@ -60,3 +65,27 @@ def test_few_author_lists_shuffle_no_row(spark, tables, monkeypatch):
     # the names of the lists meet the known ones by a shuffle in either
     assert plan_of_few.count("SortMergeJoin") == plan_of_many.count("SortMergeJoin") - 1
     assert found(few) == found(many) and few.count() == 200 * (2 + 1 + 0 + 1 + 1) / 5
+
+
+def test_a_batch_of_pages_is_parsed_in_pieces(spark, monkeypatch):
+    """Every page of a batch has its own fields, in order, and the batch is bounded for the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    monkeypatch.setattr(pages, "PAGES_AT_ONCE", 7)
+    html = F.concat(F.lit("<html><head><title>T"), F.col("id").cast("string"), F.lit("</title></head><body></body></html>"))
+    rows = spark.range(100).coalesce(1).select("id", F.when(F.col("id") != 50, html).alias("html"), F.lit("example").alias("extractor"))
+    parsed = pages.parse_pages(rows, {"example": page_queries.EXAMPLE_SITE}, "html")
+    got = {r["id"]: r["raw"]["head_headline"] for r in parsed.collect()}
+    assert got == {i: None if i == 50 else f"T{i}" for i in range(100)}
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == pages.BATCH_PAGES
+
+
+def test_a_page_leaves_no_elements():
+    """The elements of a page hold each other; they must not wait for the collector of cycles."""
+    gc.collect()
+    gc.disable()
+    try:
+        raw = pages._raw_fields("<html><head><title>T</title></head><body><p>a<p>b</body></html>", page_queries.EXAMPLE_SITE)
+        assert raw["head_headline"] == "T"
+        assert not [x for x in gc.get_objects() if isinstance(x, Element)]
+    finally:
+        gc.enable()
