@@ -153,6 +153,8 @@ class Bpe:
         import tiktoken
 
         self._pieces = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+        self._joined = tiktoken.Encoding("joined", pat_str=r"[^\x00]+|\x00", mergeable_ranks=ranks, special_tokens={})
+        self._zero = ranks[b"\0"]
         self._library = None
         self.classes = Classes(lambda text: self.library().pre_tokenizer.pre_tokenize_str(text))
         self.size = len(spec["model"]["vocab"])
@@ -161,6 +163,22 @@ class Bpe:
         """Token ids of one pre-token."""
         return self._pieces.encode_ordinary(piece.decode())
 
+    def pieces(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """(token ids of some pre-tokens of a slice one after the other, as bytes; the bounds of each one's bytes).
+
+        They are encoded in one call, with a zero byte behind each; where one has such a byte itself, one by one.
+        """
+        sizes = ends - starts + 1
+        last = np.cumsum(sizes) - 1
+        joined = data[np.minimum(ranges(starts, sizes), len(data) - 1)]
+        joined[last] = 0
+        if np.count_nonzero(joined == 0) > len(last):
+            rows = [array("I", self.piece(data[a:b].tobytes())).tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            return b"".join(rows), np.cumsum([0, *map(len, rows)])
+        ids = self._joined.encode_to_numpy(joined.tobytes().decode(), disallowed_special=())
+        end = ids == self._zero
+        return ids[~end].astype(np.uint32, copy=False).tobytes(), 4 * np.concatenate(([0], np.flatnonzero(end) - np.arange(len(last))))
+
     def library(self):
         if self._library is None:
             from tokenizers import Tokenizer
@@ -224,15 +242,17 @@ class Encoder:
         unique, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.cache) > CACHE_SIZE:
             self.cache.clear()
-        get, rows = self.cache.get, []
-        for key, at in zip(unique.tolist(), where.tolist(), strict=True):
-            row = get(key)
-            if row is None:
-                piece = data[starts[at] : ends[at]].tobytes()
-                row = array("I", self.bpe.piece(piece)).tobytes()
-                if len(piece) <= PIECE_BYTES:
-                    self.cache[key] = row
-            rows.append(row)
+        unique = unique.tolist()
+        rows = list(map(self.cache.get, unique))
+        new = [i for i, row in enumerate(rows) if row is None]
+        if new:
+            starts, ends = starts[where[new]], ends[where[new]]
+            ids, bounds = self.bpe.pieces(data, starts, ends)
+            bounds, short = bounds.tolist(), (ends - starts <= PIECE_BYTES).tolist()
+            for i, first, stop, kept in zip(new, bounds, bounds[1:], short):
+                rows[i] = ids[first:stop]
+                if kept:
+                    self.cache[unique[i]] = rows[i]
         return rows, np.fromiter(map(len, rows), np.int64, len(rows)) // 4, inverse
 
     def _library_rows(self, data, bounds, rows) -> list[list[int]]:

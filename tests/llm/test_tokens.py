@@ -72,6 +72,27 @@ def test_few_texts_go_to_the_library(tokenizer, monkeypatch):
     assert max(len(ids) for ids in encoder.cache.values()) <= 4 * pretokens.PIECE_BYTES
 
 
+def test_pieces_that_the_table_lacks_are_encoded_in_one_call(tokenizer, monkeypatch):
+    """Each slice's new ones at once; a cached one is not encoded again. Pieces with a zero byte are encoded one by one."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(["zq", "数", "é", "9", "!", " ", "\n", "🙂", "x" * 300]) for _ in range(rng.randint(0, 12))) for _ in range(600)]
+    bpe = pretokens.Bpe(open(tokenizer).read())
+    library, single, calls = Tokenizer.from_file(tokenizer), [], []
+    piece, pieces = bpe.piece, bpe.pieces
+    monkeypatch.setattr(bpe, "piece", lambda one: single.append(one) or piece(one))
+    monkeypatch.setattr(bpe, "pieces", lambda data, starts, ends: calls.append(len(starts)) or pieces(data, starts, ends))
+    encoder = pretokens.Encoder(bpe, pretokens.HashTable(np.zeros(0, np.uint64), []), {})
+    for some in (texts, texts[:100], ["a\0b", "", "\0", "zq\0\0 zq", "c"], ["\0"]):
+        want = [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+        for first, stop, data, bounds in slices(pa.array(some)):
+            ids, at = encoder.ids(data, bounds)
+            assert [ids[at[i] : at[i + 1]].tolist() for i in range(stop - first)] == want[first:stop]
+            assert encoder.counts(data, bounds).tolist() == [len(w) for w in want[first:stop]]
+        if some is texts:
+            assert calls[0] > 100 and not single
+    assert any(b"\0" in one for one in single)
+
+
 def test_counts(spark, documents, nothing, tokenizer):
     library = Tokenizer.from_file(tokenizer)
     out = token_counts(documents, tokenizer, limit=1024)
