@@ -13,6 +13,7 @@ from pressloom.operators import lookups, pages
 from pressloom.operators.html import Element
 from pressloom.plans.curate import curate
 from pressloom.plans.extract import extract
+from pressloom.sources import readers, writers
 
 
 def plan(df) -> str:
@@ -89,3 +90,41 @@ def test_a_page_leaves_no_elements():
         assert not [x for x in gc.get_objects() if isinstance(x, Element)]
     finally:
         gc.enable()
+
+
+def test_page_files_are_written_by_tasks(spark, tmp_path):
+    """A file a page, repeated ids too, in a folder a task; they are read back by far fewer tasks than there are folders."""
+    html = [(i % 700, f"<p>{i}é</p>") for i in range(1400)] + [(3, "<p>3é</p>"), (5000, None)]
+    pages = spark.createDataFrame(html, "page_id bigint, html string").repartition(40, "page_id")
+    for root in (str(tmp_path / "plain"), f"file://{tmp_path / 'uri'}"):
+        folders = writers.write_page_files(pages, root, "page_id", "html")
+        files = readers.read_html_folder(spark, folders, date="2024-01-01 00:00:00", pattern="*.txt")
+        assert files.rdd.getNumPartitions() <= readers.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+        rows = files.select(F.regexp_extract("url", r"page_id=(\d+)", 1).cast("bigint"), F.col("body").cast("string")).collect()
+        assert sorted(map(tuple, rows)) == sorted((i, f"{h or ''}\n") for i, h in html)
+        again = writers.write_page_files(pages, root, "page_id", "html")
+        assert readers.read_html_folder(spark, again, pattern="*.txt").count() == len(html)
+    folders = {p.parent for p in tmp_path.glob("plain/**/*.txt")}
+    assert len(folders) <= 40
+
+
+def test_no_page_files(spark, tmp_path):
+    spark.createDataFrame([], "page_id bigint, html string").write.parquet(str(tmp_path / "rows"))
+    none = base.dealt(spark.read.parquet(str(tmp_path / "rows")), "page_id")
+    folders = writers.write_page_files(none, str(tmp_path / "none"), "page_id", "html")
+    assert readers.read_html_folder(spark, folders, pattern="*.txt").count() == 0
+
+
+def test_page_files_of_the_query_need_no_folder_for_each_page(spark, tmp_path, monkeypatch):
+    """The job's end on the driver and the listing follow the number of tasks, not that of pages."""
+    from catalog import files as file_queries
+
+    rows = [(i, f"https://example.com/{i}", f"<p>{i}</p>") for i in range(60)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    seen = []
+    read = readers.read_html_folder
+    monkeypatch.setattr(readers, "read_html_folder", lambda s, path, **more: seen.append(path) or read(s, path, **more))
+    file_queries.read_html_folder(spark, str(tmp_path)).count()
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(seen[0])
+    assert files.count() == 60
+    assert files.select(F.regexp_extract("path", r"^(.*)/", 1)).distinct().count() <= spark.sparkContext.defaultParallelism
