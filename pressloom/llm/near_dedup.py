@@ -241,8 +241,9 @@ def links(buckets: DataFrame, texts: DataFrame, p: MinMax) -> DataFrame:
             pairs = pairs.join(either, ["pivot", "node"], "left_anti")
         pairs = stored(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
-        found = _confirmed(pairs, texts, p)
-        labels = components(found if labels is None else labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(found))
+        if labels is None or not pairs.isEmpty():
+            found = _confirmed(pairs, texts, p)
+            labels = components(found if labels is None else labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(found))
         now = chosen.select("key", "node", F.lit(True).alias("now"))
         after = open_.drop("label").join(now, ["key", "node"], "left").join(labels, "node", "left")
         after = after.withColumns({"used": F.col("used") | F.col("now").isNotNull(), "label": F.coalesce("label", "node")})

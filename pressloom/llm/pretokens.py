@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -193,6 +193,12 @@ class Bpe:
         return [e.ids for e in self.library().encode_batch(texts, add_special_tokens=False)]
 
 
+def sizes(source: str) -> tuple[int, list[int]]:
+    """(tokens of the vocabulary, ids of the special tokens), without the tables that encoding needs."""
+    spec = json.loads(source)
+    return len(spec["model"]["vocab"]), [t["id"] for t in spec.get("added_tokens", [])]
+
+
 @lru_cache(maxsize=2)
 def load(source: str) -> Bpe:
     return Bpe(source)
@@ -201,7 +207,7 @@ def load(source: str) -> Bpe:
 class HashTable:
     """Open addressing over 64-bit keys in three flat arrays: slot keys, and first id and number of ids of each."""
 
-    def __init__(self, keys: np.ndarray, ids: list[list[int]]) -> None:
+    def __init__(self, keys: np.ndarray, ids: Sequence[Sequence[int]]) -> None:
         self.bits = max(4, int(len(keys) * 3).bit_length())
         size = 1 << self.bits
         self.keys = np.zeros(size, np.uint64)
@@ -313,7 +319,13 @@ def _without(starts, ends, row_bounds, rows):
 
 
 def frequent(documents: DataFrame, text: str, source: str, sample_rows: int = SAMPLE_ROWS, size: int = TABLE_SIZE) -> HashTable:
-    """The table of the `size` most frequent pre-tokens in a sample of about `sample_rows` texts."""
+    """The table of the `size` most frequent pre-tokens in a sample of about `sample_rows` texts; tasks encode them."""
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [array("I", load(source).piece(p.as_py())).tobytes() for p in batch.column(1)]
+            yield pa.RecordBatch.from_pydict({"key": batch.column(0), "ids": pa.array(ids, pa.binary())})
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, bounds in slices(batch.column(0)):
@@ -340,10 +352,11 @@ def frequent(documents: DataFrame, text: str, source: str, sample_rows: int = SA
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "key")
         .limit(size)
+        .select("key", "piece")
+        .mapInArrow(encoded, "key bigint, ids binary")
         .toArrow()
     )
-    bpe = load(source)
-    return HashTable(rows.column("key").to_numpy().view(np.uint64), [bpe.piece(p.as_py()) for p in rows.column("piece")])
+    return HashTable(rows.column("key").to_numpy().view(np.uint64), [memoryview(ids.as_py()).cast("I") for ids in rows.column("ids")])
 
 
 _caches: dict[str, dict] = {}

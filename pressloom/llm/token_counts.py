@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -15,19 +16,24 @@ from pressloom.llm.textbytes import slices
 from pressloom.operators.duplicates import free_name
 
 
-def token_counts(documents: DataFrame, tokenizer: str, text: str = "text", limit: int | None = None) -> DataFrame:
+def shared_table(documents: DataFrame, tokenizer: str, text: str = "text") -> Broadcast:
+    """The tokenizer file's text and its table of pre-tokens frequent in `documents`, for all tasks."""
+    spark = documents.sparkSession
+    ready(spark)
+    with open(tokenizer, encoding="utf-8") as file:
+        source = file.read()
+    return spark.sparkContext.broadcast((source, pretokens.frequent(documents, text, source)))
+
+
+def token_counts(documents: DataFrame, tokenizer: str, text: str = "text", limit: int | None = None, shared: Broadcast | None = None) -> DataFrame:
     """The rows of `documents` without their text, with `n_bytes` (UTF-8), `n_tokens` and, given a `limit`, `over_limit`.
 
     `tokenizer` is the path of a byte-level BPE file of the `tokenizers` library, on the driver. Its text and the table of
     frequent pre-tokens are broadcast; both are bounded (the file; TABLE_SIZE entries). Pre-tokens that the table lacks are
-    encoded once per worker and kept in a bounded cache. A null or empty text has 0 bytes and 0 tokens. Columns of the
+    encoded once per worker and kept in a bounded cache. `shared` is a table made before (`shared_table`). A null or empty text has 0 bytes and 0 tokens. Columns of the
     input that have one of the new names are replaced; all others stay, repeated rows too.
     """
-    spark = documents.sparkSession
-    ready(spark)
-    with open(tokenizer, encoding="utf-8") as file:
-        source = file.read()
-    shared = spark.sparkContext.broadcast((source, pretokens.frequent(documents, text, source)))
+    shared = shared or shared_table(documents, tokenizer, text)
     new = ["n_bytes", "n_tokens", "over_limit"][: 2 + (limit is not None)]
     kept = [c for c in documents.columns if c not in new and c != text]
 

@@ -17,13 +17,14 @@ from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressloom.llm import pretokens
 from pressloom.llm.tables import only, ready, stored
 from pressloom.llm.textbytes import binary_rows, mix, ranges, slices
-from pressloom.llm.token_counts import token_counts
+from pressloom.llm.token_counts import shared_table, token_counts
 from pressloom.operators.duplicates import free_name
 
 #: documents per bucket of the base order; a constant of the layout, so that slots do not depend on the cluster
@@ -81,14 +82,14 @@ def permute(index: np.ndarray, size: int, key: int, rounds: int = 4) -> np.ndarr
     return out.astype(np.int64)
 
 
-def _places(rows: DataFrame, tokenizer: str, length: int) -> DataFrame:
+def _places(rows: DataFrame, tokenizer: str, length: int, shared: Broadcast) -> DataFrame:
     """Stored (doc_id, text_hash, copies, sequences, base): where a document's sequences begin in the base order.
 
     The order is by a hash bucket of the id, then id, then text hash, so it does not depend on how the rows are dealt. Only
     these narrow rows are shuffled.
     """
     spark = rows.sparkSession
-    sizes = token_counts(rows, tokenizer).withColumn("sequences", F.ceil((F.col("n_tokens") + 1) / length))
+    sizes = token_counts(rows, tokenizer, shared=shared).withColumn("sequences", F.ceil((F.col("n_tokens") + 1) / length))
     buckets = max(1, math.ceil(rows.count() / BUCKET_ROWS))
     bucket = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(buckets)).alias("bucket")
     keyed = sizes.groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies"), F.max("sequences").alias("sequences"))
@@ -135,15 +136,14 @@ def write_training_order(
     spark = documents.sparkSession
     ready(spark)
     with open(tokenizer, encoding="utf-8") as file:
-        source = file.read()
-    bpe = pretokens.load(source)
-    end_id = pad_id = max(bpe.special_ids, default=bpe.size)
-    width = 2 if max(bpe.size, end_id + 1) <= 1 << 16 else 4
+        vocabulary, special_ids = pretokens.sizes(file.read())
+    end_id = pad_id = max(special_ids, default=vocabulary)
+    width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
     rows = only(documents, doc_id=F.col(f"`{doc_id}`").cast("bigint"), text_hash=F.xxhash64(F.col(f"`{text}`")), text=text)
-    places = _places(rows, tokenizer, sequence_length)
+    shared = shared_table(rows, tokenizer)
+    places = _places(rows, tokenizer, sequence_length, shared)
     total = places.agg(F.coalesce(F.sum(F.col("copies") * F.col("sequences")), F.lit(0)), F.count("*")).first()
     layout = Layout(int(total[0]), sequence_length, shard_records, width, end_id, pad_id, key)
-    shared = spark.sparkContext.broadcast((source, pretokens.frequent(rows, "text", source)))
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pretokens.worker_encoder(*shared.value)

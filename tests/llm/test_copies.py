@@ -12,6 +12,7 @@ from pressloom.llm.components import components
 from pressloom.llm.decontam import documents_hit, phrase_matches, positional_index, proximity_matches
 from pressloom.llm.near_dedup import near_duplicates, without_duplicates
 from pressloom.llm.suffix_dedup import remove_repeats
+from pressloom.llm.tables import stored
 
 LOW = {i: i + 32 for i in range(65, 91)}
 
@@ -90,6 +91,19 @@ def test_components(spark):
     assert got == {x: top(x) for x in linked}
 
 
+def test_components_of_stars_take_no_step(spark, monkeypatch):
+    """Edges that are stars, as most rounds of links find them, are written once and counted; no table is made of a step."""
+    from pressloom.llm import components as module
+
+    written = []
+    monkeypatch.setattr(module, "stored", lambda df, name: written.append(name) or stored(df, name))
+    edges = [(1, b) for b in range(2, 30)] + [(b, 40) for b in range(41, 50)] + [(60, 61), (61, 60)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert got == {**{x: 1 for x in range(1, 30)}, **{x: 40 for x in range(40, 50)}, 60: 60, 61: 60}
+    assert len(written) == 1
+    assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
 def repeats(texts, length):
     seen = Counter(b[k : k + length] for b in texts for k in range(len(b) - length + 1))
     out = []

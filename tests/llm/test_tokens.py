@@ -106,6 +106,15 @@ def test_counts(spark, documents, nothing, tokenizer):
     assert token_counts(nothing, tokenizer).count() == 0
 
 
+def test_the_driver_holds_one_table_and_no_encoder(spark, documents, tokenizer, tmp_path, monkeypatch):
+    """The tasks encode the frequent pre-tokens; one table of them serves the counts and the sequences."""
+    made, frequent = [], pretokens.frequent
+    monkeypatch.setattr(pretokens, "frequent", lambda *a: made.append(a) or frequent(*a))
+    pretokens.load.cache_clear()
+    write_training_order(documents, str(tmp_path / "order"), tokenizer)
+    assert len(made) == 1 and pretokens.load.cache_info().currsize == 0
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 5, 64, 1000, 1025])
 def test_permutation(size):
     slots = permute(np.arange(size), size, key=9)
