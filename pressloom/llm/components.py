@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.tables import stored
+from pressloom.llm.tables import narrow, stored
 
 
 def _both_ways(u: Column, v: Column) -> Column:
@@ -27,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
     already cost a count of their ends, no step. Null ends are ignored.
     """
     clean = edges.where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-    now = stored(clean.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now = stored(narrow(clean.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()), "edges")
     while not _are_stars(now):
         # large star: every larger neighbour of a node goes to the smallest of the node and its neighbours
         both = now.select(_both_ways(F.col("u"), F.col("v"))).select("e.u", "e.v")
@@ -36,5 +36,5 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: every smaller neighbour of a node, and the node, go to the smallest neighbour
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        now = stored(small.select("e.u", "e.v").where("u <> v").distinct(), "edges")
+        now = stored(narrow(small.select("e.u", "e.v").where("u <> v").distinct()), "edges")
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(now.select("v", "v").distinct())

@@ -22,6 +22,8 @@ MOST_BITS = 1 << 28
 BITS_EACH = 16
 #: bytes of a piece of the bitmap that a task hands on
 PIECE = 1 << 12
+#: bytes of a bitmap whose pieces are merged on the driver, as they come from the tasks; those of a larger one are merged before
+DIRECT = 1 << 15
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,10 +57,13 @@ def maybe_in(hashes: DataFrame) -> Callable[[Column], Column]:
         for piece in np.flatnonzero(bits.reshape(-1, PIECE).any(axis=1)).tolist():
             yield pa.RecordBatch.from_pydict({"piece": pa.array([piece], pa.int32()), "bits": [bits[piece * PIECE : (piece + 1) * PIECE].tobytes()]})
 
-    pieces = hashes.mapInArrow(mark, "piece int, bits binary").repartition(min(tasks(spark), size // 8 // PIECE), "piece")
+    pieces = hashes.mapInArrow(mark, "piece int, bits binary")
+    if size // 8 > DIRECT:
+        dealt = pieces.repartition(min(tasks(spark), size // 8 // PIECE), "piece").sortWithinPartitions("piece")
+        pieces = dealt.mapInArrow(_merged, "piece int, bits binary")
     bitmap = np.zeros(size // 8, np.uint8)
-    for row in pieces.sortWithinPartitions("piece").mapInArrow(_merged, "piece int, bits binary").collect():
-        bitmap[row["piece"] * PIECE : (row["piece"] + 1) * PIECE] = np.frombuffer(row["bits"], np.uint8)
+    for row in pieces.collect():
+        bitmap[row["piece"] * PIECE : (row["piece"] + 1) * PIECE] |= np.frombuffer(row["bits"], np.uint8)
     shared = spark.sparkContext.broadcast(bitmap)
 
     @F.arrow_udf(T.BooleanType())

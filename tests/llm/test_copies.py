@@ -104,6 +104,41 @@ def test_components_of_stars_take_no_step(spark, monkeypatch):
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_links_of_few_meetings_take_two_rounds(spark, monkeypatch):
+    """A bucket of 60 nodes, most of them unlike all others: after the first pivot all others are compared in one round."""
+    from pressloom.llm import near_dedup as module
+
+    written = []
+    monkeypatch.setattr(module, "stored", lambda df, name: written.append(name) or stored(df, name))
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(50)]
+    texts += [texts[3] + " a", texts[3] + " a b", texts[47] + " a", "z " + texts[49], *[f"{texts[20]} {k}" for k in range(6)]]
+    node = [b"%04d" % (i * 37 % 60) for i in range(60)]
+    sets = [shingles(t) for t in texts]
+    buckets = [(1, n, 56, 56, [1, 2]) for n in node] + [(2, n, 56, 56, [1, 2]) for n in node[::2]]
+    buckets = spark.createDataFrame(buckets, "key bigint, node binary, n bigint, shared bigint, keys array<bigint>")
+    frame = spark.createDataFrame(list(zip(node, texts, strict=True)), "node binary, text string")
+    got = {bytes(r["node"]): bytes(r["label"]) for r in module.links(buckets, frame, module.MinMax()).collect()}
+    want = {}
+    for i, a in enumerate(sets):
+        alike = [j for j, b in enumerate(sets) if 100 * len(a & b) >= 85 * len(a | b)]
+        if len(alike) > 1:
+            want[node[i]] = min(node[j] for j in alike)
+    assert got == want and len(got) == 14
+    assert written.count("pairs") == 2 and written.count("state") == 1
+
+
+def test_narrow_tables_have_few_files(spark):
+    from pressloom.llm.tables import narrow
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        table = stored(narrow(spark.range(5000).repartition(64, "id")), "narrow")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(table.inputFiles()) == 8 and table.distinct().count() == 5000
+
+
 def repeats(texts, length):
     seen = Counter(b[k : k + length] for b in texts for k in range(len(b) - length + 1))
     out = []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pressloom.llm import prefilter
@@ -27,6 +28,15 @@ def test_no_hash_is_missed(spark, monkeypatch):
     assert other.where(maybe_in(many)(F.col("h"))).count() == 20000
 
 
+@pytest.mark.parametrize("direct", [0, 1 << 15])
+def test_pieces_of_several_tasks_are_merged(spark, monkeypatch, direct):
+    monkeypatch.setattr(prefilter, "DIRECT", direct)
+    hashes = spark.range(900).select(F.xxhash64("id").alias("h")).repartition(7)
+    test = maybe_in(hashes)
+    assert hashes.where(test(F.col("h"))).count() == 900
+    assert spark.range(5000, 25000).where(test(F.xxhash64("id"))).count() < 2500
+
+
 def test_scope(spark):
     with scope(spark, "outer") as folder:
         one, two = stored(spark.range(5), "one"), stored(spark.range(7), "two")
