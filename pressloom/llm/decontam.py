@@ -26,6 +26,17 @@ QUERY_WORDS = 1 << 20
 INDEX_SCHEMA = "block bigint, doc_ids array<bigint>, doc_starts array<int>, terms binary, term_starts binary, positions binary"
 
 
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The word fingerprints of some texts and the bounds of each text's; arrays by byte are made for a slice at a time."""
+    found, bounds, n = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0
+    for _, _, data, at in slices(texts):
+        _, _, word, own = words(data, at, ALNUM)
+        found.append(word)
+        bounds.append(own[1:] + n)
+        n += len(word)
+    return np.concatenate(found), np.concatenate(bounds)
+
+
 def positional_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The stored index. Word positions count through a block; `doc_starts` are those of its documents, with the end.
 
@@ -36,8 +47,8 @@ def positional_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for first, stop, data, bounds in slices(batch.column(1), BLOCK_BYTES):
-                _, _, word, word_bounds = words(data, bounds, ALNUM)
+            for first, stop, _, _ in slices(batch.column(1), BLOCK_BYTES):
+                word, word_bounds = _words(batch.column(1).slice(first, stop - first))
                 order = np.argsort(word, kind="stable")
                 ranked = word[order]
                 change = np.flatnonzero(np.concatenate((ranked[:1] == ranked[:1], ranked[1:] != ranked[:-1])))

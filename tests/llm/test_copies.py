@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from conftest import SF_DIR
 from pressloom.llm import suffix_dedup
 from pressloom.llm.components import components
@@ -139,6 +141,27 @@ def test_narrow_tables_have_few_files(spark):
     assert len(table.inputFiles()) == 8 and table.distinct().count() == 5000
 
 
+def test_index_makes_arrays_by_byte_for_a_slice_at_a_time(spark, monkeypatch):
+    """Words of a block come from slices of a MB, one longer text aside, and equal those of the block as a whole."""
+    import pyarrow as pa
+
+    from pressloom.llm import decontam
+    from pressloom.llm.textbytes import ALNUM, SLICE_BYTES, words
+
+    texts = [f"Word{k} and {'x' * (k % 7)} \u010d{k} " * 400 for k in range(300)]
+    texts[5], texts[6], texts[299] = None, "", "long " * 300_000
+    sizes = []
+    monkeypatch.setattr(decontam, "words", lambda data, *rest: sizes.append(len(data)) or words(data, *rest))
+    column = pa.array(["first", *texts]).slice(1)
+    word, bounds = decontam._words(column)
+    assert len(sizes) > 3 and sorted(sizes)[-2] <= SLICE_BYTES < max(sizes) == 1_500_000
+    data = [(t or "").encode() for t in texts]
+    ends = np.cumsum([0, *map(len, data)])
+    _, _, want, want_bounds = words(np.frombuffer(b"".join(data), np.uint8), ends, ALNUM)
+    assert (word == want).all() and (bounds == want_bounds).all() and bounds.dtype == want_bounds.dtype
+    assert [len(x) for x in decontam._words(pa.array([], pa.string()))] == [0, 1]
+
+
 def repeats(texts, length):
     seen = Counter(b[k : k + length] for b in texts for k in range(len(b) - length + 1))
     out = []
