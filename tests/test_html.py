@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pressloom.operators.html import PLAIN_BODY, VOID, Page, body_text, compile_selector
+from pressloom.operators.html import _TOKEN, PLAIN_BODY, VOID, Page, body_text, compile_selector
 
 FRAGMENTS = [
     "<p>", "</p>", '<div class="a b">', "</div>", "<a href='x>y' id=q>", "</a>", "text ", "&amp;", "&lt", "<br>", "<br/>",
@@ -56,6 +56,24 @@ def test_hidden_text():
     assert page.text(page.by_name["script"][0]) == "s"
 
 
+def test_an_element_with_only_text_is_one_token():
+    """Start tag, text and end tag are read at once, unless the element treats its text in a way of its own."""
+    assert len(_TOKEN.split("<p class='a>b'>x &amp; y</p><a>z</a>")) == 2 * _TOKEN.groups + 3
+    page = Page("<div> <p>x &amp; y</p><P>\xa0</P><br>a</br><p/>b</p><i> \n </i><pre> \n </pre><template>t</template></div>c")
+    assert [(e.name, page.text(e)) for e in page.elements[2:]] == [
+        ("p", "x & y"), ("p", "\xa0"), ("br", ""), ("p", ""), ("i", "\n"), ("pre", " \n "), ("template", "t")
+    ]
+    div = page.elements[1]
+    assert page.text(div) == " x & y\xa0ab\n \n " and [e.nth for e in div.children] == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_raw_text_that_no_tag_ends():
+    for markup in ("<b>x</b><script>a<p>b", "<b>x</b><script>a<p>b</script ", "<b>x</b><script>a<p>b</script <"):
+        page = Page(markup)
+        assert [e.name for e in page.elements[1:]] == ["b", "script"] and page.text(page.elements[2]).startswith("a<p>b")
+        assert page.text(page.root) == "x"
+
+
 def test_broken_pages_end():
     Page("<a" * 200_000)
     Page("<a href='" * 200_000)

@@ -36,6 +36,12 @@ def test_pages_are_dealt_as_documents(spark, tables):
     assert text.count("ArrowEvalPython") == 1
 
 
+def test_required_fields_are_cleaned_once(spark, tables):
+    """The filter on them must not repeat their cleaning below the projection that does it."""
+    text = plan(extract(page_queries.site_pages(spark, tables, *page_queries.SITES)))
+    assert text.count("ONLINE:") == 1 and text.count("foto:?") == plan(extract(page_queries.site_pages(spark, tables, *page_queries.SITES), required=False)).count("foto:?")
+
+
 def test_tasks_grow_with_the_rows(spark, monkeypatch):
     monkeypatch.setattr(base, "ROWS_PER_TASK", 10)
     few, many = (base.dealt(spark.range(n), "id") for n in (5, 205))
