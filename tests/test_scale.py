@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import gc
+import os
+import shutil
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from catalog import base, jobs
@@ -134,3 +137,36 @@ def test_page_files_of_the_query_need_no_folder_for_each_page(spark, tmp_path, m
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(seen[0])
     assert files.count() == 60
     assert files.select(F.regexp_extract("path", r"^(.*)/", 1)).distinct().count() <= spark.sparkContext.defaultParallelism
+
+
+def test_page_files_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver holds no list of files; the rows are those of Spark's own reader, which still sees to what is not plain."""
+    root = tmp_path / "html é %20"
+    for folder in ("a", "b", "empty"):
+        (root / folder).mkdir(parents=True)
+        for i in range(0 if folder == "empty" else 40):
+            (root / folder / f"x={i} é.txt").write_bytes(f"{folder}{i}".encode() * i + b"\xff")
+    for name, text in ((".x.txt", "h"), ("_y.txt", "h"), ("_y=1.txt", "z"), ("none.txt", ""), ("other.html", "o"), ("w.txt._COPYING_", "c")):
+        (root / "a" / name).write_text(text)
+    os.utime(root / "a" / "_y=1.txt", ns=(0, 1_600_000_000_123_456_789))
+    monkeypatch.setattr(readers, "BATCH_FILES", 7)
+    monkeypatch.setattr(readers, "FILES_PER_TASK", 30)
+
+    def rows(path, pattern):
+        files = readers.read_html_folder(spark, path, pattern=pattern)
+        return plan(files), files.rdd.getNumPartitions(), sorted(map(tuple, files.collect()))
+
+    ways = [(f"file://{root}/*", "*.txt"), (f"{root}/*", "x=?1*"), (f"{root}/a", "*.txt"), (f"{root}/empty", "*.txt")]
+    by_tasks = [rows(*way) for way in ways]
+    assert [len(r) for _, _, r in by_tasks] == [81, 6, 41, 0] and [n for _, n, _ in by_tasks] == [3, 1, 2, 1]
+    assert all("MapInArrow" in text and "FileScan" not in text for text, _, _ in by_tasks)
+    odd = [rows(f"{root}/[ab]", "*.txt"), rows(f"{root}/a", "{x,_}*.txt"), rows(f"{root}/a/other.html", "*")]
+    (root / "b" / "k=1").mkdir()
+    (root / "b" / "k=1" / "x=99.txt").write_text("deep")
+    odd.append(rows(f"{root}/b", "*.txt"))
+    assert all("FileScan" in text for text, _, _ in odd) and [len(r) for _, _, r in odd] == [81, 41, 1, 1]
+    shutil.rmtree(root / "b" / "k=1")
+    monkeypatch.setattr(readers, "_files_by_tasks", lambda *_: None)
+    assert [rows(*way)[2] for way in ways] == [r for _, _, r in by_tasks]
+    with pytest.raises(AnalysisException):
+        readers.read_html_folder(spark, f"{root}/missing")
