@@ -65,6 +65,8 @@ def test_patterns_are_spared_where_no_break_is(spark):
         (text.page_brief(c), text.unify(F.replace(c, F.lit("EXKLUZIVNĚ."), F.lit("")))),
         (text.unify_all(F.split(c, "a"), c), text.unify_all(F.split(c, "a"))),
     ]
+    lines = spark.range(1).select(text.unify_all(F.split(F.lit("a\n \nb,\t\t,c\t\td"), ",")), text.page_keywords(F.lit("a\n \nb,\t\t,c\t\td")))
+    assert [list(x) for x in lines.first()] == [["a\nb", "c\nd"]] * 2
     got = spark.createDataFrame([(x,) for x in odd], "c string").select(*[x for way in ways for x in way]).collect()
     assert all(row[2 * i] == row[2 * i + 1] for row in got for i in range(len(ways)))
 
